@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The task this engine serves replays frozen history and compares two
+versions of a query over it; it names no stream, watermark, window or
+state.  Results must come from a fixed set of files (see
+``sources.history``), which a stream by definition is not.  This package
+is kept empty on purpose; see README.md, "Not built".
+"""
