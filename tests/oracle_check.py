@@ -1,0 +1,109 @@
+"""Run every registered query in Spark and its oracle SQL in DuckDB on the
+same parquet tables and compare rows, column names, types and values.
+
+    python tests/oracle_check.py [sf_dir] [name ...]
+
+Prints one line per query and exits non-zero on any mismatch.  The tests
+call :func:`compare` on the smallest scale.
+"""
+
+from __future__ import annotations
+
+import decimal
+import os
+import sys
+import time
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+import __spark_entry__ as entry  # noqa: E402
+from twinrun.sources.history import TABLES  # noqa: E402
+
+# Spark simple type -> DuckDB type name, for the schema comparison.
+TYPE_MAP = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "double": "DOUBLE", "float": "FLOAT", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    return TYPE_MAP.get(spark_type, spark_type.upper())
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _canon(v):
+    if v is None:
+        return "∅"
+    if isinstance(v, decimal.Decimal):
+        return format(v.normalize(), "f") if v == v else "nan"
+    if isinstance(v, float):
+        return repr(round(v, 9))
+    if isinstance(v, bool):
+        return str(v)
+    return str(v)
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_canon(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
+    sdf = entry.queries()[name](spark, sf_dir)
+    s_names = sdf.columns
+    s_types = [_duck_type(f.dataType.simpleString()) for f in sdf.schema.fields]
+    s_rows = [tuple(r) for r in sdf.collect()]
+    rel = con.sql(entry.oracle_sql()[name])
+    d_names = rel.columns
+    d_types = [str(t).upper().replace(" ", "") for t in rel.types]
+    d_rows = rel.fetchall()
+    problems = []
+    if sorted(s_names) != sorted(d_names):
+        problems.append(f"names spark={s_names} duck={d_names}")
+    else:
+        st = dict(zip(s_names, s_types))
+        dt = dict(zip(d_names, d_types))
+        bad = {n: (st[n], dt[n]) for n in s_names if st[n] != dt[n]}
+        if bad:
+            problems.append(f"types {bad}")
+    if len(s_rows) != len(d_rows):
+        problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
+    elif not problems and _rows(s_names, s_rows) != _rows(d_names, d_rows):
+        problems.append("values differ")
+    return (not problems), (f"{len(s_rows)} rows" if not problems else "; ".join(problems))
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:] or list(entry.queries())
+    from twinrun.session import get_session
+    spark = get_session()
+    con = duck(sf_dir)
+    ok_all = True
+    for n in names:
+        t0 = time.time()
+        try:
+            ok, msg = compare(spark, con, n, sf_dir)
+        except Exception as e:  # report and go on
+            ok, msg = False, f"error {type(e).__name__}: {str(e)[:300]}"
+        ok_all &= ok
+        print(f"{'OK ' if ok else 'BAD'} {n:24s} {msg}  ({time.time() - t0:.1f}s)", flush=True)
+    missing = [n for n in entry.queries() if n not in entry.oracle_sql()]
+    if missing:
+        print("no oracle:", missing)
+    return 0 if ok_all else 1
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
