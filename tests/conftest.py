@@ -1,0 +1,50 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF = {s: f"/root/testdata/sf{s}" for s in ("0.001", "0.01", "0.1")}
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    from twinrun.session import ensure_checkpoint_dir
+    s = (SparkSession.builder.master("local[*]")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.adaptive.enabled", "true")
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(s)
+    yield s
+
+
+@pytest.fixture(scope="session")
+def hist(spark):
+    from twinrun.sources.history import load_history
+    return load_history(spark, SF["0.001"], ["orders", "lineitem", "part"])
+
+
+@pytest.fixture(scope="session")
+def params(hist):
+    from twinrun.plans import standin as S
+    return S.params_of(hist)
+
+
+@pytest.fixture(scope="session")
+def sit(hist):
+    from twinrun.operators.situations import situations
+    from twinrun.plans import standin as S
+    return situations(hist, S.situation_rule)
+
+
+def rows(df):
+    """Rows as a sorted list of tuples (order-insensitive comparison)."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
