@@ -32,16 +32,26 @@ Version = Callable[[Tables, DataFrame], DataFrame]
 
 
 def param_set(source: DataFrame, cols: Sequence[str] | Mapping[str, str],
-              where=None) -> DataFrame:
+              where=None, freeze: bool = False) -> DataFrame:
     """O2: the parameter values to replay, unique on the parameter columns.
 
     ``cols`` is a list of source columns or a mapping ``source -> name``.
     ``where`` (Column or SQL text) limits history, e.g. to a date range; it
     is applied before the projection so it reaches the parquet scan.
+
+    ``freeze`` saves the set once with a reliable checkpoint in the shared
+    ``spark.checkpoint.dir``.  Every version then replays exactly the same
+    values, and the joins on the parameter read a plain shuffle: with the
+    ``distinct`` aggregate in between, adaptive execution cannot split the
+    partition of a document that holds a large share of all rows.
     """
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     df = source if where is None else source.filter(where)
-    return df.select(*[F.col(s).alias(t) for s, t in mapping.items()]).distinct()
+    out = df.select(*[F.col(s).alias(t) for s, t in mapping.items()]).distinct()
+    if freeze:
+        from ..sources.pin import materialize
+        out = materialize(out)
+    return out
 
 
 def replay(fn: Version, tables: Tables, params: DataFrame) -> DataFrame:

@@ -28,13 +28,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The new version written as SQL text; {name} binds a DataFrame.
 NEW_SQL = """
-SELECT o.o_orderkey AS doc, l.l_partkey AS prod, p.p_name AS p_name,
+SELECT pr.doc AS doc, l.l_partkey AS prod, p.p_name AS p_name,
        CAST(sum(CAST(l.l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS qty
-FROM {orders} o
-JOIN {params} pr ON pr.doc = o.o_orderkey
-JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey
+FROM {lineitem} l
+JOIN {params} pr ON pr.doc = l.l_orderkey
 JOIN {part} p ON p.p_partkey = l.l_partkey
-GROUP BY o.o_orderkey, l.l_partkey, p.p_name
+GROUP BY pr.doc, l.l_partkey, p.p_name
 """
 
 # The new version as a SQL table function of one document version.

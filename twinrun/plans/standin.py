@@ -6,8 +6,9 @@ with a defect that shows in rare cases), not any real system's data:
 * document version: ``o_orderkey`` (parameter column ``doc``);
 * menu row: one product of one order: ``doc, prod, p_name, qty``;
 * ``M(agg, cond)``: lines of the order (``lineitem`` joined to the
-  replayed orders), filtered by ``cond``, grouped per product with ``agg``
-  of the quantity as ``decimal(18,2)``, then named from ``part``;
+  replayed document versions, which are taken from ``orders``), filtered by
+  ``cond``, grouped per product with ``agg`` of the quantity as
+  ``decimal(18,2)``, then named from ``part``;
 * rare situation: a product listed more than once in an order.
 
 Each version is a :class:`StagedVersion` of three named steps, so two
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.table_fn import Stage, StagedVersion, Tables
+from ..functions.table_fn import Stage, StagedVersion, Tables, param_set
 from ..operators.situations import repeated
 
 PARAM = "doc"
@@ -28,26 +29,24 @@ QTY = "decimal(18,2)"
 COST = "decimal(28,4)"
 
 
-def param_source(tables: Tables) -> DataFrame:
-    return tables["orders"]
-
-
-def params_of(tables: Tables) -> DataFrame:
-    """Every document version in history: distinct ``o_orderkey`` as ``doc``."""
-    return tables["orders"].select(F.col("o_orderkey").alias(PARAM)).distinct()
+def params_of(tables: Tables, freeze: bool = True) -> DataFrame:
+    """Every document version in history: distinct ``o_orderkey`` as
+    ``doc``, frozen by default (see ``param_set``)."""
+    return param_set(tables["orders"], {"o_orderkey": PARAM}, freeze=freeze)
 
 
 def _lines(cond: Column | None):
     def step(t: Tables, params: DataFrame, _prev) -> DataFrame:
-        # params is unique on doc, so the join only narrows lineitem; a
-        # literal parameter (one call) reaches the lineitem scan from here
+        # params are document versions drawn from orders and unique on doc,
+        # so this join is the join with orders.  One join with exactly two
+        # shuffled inputs is what adaptive execution can split when one
+        # document holds a large share of all lines; a literal parameter
+        # (one call) reaches the lineitem scan from here.
         p = params.select(PARAM)
-        orders = t["orders"].select("o_orderkey")
         li = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity")
         if cond is not None:
             li = li.filter(cond)
         return (li.join(p, li["l_orderkey"] == p[PARAM])
-                .join(orders, li["l_orderkey"] == orders["o_orderkey"])
                 .select(p[PARAM], F.col("l_partkey").alias("prod"),
                         F.col("l_quantity").cast(QTY).alias("q")))
     return step

@@ -21,19 +21,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """A session tuned for replaying history: AQE on, skew splitting on.
 
     ``spark.sql.shuffle.partitions`` is an upper bound; adaptive execution
-    coalesces small partitions at run time and splits skewed join
-    partitions.  On a cluster set it to roughly (shuffle bytes / 128 MB).
+    coalesces small partitions at run time (to about 128 MB each) and splits
+    skewed join partitions.  On a cluster size it to roughly the largest
+    shuffle divided by 128 MB, so every reduce task fits in executor memory.
     """
     master = master or os.environ.get("TWINRUN_MASTER", "local[8]")
-    cores = _cores(master)
-    parts = shuffle_partitions or max(8, 2 * cores)
+    builder = SparkSession.builder.master(master)
+    if shuffle_partitions or master.startswith("local"):
+        # local: a couple of partitions per core; on a cluster keep the
+        # cluster's own sizing unless a number is given explicitly
+        parts = shuffle_partitions or max(8, 2 * _cores(master))
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     spark = (
-        SparkSession.builder.master(master)
+        builder
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
