@@ -11,10 +11,13 @@ function), ``Union`` keeps that hash partitioning and the diff needs no
 exchange at all.  Only identical whole rows meet in one group, and the
 partial sum folds them before any shuffle, so hot keys do not pile up.
 
-``diff_cells`` (O13) explains a diff per key: added, removed, changed or
-same, with both sides' values.  It also runs as one aggregation over the
-union, grouped by the key; a key repeated on either side fails the job with
-a clear error instead of silently multiplying rows as a join would.
+``key_compare`` classifies every key as added, removed, changed or same.
+Without values (the verdict) it is two hash aggregations with fixed-width
+buffers: per whole row, then per key.  With values (``diff_cells``, O13)
+it is one aggregation per key keeping both sides' rows as structs.  Either
+way it reads the union of both sides, with no join, and a key repeated on
+either side fails the job with a clear error instead of silently
+multiplying rows as a join would.
 """
 
 from __future__ import annotations
@@ -55,19 +58,38 @@ def _dup_error(keys: Sequence[str], n_old: Column, n_new: Column) -> Column:
         F.lit(", new copies="), n_new.cast("string"), F.lit("): "), key_text))
 
 
-def key_compare(old: DataFrame, new: DataFrame, keys: Sequence[str],
-                situations: DataFrame | None = None, on: Sequence[str] | None = None,
-                keep_values: bool = False) -> DataFrame:
-    """Per key of ``old`` ∪ ``new``: ``status`` in added/removed/changed/same
-    and, with ``situations``, ``in_situation``.
+def _key_counts(old: DataFrame, new: DataFrame, keys: list[str],
+                sit: DataFrame | None) -> DataFrame:
+    """Per key: copies on each side and whether both sides hold the same row.
 
-    One aggregation grouped by ``keys`` over the union of both sides (and
-    of the situation keys, when they are given at the same width); no join.
-    Keys must be unique on each side: a repeat raises at run time.
+    Two hash aggregations with fixed-width buffers only: first per whole
+    row (copies on each side), then per key (copies and distinct rows).  A
+    key is unchanged when it has one copy on each side and both fell into
+    the same whole-row group.  When the inputs are already partitioned on
+    the keys (or on some of them), neither level needs an exchange.
     """
-    keys = list(keys)
-    check_same_schema(old, new)
-    check_keys(old, keys, "old")
+    cols = old.columns
+    u = (old.select(*comparable_columns(old), F.lit(1).alias("__o"), F.lit(0).alias("__n"))
+         .unionByName(new.select(*comparable_columns(new), F.lit(0).alias("__o"),
+                                 F.lit(1).alias("__n"))))
+    rows = (u.groupBy(*cols).agg(F.sum("__o").alias("__o"), F.sum("__n").alias("__n"))
+            .select(*keys, "__o", "__n", F.lit(1).alias("__r"), F.lit(False).alias("__s")))
+    if sit is not None:
+        rows = rows.unionByName(sit.select(
+            *keys, F.lit(0).cast("long").alias("__o"), F.lit(0).cast("long").alias("__n"),
+            F.lit(0).alias("__r"), F.lit(True).alias("__s")))
+    aggs = [F.sum("__o").alias("__n_old"), F.sum("__n").alias("__n_new"),
+            F.sum("__r").alias("__n_rows")]
+    if sit is not None:
+        aggs.append(F.max("__s").alias("in_situation"))
+    g = rows.groupBy(*keys).agg(*aggs)
+    return g.withColumn("__same", (F.col("__n_old") == 1) & (F.col("__n_new") == 1)
+                        & (F.col("__n_rows") == 1))
+
+
+def _key_values(old: DataFrame, new: DataFrame, keys: list[str],
+                sit: DataFrame | None) -> DataFrame:
+    """Per key: copies on each side and both sides' values (as structs)."""
     vals = [c for c in old.columns if c not in keys]
     norm = needs_normalising(old.select(*vals)) if vals else False
     cmp_struct = (F.struct(*comparable_columns(old, vals)) if vals
@@ -75,49 +97,65 @@ def key_compare(old: DataFrame, new: DataFrame, keys: Sequence[str],
     raw_struct = F.struct(*[F.col(c) for c in vals]) if vals else cmp_struct
 
     def side(df: DataFrame, tag: int) -> DataFrame:
-        cols = [*[F.col(k) for k in keys], F.lit(tag).alias(_SIDE),
-                cmp_struct.alias("__cmp")]
-        if keep_values and norm:
+        cols = [*[F.col(k) for k in keys], F.lit(tag).alias(_SIDE), cmp_struct.alias("__cmp")]
+        if norm:
             cols.append(raw_struct.alias("__raw"))
         return df.select(*cols)
 
     u = side(old, _OLD).unionByName(side(new, _NEW))
-    on = list(on) if on is not None else (list(situations.columns) if situations is not None else None)
-    fold_situations = situations is not None and set(on) == set(keys)
-    if fold_situations:
-        check_keys(situations, keys, "situations")
-        sit = situations.select(*keys, F.lit(_SIT).alias(_SIDE))
-        u = u.unionByName(sit, allowMissingColumns=True)
-
-    side_col = F.col(_SIDE)
+    if sit is not None:
+        u = u.unionByName(sit.select(*keys, F.lit(_SIT).alias(_SIDE)), allowMissingColumns=True)
+    s = F.col(_SIDE)
+    raw = "__raw" if norm else "__cmp"
     aggs = [
-        F.count_if(side_col == _OLD).alias("__n_old"),
-        F.count_if(side_col == _NEW).alias("__n_new"),
-        F.first(F.when(side_col == _OLD, F.col("__cmp")), ignorenulls=True).alias("__c_old"),
-        F.first(F.when(side_col == _NEW, F.col("__cmp")), ignorenulls=True).alias("__c_new"),
+        F.count_if(s == _OLD).alias("__n_old"),
+        F.count_if(s == _NEW).alias("__n_new"),
+        F.first(F.when(s == _OLD, F.col("__cmp")), ignorenulls=True).alias("__c_old"),
+        F.first(F.when(s == _NEW, F.col("__cmp")), ignorenulls=True).alias("__c_new"),
     ]
-    if keep_values and norm:
-        aggs += [
-            F.first(F.when(side_col == _OLD, F.col("__raw")), ignorenulls=True).alias("__v_old"),
-            F.first(F.when(side_col == _NEW, F.col("__raw")), ignorenulls=True).alias("__v_new"),
-        ]
-    if fold_situations:
-        aggs.append(F.max(side_col == _SIT).alias("in_situation"))
+    if norm:
+        aggs += [F.first(F.when(s == _OLD, F.col(raw)), ignorenulls=True).alias("__v_old"),
+                 F.first(F.when(s == _NEW, F.col(raw)), ignorenulls=True).alias("__v_new")]
+    if sit is not None:
+        aggs.append(F.max(s == _SIT).alias("in_situation"))
     g = u.groupBy(*keys).agg(*aggs)
-    if fold_situations:
+    if not norm:
+        g = g.withColumn("__v_old", F.col("__c_old")).withColumn("__v_new", F.col("__c_new"))
+    return g.withColumn("__same", F.col("__c_old").eqNullSafe(F.col("__c_new")))
+
+
+def key_compare(old: DataFrame, new: DataFrame, keys: Sequence[str],
+                situations: DataFrame | None = None, on: Sequence[str] | None = None,
+                keep_values: bool = False) -> DataFrame:
+    """Per key of ``old`` ∪ ``new``: ``status`` in added/removed/changed/same
+    and, with ``situations``, ``in_situation``; with ``keep_values`` also
+    both sides' values as structs ``__v_old`` / ``__v_new``.
+
+    Aggregations over the union of both sides (and of the situation keys,
+    when they are given at the same width as the keys); no join.  Keys must
+    be unique on each side: a repeat fails the job at run time.
+    """
+    keys = list(keys)
+    check_same_schema(old, new)
+    check_keys(old, keys, "old")
+    on = list(on) if on is not None else (list(situations.columns) if situations is not None else None)
+    fold = situations is not None and set(on) == set(keys)
+    if fold:
+        check_keys(situations, keys, "situations")
+    folded = situations if fold else None
+    g = (_key_values if keep_values else _key_counts)(old, new, keys, folded)
+    if fold:
         g = g.filter((F.col("__n_old") + F.col("__n_new")) > 0)
 
     n_old, n_new = F.col("__n_old"), F.col("__n_new")
     status = (F.when((n_old > 1) | (n_new > 1), _dup_error(keys, n_old, n_new))
               .when(n_old == 0, F.lit("added"))
               .when(n_new == 0, F.lit("removed"))
-              .when(F.col("__c_old").eqNullSafe(F.col("__c_new")), F.lit("same"))
+              .when(F.col("__same"), F.lit("same"))
               .otherwise(F.lit("changed")))
     g = g.withColumn(STATUS, status)
-    if keep_values and not norm:
-        g = g.withColumnRenamed("__c_old", "__v_old").withColumnRenamed("__c_new", "__v_new")
 
-    if situations is not None and not fold_situations:
+    if situations is not None and not fold:
         check_keys(situations, on, "situations")
         missing = [c for c in on if c not in keys]
         if missing:
