@@ -16,7 +16,7 @@ from .functions import (SchemaMismatch, Stage, StagedVersion, call_one,
 from .operators import (check_expected, diff_cells, diff_rows, diff_stages,
                         expected_summary, reconcile, repeated, situations,
                         split_diff, tag_diff, verdict)
-from .plans import Comparison, replay_pair, run_procedure
+from .plans import Comparison, repeatability, replay_pair, run_procedure
 from .session import ensure_checkpoint_dir, get_session, shared_path
 from .sources import (compare_to_pin, history_counts, load_history,
                       materialize, pin, read_pin, snapshot_history)
@@ -26,7 +26,7 @@ __all__ = [
     "param_set", "replay", "sql_version",
     "check_expected", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
     "reconcile", "repeated", "situations", "split_diff", "tag_diff", "verdict",
-    "Comparison", "replay_pair", "run_procedure",
+    "Comparison", "repeatability", "replay_pair", "run_procedure",
     "ensure_checkpoint_dir", "get_session", "shared_path",
     "compare_to_pin", "history_counts", "load_history", "materialize", "pin",
     "read_pin", "snapshot_history",

@@ -22,7 +22,7 @@ from ..session import shared_path
 from ..sources.history import TABLES, history_counts, load_history
 from ..sources.pin import compare_to_pin, pin
 from . import standin as S
-from .replay import replay_pair, run_procedure
+from .replay import repeatability, replay_pair, run_procedure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +127,11 @@ def q_procedure_diff(spark, sf_dir):
     return diff_cells(a, b, [S.PARAM])
 
 
+def q_repeatability(spark, sf_dir):
+    t, params = _setup(spark, sf_dir)
+    return repeatability(S.old_version(), t, params)
+
+
 def q_diff_rows_fix(spark, sf_dir):
     return diff_rows(*_pair(spark, sf_dir, "old", "new"))
 
@@ -222,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "table_fn_lateral": q_table_fn_lateral,      # O4, lateral SQL table function
     "procedure_cost": q_procedure_cost,          # O5
     "procedure_diff": q_procedure_diff,          # O5 + O13
+    "repeatability": q_repeatability,            # O6, a version against itself
     "diff_rows_fix": q_diff_rows_fix,            # O6 + O7
     "diff_rows_broken": q_diff_rows_broken,      # O6 + O7
     "situations": q_situations,                  # O8

@@ -230,6 +230,9 @@ ORACLE: dict[str, str] = {
     "table_fn_lateral": menu("new"),
     "procedure_cost": procedure("new"),
     "procedure_diff": PROCEDURE_DIFF,
+    "repeatability": f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS rows_differing
+FROM ({menu('old')}) m""",
     "diff_rows_fix": diff_rows("old", "new"),
     "diff_rows_broken": diff_rows("old", "broken"),
     "situations": SITUATIONS,

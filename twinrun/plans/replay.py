@@ -7,9 +7,10 @@ one-row verdict in :meth:`Comparison.report`.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.schema import check_same_schema
 from ..functions.table_fn import Tables, Version, as_version, replay
@@ -39,6 +40,24 @@ def replay_pair(old: Version, new: Version, tables: Tables,
     return a, b
 
 
+def repeatability(fn: Version, tables: Tables, params: DataFrame) -> DataFrame:
+    """Run one version twice, in separate jobs, and count differing rows.
+
+    A version with an unstable order (``row_number`` or ``first`` over
+    ties, ``collect_list``) can give different rows on each run, and then
+    every comparison against it is noise.  The first run is saved with a
+    reliable checkpoint, so the second is a fresh execution rather than a
+    reuse of the same shuffle output.  One row: ``rows``, ``rows_differing``.
+    """
+    fn = as_version(fn)
+    first = materialize(replay(fn, tables, params))
+    d = diff_rows(first, replay(fn, tables, params))
+    u = (first.select(F.lit(1).alias("r"), F.lit(0).alias("d"))
+         .unionByName(d.select(F.lit(0).alias("r"), F.abs(F.col("net")).cast("int").alias("d"))))
+    return u.agg(F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("rows"),
+                 F.coalesce(F.sum("d"), F.lit(0)).cast("long").alias("rows_differing"))
+
+
 class Comparison:
     """The test path over one pair of versions.
 
