@@ -11,13 +11,13 @@ function), ``Union`` keeps that hash partitioning and the diff needs no
 exchange at all.  Only identical whole rows meet in one group, and the
 partial sum folds them before any shuffle, so hot keys do not pile up.
 
-``key_compare`` classifies every key as added, removed, changed or same.
-Without values (the verdict) it is two hash aggregations with fixed-width
-buffers: per whole row, then per key.  With values (``diff_cells``, O13)
-it is one aggregation per key keeping both sides' rows as structs.  Either
-way it reads the union of both sides, with no join, and a key repeated on
-either side fails the job with a clear error instead of silently
-multiplying rows as a join would.
+``key_compare`` classifies every key as added, removed, changed or same
+with two hash aggregations over the union of both sides (fixed-width
+buffers, no join, no sort): per whole row, then per key.  A key repeated
+on either side fails the job with a clear error instead of silently
+multiplying rows as a join would.  ``diff_cells`` (O13) puts the old and
+new values of the keys that are not ``same`` side by side, fetching them
+from the O7 rows only.
 """
 
 from __future__ import annotations
