@@ -45,6 +45,25 @@ def verdict(old: DataFrame, new: DataFrame, sit: DataFrame, keys: Sequence[str],
     )
 
 
+def _narrow(df: DataFrame, sit: DataFrame | None, on: Sequence[str] | None) -> DataFrame:
+    """``df`` restricted to the situation keys (null-safe left-semi join)."""
+    if sit is None:
+        return df
+    on = list(on) if on is not None else list(sit.columns)
+    s = sit.select(*[F.col(c).alias(f"__s_{c}") for c in on])
+    return df.join(s, [df[c].eqNullSafe(s[f"__s_{c}"]) for c in on], "left_semi")
+
+
+def _expected_pair(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
+                   sit: DataFrame | None, on: Sequence[str] | None):
+    check_keys(expected, keys, "expected")
+    missing = [c for c in expected.columns if c not in actual.columns]
+    if missing:
+        raise SchemaMismatch(f"actual result lacks expected columns {missing}")
+    return (_narrow(expected, sit, on),
+            _narrow(actual.select(*expected.columns), sit, on))
+
+
 def check_expected(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
                    sit: DataFrame | None = None,
                    on: Sequence[str] | None = None) -> DataFrame:
@@ -56,36 +75,17 @@ def check_expected(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
     keys.  A key missing from ``actual`` counts as wrong (``status`` =
     ``removed``), an extra key too (``added``).  Empty result: fixed.
     """
-    keys = list(keys)
-    check_keys(expected, keys, "expected")
-    missing = [c for c in expected.columns if c not in actual.columns]
-    if missing:
-        raise SchemaMismatch(f"actual result lacks expected columns {missing}")
-    act = actual.select(*expected.columns)
-    exp = expected
-    if sit is not None:
-        on = list(on) if on is not None else list(sit.columns)
-        s = sit.select(*[F.col(c).alias(f"__s_{c}") for c in on])
-        exp = exp.join(s, [exp[c].eqNullSafe(s[f"__s_{c}"]) for c in on], "left_semi")
-        act = act.join(s, [act[c].eqNullSafe(s[f"__s_{c}"]) for c in on], "left_semi")
-    return diff_cells(exp, act, keys, suffixes=("expected", "actual"))
+    exp, act = _expected_pair(actual, expected, keys, sit, on)
+    return diff_cells(exp, act, list(keys), suffixes=("expected", "actual"))
 
 
 def expected_summary(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
                      sit: DataFrame | None = None,
                      on: Sequence[str] | None = None) -> DataFrame:
-    """One row: ``keys_checked`` and ``keys_wrong`` of :func:`check_expected`."""
-    keys = list(keys)
-    keys_checked_src = expected
-    if sit is not None:
-        on_ = list(on) if on is not None else list(sit.columns)
-        s = sit.select(*[F.col(c).alias(f"__s_{c}") for c in on_])
-        keys_checked_src = expected.join(
-            s, [expected[c].eqNullSafe(s[f"__s_{c}"]) for c in on_], "left_semi")
-    act = actual.select(*expected.columns)
-    if sit is not None:
-        act = act.join(s, [act[c].eqNullSafe(s[f"__s_{c}"]) for c in on_], "left_semi")
-    kc = key_compare(keys_checked_src, act, keys)
+    """One row: ``keys_checked`` (keys with an expected value) and
+    ``keys_wrong`` (keys :func:`check_expected` would report)."""
+    exp, act = _expected_pair(actual, expected, keys, sit, on)
+    kc = key_compare(exp, act, list(keys))
     return kc.agg(
         F.count_if(F.col(STATUS) != "added").alias("keys_checked"),
         F.count_if(F.col(STATUS) != "same").alias("keys_wrong"),
