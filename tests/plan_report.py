@@ -41,6 +41,7 @@ def counts(plan: str) -> dict:
         "skew-split joins": c(r"skew=true"),
         "hash aggregates": c(r"HashAggregate\(keys=\[[^\]]"),
         "sort aggregates": c(r"SortAggregate"),
+        "nested-loop or cartesian": c(r"NestedLoopJoin|CartesianProduct"),
     }
 
 

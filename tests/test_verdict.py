@@ -83,3 +83,17 @@ def test_materialized_comparison_same_answer(hist, params, sit):
     assert tuple(c.verdict().first()) == CELLS["broken"]
     assert c.diff().count() == 253
     assert c.cells().filter(F.col("status") == "removed").count() > 0
+
+
+def test_lineitem_line_number_is_not_a_key(hist, sit):
+    """(l_orderkey, l_linenumber) repeats in lineitem (FIXTURES.md): keyed
+    comparisons on it must refuse to run rather than multiply rows."""
+    from twinrun.operators.diff import assert_unique, diff_cells
+    li = hist["lineitem"].select(F.col("l_orderkey").alias("doc"), "l_linenumber",
+                                 F.col("l_partkey").alias("prod"), "l_quantity")
+    assert assert_unique(li, ["doc", "l_linenumber"]).count() == 1161
+    changed = li.withColumn("l_quantity", F.col("l_quantity") + 1)
+    with pytest.raises(Exception, match="key is not unique"):
+        diff_cells(li, changed, ["doc", "l_linenumber"]).collect()
+    with pytest.raises(Exception, match="key is not unique"):
+        verdict(li, changed, sit.select("doc"), ["doc", "l_linenumber"], on=["doc"]).collect()
