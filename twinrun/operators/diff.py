@@ -209,14 +209,15 @@ def diff_cells(old: DataFrame, new: DataFrame, keys: Sequence[str],
          .unionByName(new.select(*cols, F.lit(0).alias("__o"), F.lit(1).alias("__n"))))
     differing = (u.groupBy(*cols).agg(F.sum("__o").alias("__o"), F.sum("__n").alias("__n"))
                  .filter(F.col("__o") != F.col("__n")))
-    out = changed
-    for side, suffix in ((F.col("__o") > F.col("__n"), so), (F.col("__n") > F.col("__o"), sn)):
-        v = differing.filter(side).select(*[F.col(k).alias(f"__k_{suffix}_{k}") for k in keys],
-                                          *[F.col(c).alias(f"{c}_{suffix}") for c in vals])
-        out = out.join(v, [out[k].eqNullSafe(v[f"__k_{suffix}_{k}"]) for k in keys], "left")
+    # at most one old and one new row per key among the differing rows
+    row = F.struct(*[F.col(c) for c in vals]) if vals else F.struct(F.lit(True).alias("_"))
+    pivot = differing.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(
+        F.first(F.when(F.col("__o") > F.col("__n"), row), ignorenulls=True).alias("__v_old"),
+        F.first(F.when(F.col("__n") > F.col("__o"), row), ignorenulls=True).alias("__v_new"))
+    out = changed.join(pivot, [changed[k].eqNullSafe(pivot[f"__k_{k}"]) for k in keys], "left")
     cols = [*keys, STATUS]
     for c in vals:
-        cols += [f"{c}_{so}", f"{c}_{sn}"]
+        cols += [F.col("__v_old")[c].alias(f"{c}_{so}"), F.col("__v_new")[c].alias(f"{c}_{sn}")]
     return out.select(*cols)
 
 
