@@ -12,7 +12,8 @@ Typical use::
 """
 
 from .functions import (SchemaMismatch, Stage, StagedVersion, call_one,
-                        check_same_schema, param_set, replay, sql_version)
+                        check_same_schema, param_set, replay, sql_version,
+                        top_n_per)
 from .operators import (check_expected, diff_cells, diff_rows, diff_stages,
                         expected_summary, reconcile, repeated, situations,
                         split_diff, tag_diff, verdict)
@@ -23,7 +24,7 @@ from .sources import (compare_to_pin, history_counts, load_history,
 
 __all__ = [
     "SchemaMismatch", "Stage", "StagedVersion", "call_one", "check_same_schema",
-    "param_set", "replay", "sql_version",
+    "param_set", "replay", "sql_version", "top_n_per",
     "check_expected", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
     "reconcile", "repeated", "situations", "split_diff", "tag_diff", "verdict",
     "Comparison", "repeatability", "replay_pair", "run_procedure",

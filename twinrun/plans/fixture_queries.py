@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ranking import top_n_per
 from ..functions.table_fn import (call_one, param_set, replay, sql_function_version,
                                   sql_version)
 from ..operators.diff import diff_cells, diff_rows
@@ -115,6 +116,14 @@ def q_table_fn_lateral(spark, sf_dir):
     return replay(sql_function_version("twinrun_menu_new", [S.PARAM]), t, params)
 
 
+def q_table_fn_top_product(spark, sf_dir):
+    """Per document, the product with the largest quantity (a top-1 per
+    parameter, written as a ranking instead of a LIMIT)."""
+    t, params = _setup(spark, sf_dir)
+    menu = replay(S.new_version(), t, params)
+    return top_n_per(menu, [S.PARAM], [F.col("qty").desc()], n=1)
+
+
 def q_procedure_cost(spark, sf_dir):
     t, params = _setup(spark, sf_dir)
     return run_procedure(S.new_version(), t, params, S.procedure_cost)
@@ -225,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "table_fn_replay": q_table_fn_replay,        # O4
     "table_fn_sql": q_table_fn_sql,              # O4, SQL text version
     "table_fn_lateral": q_table_fn_lateral,      # O4, lateral SQL table function
+    "table_fn_top_product": q_table_fn_top_product,  # O4, top row per parameter
     "procedure_cost": q_procedure_cost,          # O5
     "procedure_diff": q_procedure_diff,          # O5 + O13
     "repeatability": q_repeatability,            # O6, a version against itself

@@ -228,6 +228,11 @@ ORACLE: dict[str, str] = {
     "table_fn_replay": menu("new"),
     "table_fn_sql": menu("new"),
     "table_fn_lateral": menu("new"),
+    "table_fn_top_product": f"""
+SELECT doc, prod, p_name, qty FROM (
+  SELECT m.*, row_number() OVER (PARTITION BY doc ORDER BY qty DESC, prod, p_name) AS rn
+  FROM ({menu('new')}) m) r
+WHERE rn = 1""",
     "procedure_cost": procedure("new"),
     "procedure_diff": PROCEDURE_DIFF,
     "repeatability": f"""
