@@ -1,5 +1,6 @@
 """Contracts and column helpers: schema checks, table-function versions."""
 
+from .joins import hot_keys, salted_join
 from .ranking import top_n_per
 from .schema import (SchemaMismatch, check_columns, check_keys,
                      check_same_schema, comparable, comparable_columns)
@@ -10,5 +11,5 @@ __all__ = [
     "SchemaMismatch", "check_columns", "check_keys", "check_same_schema",
     "comparable", "comparable_columns",
     "Stage", "StagedVersion", "Version", "as_version", "call_one",
-    "param_set", "replay", "sql_version", "top_n_per",
+    "param_set", "replay", "sql_version", "top_n_per", "hot_keys", "salted_join",
 ]

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import hot_keys, salted_join
 from ..functions.table_fn import Stage, StagedVersion, Tables, param_set
 from ..operators.situations import repeated
 
@@ -107,9 +108,21 @@ def expected_quantities(tables: Tables) -> DataFrame:
             .agg(F.sum(F.col("l_quantity").cast(QTY)).cast(QTY).alias("qty")))
 
 
+def hot_products(tables: Tables, share: float = 0.001) -> DataFrame:
+    """Products on at least ``share`` of all lines (at most ``1 / share``):
+    the only ones that can dominate a join of menu rows on the product."""
+    li = tables["lineitem"]
+    return hot_keys(li.select(F.col("l_partkey").alias("prod")), ["prod"], share, li.count())
+
+
 def procedure_cost(menu: DataFrame, tables: Tables) -> DataFrame:
-    """The procedure's final result: per doc, sum of qty * retail price."""
+    """The procedure's final result: per doc, sum of qty * retail price.
+
+    The price lookup is the second join on the product in a row (the
+    version already joined ``part``), which adaptive execution cannot
+    split, so a product in a large share of all menus is salted.
+    """
     price = tables["part"].select(F.col("p_partkey").alias("prod"),
                                   F.col("p_retailprice").cast(QTY).alias("price"))
-    return (menu.join(price, "prod")
+    return (salted_join(menu, price, ["prod"], hot_products(tables))
             .groupBy(PARAM).agg(F.sum(F.col("qty") * F.col("price")).cast(COST).alias("cost")))
