@@ -81,3 +81,14 @@ def test_pair_schema_checked(hist, params):
 def test_new_against_itself_is_empty(hist, params):
     a, b = replay_pair(S.new_version(), S.new_version(), hist, params)
     assert diff_rows(a, b).count() == 0
+
+
+def test_repeatability_catches_a_nondeterministic_version(hist, params):
+    from twinrun.plans.replay import repeatability
+    steady = repeatability(S.new_version(), hist, params).first()
+    assert (steady.rows, steady.rows_differing) == (5942, 0)
+
+    def noisy(t, p):  # a version that depends on a random number
+        return S.new_version()(t, p).withColumn("noise", F.rand())
+    shaky = repeatability(noisy, hist, params).first()
+    assert shaky.rows == 5942 and shaky.rows_differing == 2 * 5942
