@@ -39,11 +39,12 @@ def param_set(source: DataFrame, cols: Sequence[str] | Mapping[str, str],
     ``where`` (Column or SQL text) limits history, e.g. to a date range; it
     is applied before the projection so it reaches the parquet scan.
 
-    ``freeze`` saves the set once with a reliable checkpoint in the shared
-    ``spark.checkpoint.dir``.  Every version then replays exactly the same
-    values, and the joins on the parameter read a plain shuffle: with the
-    ``distinct`` aggregate in between, adaptive execution cannot split the
-    partition of a document that holds a large share of all rows.
+    ``freeze`` saves the set once as a table in the shared folder named by
+    ``spark.checkpoint.dir`` (``sources.pin.materialize``).  Every version
+    then replays exactly the same values, and the joins on the parameter
+    read a plain shuffle: with the ``distinct`` aggregate in between,
+    adaptive execution cannot split the partition of a document that holds
+    a large share of all rows.
     """
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     df = source if where is None else source.filter(where)

@@ -45,9 +45,9 @@ def repeatability(fn: Version, tables: Tables, params: DataFrame) -> DataFrame:
 
     A version with an unstable order (``row_number`` or ``first`` over
     ties, ``collect_list``) can give different rows on each run, and then
-    every comparison against it is noise.  The first run is saved with a
-    reliable checkpoint, so the second is a fresh execution rather than a
-    reuse of the same shuffle output.  One row: ``rows``, ``rows_differing``.
+    every comparison against it is noise.  The first run is saved to the
+    shared folder (``materialize``), so the second is a fresh execution
+    rather than a reuse of the same shuffle output.  One row: ``rows``, ``rows_differing``.
     """
     fn = as_version(fn)
     first = materialize(replay(fn, tables, params))
@@ -64,7 +64,7 @@ class Comparison:
     ``keys`` identify a result row (unique per side) and ``situations`` are
     the keys where a difference is wanted, at width ``on`` (defaults to the
     situation columns).  Call :meth:`materialize` before running several
-    actions: it saves both results once in the shared checkpoint folder.
+    actions: it saves both results once in the shared folder.
     """
 
     def __init__(self, old: Version, new: Version, tables: Tables, params: DataFrame,

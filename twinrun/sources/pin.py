@@ -11,9 +11,10 @@ loss of an executor.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators.diff import diff_rows
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_path
 
 
 def pin(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -32,9 +33,33 @@ def compare_to_pin(df: DataFrame, path: str) -> DataFrame:
     return diff_rows(read_pin(df.sparkSession, path), df)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (shared storage):
-    later actions read the saved rows instead of replaying history again,
-    and survive executor loss.  Never a local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _parquet_can_store(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.NullType, T.DayTimeIntervalType, T.YearMonthIntervalType,
+                       T.CalendarIntervalType)):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_parquet_can_store(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _parquet_can_store(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _parquet_can_store(dt.keyType) and _parquet_can_store(dt.valueType)
+    return True
+
+
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Save ``df`` once in the shared folder named by ``spark.checkpoint.dir``
+    and return a DataFrame reading the saved copy.
+
+    Later actions read the saved rows instead of replaying history again,
+    and a lost executor costs no recomputation of what was saved.  The copy
+    is a parquet table (columnar, compressed, and sized for the planner's
+    broadcast check); types parquet cannot hold fall back to a reliable
+    ``checkpoint()`` in the same folder.  Never a local checkpoint.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not all(_parquet_can_store(f.dataType) for f in df.schema.fields):
+        return df.checkpoint(eager=True)
+    path = path or shared_path(spark, "materialized")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
