@@ -1,6 +1,7 @@
 """Comparison operators: diffs, situations, verdict, reconciliation, stages."""
 
-from .diff import NET, STATUS, assert_unique, diff_cells, diff_rows, key_compare
+from .diff import (NET, STATUS, assert_unique, column_changes, diff_cells, diff_rows,
+                   key_compare)
 from .reconcile import reconcile
 from .situations import WANTED, repeated, situations, split_diff, tag_diff
 from .stages import FIRST_STAGE, STAGE_NAME, diff_stages
@@ -8,7 +9,7 @@ from .verdict import CELLS, check_expected, expected_summary, verdict
 
 __all__ = [
     "NET", "STATUS", "WANTED", "CELLS", "FIRST_STAGE", "STAGE_NAME",
-    "assert_unique", "diff_cells", "diff_rows", "key_compare",
+    "assert_unique", "column_changes", "diff_cells", "diff_rows", "key_compare",
     "reconcile", "repeated", "situations", "split_diff", "tag_diff",
     "diff_stages", "check_expected", "expected_summary", "verdict",
 ]

@@ -221,6 +221,23 @@ def diff_cells(old: DataFrame, new: DataFrame, keys: Sequence[str],
     return out.select(*cols)
 
 
+def column_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Which columns carry the differences: one row per value column,
+    ``column_name`` and ``keys_changed`` (keys present on both sides whose
+    value in that column differs).  One aggregation over the O13 rows,
+    then an unpivot; the rows behind each count are in ``diff_cells``."""
+    keys = list(keys)
+    vals = [c for c in old.columns if c not in keys]
+    if not vals:
+        raise SchemaMismatch("no value columns besides the keys")
+    cells = diff_cells(old, new, keys)
+    changed = F.col(STATUS) == "changed"
+    wide = cells.agg(*[
+        F.count_if(changed & ~F.col(f"{c}_old").eqNullSafe(F.col(f"{c}_new"))).alias(c)
+        for c in vals])
+    return wide.unpivot([], vals, "column_name", "keys_changed")
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys repeated in ``df`` with their copy count (empty when unique)."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.ranking import top_n_per
 from ..functions.table_fn import (call_one, param_set, replay, sql_function_version,
                                   sql_version)
-from ..operators.diff import diff_cells, diff_rows
+from ..operators.diff import column_changes, diff_cells, diff_rows
 from ..operators.reconcile import reconcile
 from ..operators.situations import situations, split_diff, tag_diff
 from ..operators.stages import diff_stages
@@ -215,6 +215,10 @@ def q_diff_cells(spark, sf_dir):
     return diff_cells(*_pair(spark, sf_dir, "old", "broken"), list(S.KEYS))
 
 
+def q_column_changes(spark, sf_dir):
+    return column_changes(*_pair(spark, sf_dir, "old", "broken"), list(S.KEYS))
+
+
 def q_reconcile(spark, sf_dir):
     return reconcile(*_pair(spark, sf_dir, "old", "new"), [S.PARAM], ["qty"])
 
@@ -254,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "expected_check": q_expected_check,          # O12
     "expected_summary": q_expected_summary,      # O12
     "diff_cells": q_diff_cells,                  # O13
+    "column_changes": q_column_changes,          # O13, per column
     "reconcile": q_reconcile,                    # O14
     "stage_parity_fix": _stages("new"),          # O15
     "stage_parity_broken": _stages("broken"),    # O15

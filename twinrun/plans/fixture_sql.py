@@ -131,6 +131,12 @@ FROM va FULL OUTER JOIN vb ON va.doc = vb.doc AND va.prod = vb.prod
 WHERE va.doc IS NULL OR vb.doc IS NULL
    OR va.p_name IS DISTINCT FROM vb.p_name OR va.qty IS DISTINCT FROM vb.qty"""
 
+COLUMN_CHANGES = "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS column_name,
+       count(*) FILTER (WHERE status = 'changed' AND {c}_old IS DISTINCT FROM {c}_new)
+         AS keys_changed
+FROM ({DIFF_CELLS}) c{i}""" for i, c in enumerate(("p_name", "qty")))
+
 RECONCILE = f"""
 WITH va AS ({menu('old')}), vb AS ({menu('new')}),
 a AS (SELECT doc, count(*) AS n, sum(qty) AS s FROM va GROUP BY doc),
@@ -254,6 +260,7 @@ FROM ({menu('old')}) m""",
     "expected_check": EXPECTED_CHECK,
     "expected_summary": EXPECTED_SUMMARY,
     "diff_cells": DIFF_CELLS,
+    "column_changes": COLUMN_CHANGES,
     "reconcile": RECONCILE,
     "stage_parity_fix": stage_parity("new"),
     "stage_parity_broken": stage_parity("broken"),
