@@ -1,7 +1,7 @@
 """The whole workflow on the stand-in: pin the error, fix it, refactor the
 fix into SQL steps, and check each stage of the way."""
 
-from twinrun.functions.table_fn import Stage, StagedVersion, replay
+from twinrun.functions.table_fn import StagedVersion, replay, sql_stage
 from twinrun.operators.diff import diff_rows
 from twinrun.operators.situations import split_diff
 from twinrun.operators.stages import diff_stages
@@ -12,25 +12,15 @@ from twinrun.session import shared_path
 from twinrun.sources.pin import compare_to_pin, pin
 
 
-def _sql_step(text):
-    def step(t, params, prev):
-        spark = params.sparkSession
-        frames = dict(t, params=params)
-        if prev is not None:
-            frames["prev"] = prev
-        return spark.sql(text, **frames)
-    return step
-
-
 REFACTORED = StagedVersion([
-    Stage("lines", _sql_step("""
+    sql_stage("lines", """
         SELECT p.doc, l.l_partkey AS prod, CAST(l.l_quantity AS DECIMAL(18,2)) AS q
-        FROM {lineitem} l JOIN {params} p ON p.doc = l.l_orderkey""")),
-    Stage("per_product", _sql_step("""
-        SELECT doc, prod, CAST(sum(q) AS DECIMAL(18,2)) AS qty FROM {prev} GROUP BY doc, prod""")),
-    Stage("menu", _sql_step("""
+        FROM {lineitem} l JOIN {params} p ON p.doc = l.l_orderkey"""),
+    sql_stage("per_product", """
+        SELECT doc, prod, CAST(sum(q) AS DECIMAL(18,2)) AS qty FROM {prev} GROUP BY doc, prod"""),
+    sql_stage("menu", """
         SELECT x.doc, x.prod, p.p_name, x.qty
-        FROM {prev} x JOIN {part} p ON p.p_partkey = x.prod""")),
+        FROM {prev} x JOIN {part} p ON p.p_partkey = x.prod"""),
 ], name="refactored")
 
 

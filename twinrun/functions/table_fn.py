@@ -124,6 +124,19 @@ class Stage:
     fn: Callable[[Tables, DataFrame, DataFrame | None], DataFrame]
 
 
+def sql_stage(name: str, text: str) -> Stage:
+    """A step written in SQL: ``{prev}`` is the previous step's result,
+    ``{params}`` the parameter set and ``{<table>}`` a history table."""
+
+    def step(tables: Tables, params: DataFrame, prev: DataFrame | None) -> DataFrame:
+        frames = dict(tables, params=params)
+        if prev is not None:
+            frames["prev"] = prev
+        return params.sparkSession.sql(text, **frames)
+
+    return Stage(name, step)
+
+
 class StagedVersion:
     """A version decomposed into named steps; calling it runs all steps."""
 
