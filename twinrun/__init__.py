@@ -12,9 +12,9 @@ Typical use::
 """
 
 from .functions import (SchemaMismatch, Stage, StagedVersion, call_one,
-                        check_same_schema, param_set, replay, sql_version,
-                        top_n_per)
-from .operators import (check_expected, diff_cells, diff_rows, diff_stages,
+                        check_same_schema, hot_keys, param_set, replay, salted_join,
+                        sql_stage, sql_version, top_n_per)
+from .operators import (check_expected, column_changes, diff_cells, diff_rows, diff_stages,
                         expected_summary, reconcile, repeated, situations,
                         split_diff, tag_diff, verdict)
 from .plans import Comparison, repeatability, replay_pair, run_procedure
@@ -24,8 +24,8 @@ from .sources import (compare_to_pin, history_counts, load_history,
 
 __all__ = [
     "SchemaMismatch", "Stage", "StagedVersion", "call_one", "check_same_schema",
-    "param_set", "replay", "sql_version", "top_n_per",
-    "check_expected", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
+    "hot_keys", "param_set", "replay", "salted_join", "sql_stage", "sql_version", "top_n_per",
+    "check_expected", "column_changes", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
     "reconcile", "repeated", "situations", "split_diff", "tag_diff", "verdict",
     "Comparison", "repeatability", "replay_pair", "run_procedure",
     "ensure_checkpoint_dir", "get_session", "shared_path",
