@@ -41,3 +41,21 @@ def test_diff_cells_statuses(spark, a, b):
         want[k] = ("added" if k not in a else "removed" if k not in b
                    else "same" if a[k] == b[k] else "changed")
     assert got == want
+
+
+sit_keys = st.sets(st.integers(0, 6), max_size=4)
+
+
+@SETTINGS
+@given(a=keyed, b=keyed, s=sit_keys)
+def test_verdict_cells_match_brute_force(spark, a, b, s):
+    from twinrun.operators.verdict import verdict
+    da = spark.createDataFrame([(k, *v) for k, v in a.items()], SCHEMA)
+    db = spark.createDataFrame([(k, *v) for k, v in b.items()], SCHEMA)
+    ds = spark.createDataFrame([(k,) for k in s], "k long")
+    got = tuple(verdict(da, db, ds, ["k"]).first())
+    cells = [0, 0, 0, 0]
+    for k in set(a) | set(b):
+        changed = k not in a or k not in b or a[k] != b[k]
+        cells[(0 if k in s else 2) + (0 if changed else 1)] += 1
+    assert got == tuple(cells)
