@@ -51,8 +51,18 @@ RETURN SELECT o.o_orderkey, l.l_partkey, p.p_name,
 """
 
 
+# Schema per table file, learned on first read (footers only).  The file
+# list is still taken fresh by every query.
+_SCHEMAS: dict[str, object] = {}
+
+
 def _tables(spark: SparkSession, sf_dir: str, names=("orders", "lineitem", "part")):
-    return load_history(spark, sf_dir, names)
+    root = sf_dir.rstrip("/")
+    known = {n: _SCHEMAS[f"{root}/{n}"] for n in names if f"{root}/{n}" in _SCHEMAS}
+    t = load_history(spark, root, names, schemas=known)
+    for n, df in t.items():
+        _SCHEMAS.setdefault(f"{root}/{n}", df.schema)
+    return t
 
 
 def _setup(spark: SparkSession, sf_dir: str):
@@ -70,7 +80,7 @@ def _sit(t):
 
 
 def q_history_counts(spark, sf_dir):
-    return history_counts(load_history(spark, sf_dir, TABLES))
+    return history_counts(_tables(spark, sf_dir, TABLES))
 
 
 def q_param_set(spark, sf_dir):

@@ -13,18 +13,32 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
 
-def load_history(spark: SparkSession, root: str,
-                 names: Iterable[str] = TABLES, fmt: str = "parquet") -> dict[str, DataFrame]:
+def load_history(spark: SparkSession, root: str, names: Iterable[str] = TABLES,
+                 fmt: str = "parquet",
+                 schemas: Mapping[str, StructType] | None = None) -> dict[str, DataFrame]:
     """Map each table name to a DataFrame over ``{root}/{name}.{fmt}``
-    (a file or a directory of part files)."""
+    (a file or a directory of part files).
+
+    A known schema (``schemas[name]``) skips schema inference, which for
+    parquet is a Spark job reading file footers; the file list itself is
+    always taken fresh, once, here.
+    """
     root = root.rstrip("/")
-    return {n: spark.read.format(fmt).load(f"{root}/{n}.{fmt}") for n in names}
+    schemas = schemas or {}
+    out = {}
+    for n in names:
+        reader = spark.read.format(fmt)
+        if n in schemas:
+            reader = reader.schema(schemas[n])
+        out[n] = reader.load(f"{root}/{n}.{fmt}")
+    return out
 
 
 def snapshot_history(tables: Mapping[str, DataFrame], path: str,

@@ -62,4 +62,4 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
         return df.checkpoint(eager=True)
     path = path or shared_path(spark, "materialized")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
