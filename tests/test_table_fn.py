@@ -50,7 +50,7 @@ def test_sql_text_version_equals_dataframe_version(hist, params):
 
 def test_sql_table_function_lateral(spark, hist, params):
     for n, df in hist.items():
-        df.createOrReplaceTempView(n)
+        df.createOrReplaceTempView(f"twinrun_{n}")
     spark.sql(NEW_FUNCTION)
     a = replay(S.new_version(), hist, params)
     b = replay(sql_function_version("twinrun_menu_new", ["doc"]), hist, params)

@@ -43,9 +43,9 @@ CREATE OR REPLACE TEMPORARY FUNCTION twinrun_menu_new(k BIGINT)
 RETURNS TABLE (doc BIGINT, prod BIGINT, p_name STRING, qty DECIMAL(18,2))
 RETURN SELECT o.o_orderkey, l.l_partkey, p.p_name,
               CAST(sum(CAST(l.l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2))
-       FROM orders o
-       JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-       JOIN part p ON p.p_partkey = l.l_partkey
+       FROM twinrun_orders o
+       JOIN twinrun_lineitem l ON l.l_orderkey = o.o_orderkey
+       JOIN twinrun_part p ON p.p_partkey = l.l_partkey
        WHERE o.o_orderkey = k
        GROUP BY o.o_orderkey, l.l_partkey, p.p_name
 """
@@ -100,11 +100,17 @@ def q_table_fn_one(spark, sf_dir):
     return call_one(S.new_version(), t, params, doc=_top_doc(t))
 
 
+def _register_function(t) -> None:
+    """History as prefixed temp views (never clobbering the caller's own
+    views), then the SQL table function over them."""
+    for n, df in t.items():
+        df.createOrReplaceTempView(f"twinrun_{n}")
+    next(iter(t.values())).sparkSession.sql(NEW_FUNCTION)
+
+
 def q_table_fn_sql_one(spark, sf_dir):
     t, _ = _setup(spark, sf_dir)
-    for n, df in t.items():
-        df.createOrReplaceTempView(n)
-    spark.sql(NEW_FUNCTION)
+    _register_function(t)
     return spark.sql("SELECT * FROM twinrun_menu_new(:k)", args={"k": _top_doc(t)})
 
 
@@ -120,9 +126,7 @@ def q_table_fn_sql(spark, sf_dir):
 
 def q_table_fn_lateral(spark, sf_dir):
     t, params = _setup(spark, sf_dir)
-    for n, df in t.items():
-        df.createOrReplaceTempView(n)
-    spark.sql(NEW_FUNCTION)
+    _register_function(t)
     return replay(sql_function_version("twinrun_menu_new", [S.PARAM]), t, params)
 
 
