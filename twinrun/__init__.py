@@ -18,7 +18,7 @@ from .operators import (check_expected, column_changes, diff_cells, diff_rows, d
                         expected_summary, reconcile, repeated, situations,
                         split_diff, tag_diff, verdict)
 from .plans import Comparison, repeatability, replay_pair, run_procedure
-from .session import ensure_checkpoint_dir, get_session, shared_path
+from .session import configure, ensure_checkpoint_dir, get_session, shared_path
 from .sources import (compare_to_pin, history_counts, load_history,
                       materialize, pin, read_pin, snapshot_history)
 
@@ -28,7 +28,7 @@ __all__ = [
     "check_expected", "column_changes", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
     "reconcile", "repeated", "situations", "split_diff", "tag_diff", "verdict",
     "Comparison", "repeatability", "replay_pair", "run_procedure",
-    "ensure_checkpoint_dir", "get_session", "shared_path",
+    "configure", "ensure_checkpoint_dir", "get_session", "shared_path",
     "compare_to_pin", "history_counts", "load_history", "materialize", "pin",
     "read_pin", "snapshot_history",
 ]

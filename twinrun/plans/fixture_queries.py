@@ -19,7 +19,7 @@ from ..operators.reconcile import reconcile
 from ..operators.situations import situations, split_diff, tag_diff
 from ..operators.stages import diff_stages
 from ..operators.verdict import check_expected, expected_summary, verdict
-from ..session import shared_path
+from ..session import configure, shared_path
 from ..sources.history import TABLES, history_counts, load_history
 from ..sources.pin import compare_to_pin, pin
 from . import standin as S
@@ -66,6 +66,7 @@ def _tables(spark: SparkSession, sf_dir: str, names=("orders", "lineitem", "part
 
 
 def _setup(spark: SparkSession, sf_dir: str):
+    configure(spark)
     t = _tables(spark, sf_dir)
     return t, S.params_of(t)
 

@@ -38,21 +38,37 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # split a hot document even when that costs one more exchange later
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.files.maxPartitionBytes", "128m")
         .config("spark.driver.memory", os.environ.get("TWINRUN_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    configure(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+# Adaptive execution as the replay plans expect it.  All are runtime SQL
+# settings that change how a plan executes, never what it returns.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot document even when that costs one more exchange later
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Turn on the adaptive-execution settings the replay plans rely on
+    (skewed join partitions are split even when a later operator then
+    needs its own exchange)."""
+    for k, v in ADAPTIVE.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def _cores(master: str) -> int:
     if master.startswith("local[") and master.endswith("]"):
         inner = master[len("local["):-1].split(",")[0]
