@@ -29,3 +29,10 @@ def test_top_n_keeps_columns_and_is_repeatable(spark):
     b = top_n_per(df.repartition(3), ["g"], [F.col("v").desc()])
     assert a.columns == df.columns
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) == [(1, 5, 1), (2, 1, 3)]
+
+
+def test_top_n_with_map_column(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, 3, map('a', 1)), (1, 5, map('b', 2)), (2, 1, map('c', 3))
+                      AS t(g, v, m)""")
+    got = {r.g: (r.v, r.m) for r in top_n_per(df, ["g"], [F.col("v").desc()]).collect()}
+    assert got == {1: (5, {"b": 2}), 2: (1, {"c": 3})}

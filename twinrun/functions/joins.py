@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .schema import row_hash
+
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001,
              total: int | None = None) -> DataFrame:
@@ -55,7 +57,7 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], hot: Data
     if flags.limit(1).count() == 0:
         return big.join(small, keys, how)
     flags = F.broadcast(flags)  # bounded by the hot-key rule, see hot_keys
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets))
+    bucket = F.pmod(row_hash(big), F.lit(buckets))
     b = (big.join(flags, keys, "left")
          .withColumn("__salt", F.when(F.col("__hot"), bucket).otherwise(F.lit(0).cast("long")))
          .drop("__hot"))

@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .schema import comparable, row_hash
+
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,9 +41,11 @@ def top_n_per(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
     by = list(by)
     order_cols = [_as_col(c) for c in order]
     named = {c for c in order if isinstance(c, str)}
-    tie = [F.col(c).asc_nulls_first() for c in df.columns if c not in by and c not in named]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    tie = [comparable(F.col(c), types[c]).asc_nulls_first()
+           for c in df.columns if c not in by and c not in named]
     full_order = [*order_cols, *tie]
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
+    bucket = F.pmod(row_hash(df), F.lit(buckets))
     local = Window.partitionBy(*by, "__bucket").orderBy(*full_order)
     final = Window.partitionBy(*by).orderBy(*full_order)
     return (df.withColumn("__bucket", bucket)

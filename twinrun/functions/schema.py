@@ -127,3 +127,10 @@ def comparable_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list
 
 def needs_normalising(df: DataFrame) -> bool:
     return not all(_orderable(f.dataType) for f in df.schema.fields)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A deterministic 64-bit hash of the whole row, for spreading rows over
+    buckets (never for deciding equality).  Maps are hashed in their
+    key-sorted form, which ``xxhash64`` accepts."""
+    return F.xxhash64(*comparable_columns(df))
