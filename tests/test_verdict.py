@@ -97,3 +97,10 @@ def test_lineitem_line_number_is_not_a_key(hist, sit):
         diff_cells(li, changed, ["doc", "l_linenumber"]).collect()
     with pytest.raises(Exception, match="key is not unique"):
         verdict(li, changed, sit.select("doc"), ["doc", "l_linenumber"], on=["doc"]).collect()
+
+
+def test_comparison_columns_and_stages(hist, params, sit):
+    c = Comparison(S.old_version(), S.broken_version(), hist, params, S.KEYS, sit)
+    got = {r.column_name: r.keys_changed for r in c.column_changes().collect()}
+    assert got["p_name"] == 0 and got["qty"] > 0
+    assert {r.stage_name for r in c.stage_parity().collect()} == {"lines", "per_product"}

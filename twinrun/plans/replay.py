@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.schema import check_same_schema
-from ..functions.table_fn import Tables, Version, as_version, replay
-from ..operators.diff import diff_cells, diff_rows
+from ..functions.table_fn import StagedVersion, Tables, Version, as_version, replay
+from ..operators.diff import column_changes, diff_cells, diff_rows
 from ..operators.reconcile import reconcile
 from ..operators.situations import split_diff, tag_diff
+from ..operators.stages import diff_stages
 from ..operators.verdict import CELLS, check_expected, expected_summary, verdict
 from ..sources.pin import materialize
 
@@ -76,6 +77,7 @@ class Comparison:
         self.situations = situations
         self.on = list(on) if on is not None else (
             list(situations.columns) if situations is not None else None)
+        self.versions = (old, new)
         self.old, self.new = replay_pair(old, new, tables, params)
 
     def materialize(self) -> Comparison:
@@ -95,6 +97,17 @@ class Comparison:
     def cells(self, include_same: bool = False) -> DataFrame:
         return diff_cells(self.old, self.new, self.keys, include_same=include_same)
 
+    def column_changes(self) -> DataFrame:
+        return column_changes(self.old, self.new, self.keys)
+
+    def stage_parity(self, param_cols: Sequence[str] | None = None) -> DataFrame:
+        """First differing step per parameter value; both versions must be
+        ``StagedVersion``s with the same number of steps."""
+        old, new = self.versions
+        if not (isinstance(old, StagedVersion) and isinstance(new, StagedVersion)):
+            raise TypeError("stage parity needs two StagedVersion objects")
+        return diff_stages(old, new, self.tables, self.params, param_cols)
+
     def verdict(self) -> DataFrame:
         return verdict(self.old, self.new, self._sit(), self.keys, self.on)
 
