@@ -101,7 +101,7 @@ SELECT conv_id, count(*) AS n_turns,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(n)::BIGINT AS formatted_chars
-FROM p GROUP BY conv_id""".replace("\\\\", "\\")
+FROM p GROUP BY conv_id"""
 
 
 def mixing_sql() -> str:
