@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from twinrun.llm.common import saved, table
 from twinrun.llm.exact_dedup import dedup_rows
 from twinrun.llm.mixing import mixed_rows
+from twinrun.llm.ngram_join import near_dedup_rows
+from twinrun.llm.packing import pack, piece_index
 from twinrun.llm.quality import quality_kept
+from twinrun.llm.tokenizer import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,12 +27,23 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_rows(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dedup_rows(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every document as often as it is taken."""
     return mixed_rows(docs)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact), ("mixing", mixing)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the mix's documents, by power of two."""
+    return piece_index(pack(docs, tokenizer_path()))
+
+
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("n-gram Jaccard join", near),
+          ("mixing", mixing), ("packing", packing)]
 
 #: SQL cannot tokenize, so the whole is tested against a brute-force version.
 ORACLE_SQL = None

@@ -1,0 +1,138 @@
+"""Plain Python versions of the operators' contracts, for small tables."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def base_rules(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    covered = {i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(8)}
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)),
+            len(covered), n < 20 or 100 * len(covered) > 30 * n)
+
+
+def line_dedup(docs, least=10):
+    """docs: (id, text); per row (id, n_lines, n_dropped, sha of what stays)."""
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+    seen = defaultdict(set)
+    for d, t in docs:
+        for line in (t or "").split("\n"):
+            seen[key(line)].add((d, t))
+    out = []
+    for d, t in docs:
+        lines = (t or "").split("\n")
+        stay = [x for x in lines if key(x) == "" or len(seen[key(x)]) < least]
+        out.append((d, len(lines), len(lines) - len(stay), sha("\n".join(stay))))
+    return out
+
+
+def tokens(text, tokenizer, end):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
+
+
+def crc(ids) -> int:
+    return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def pieces(text, tokenizer):
+    """(start, length, crc, doc_tokens) of a document's pieces."""
+    ids = tokens(text, tokenizer, 1)
+    out, at = [], 0
+    while at < len(ids):
+        n = min(2048, 1 << (len(ids) - at).bit_length() - 1)
+        out.append((at, n, crc(ids[at:at + n]), len(ids)))
+        at += n
+    return out
+
+
+def shingles(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def near_components(docs):
+    """docs: (id, text); per row (id, n_shingles, component_id)."""
+    sets = [shingles(t) for _, t in docs]
+    by = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            by[x].append(i)
+    up = list(range(len(docs)))
+
+    def top(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    for a, b in {p for rows in by.values() for p in combinations(rows, 2)}:
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            up[max(top(a), top(b))] = min(top(a), top(b))
+    low = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            low[top(i)] = min(d, low.get(top(i), d))
+    return [(d, len(s), low.get(top(i)) if s else d) for i, ((d, _), s) in enumerate(zip(docs, sets))]
+
+
+def exact_dedup(docs):
+    """docs: (id, text), no repeated rows; per row (id, keep, size, kept, sha)."""
+    groups = defaultdict(list)
+    for d, t in docs:
+        groups[sha(SPACE.sub("", t or ""))].append((-len(t or ""), d is None, d))
+    out = []
+    for d, t in docs:
+        h = sha(SPACE.sub("", t or ""))
+        best = min(groups[h])
+        out.append((d, best[2], len(groups[h]), best[2] == d, h))
+    return out
+
+
+def payload(text):
+    data = (text or "").encode()
+    return len(data), base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def conversation(turns):
+    """turns: (turn, role, text) in order; (n_turns, sha, loss_chars, loss sha)."""
+    loss = "".join(t or "" for _, r, t in turns if r == "assistant")
+    return len(turns), sha("".join(f"{r or ''}\n{t or ''}\n" for _, r, t in turns)), len(loss), sha(loss)
+
+
+def mix_targets(sizes, weights=(5, 2, 1), cap=3):
+    """sizes: source -> size; source -> target, by sharing the excess again and again."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, target, open_ = sum(sizes.values()), {}, set(names)
+    while open_:
+        whole = sum(w[s] for s in open_)
+        above = {s for s in open_ if left * w[s] / whole > cap * sizes[s]}
+        if not above:
+            target.update({s: left * w[s] / whole for s in open_})
+            break
+        for s in above:
+            target[s] = cap * sizes[s]
+        left -= sum(target[s] for s in above)
+        open_ -= above
+    return target

@@ -5,12 +5,20 @@ The module is pickled by value, so executors need no copy of the package.
 
 from __future__ import annotations
 
+import os
 import sys
+import types
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext, cloudpickle
+
+#: bytes of text that one step of a kernel handles; a longer text is a step of its own
+STEP_BYTES = 8 << 20
 
 
 def misra_gries(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa.RecordBatch]:
@@ -32,4 +40,487 @@ def misra_gries(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa
         [pa.array(values, pa.binary()), pa.array([held[v] for v in values], pa.int64())], [name, "n"])
 
 
+def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of a string column and the offsets of its rows (null: empty)."""
+    col = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, data = col.buffers()
+    off = np.frombuffer(offsets, np.int64)[col.offset:col.offset + len(col) + 1]
+    if data is None or len(col) == 0:
+        return np.zeros(0, np.uint8), np.zeros(len(col) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
+
+
+def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows of about STEP_BYTES of text."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        _, off = text_buffer(batch.column(column))
+        at = 0
+        while at < batch.num_rows:
+            end = int(np.searchsorted(off, off[at] + STEP_BYTES, "right")) - 1
+            end = min(max(end, at + 1), batch.num_rows)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+class Encoder:
+    """Token ids of texts by the tokenizers library, each distinct chunk once.
+
+    Byte-level BPE never merges across the start of a word, and a space after
+    a visible character always starts one.  So a text may be cut before such
+    spaces and its ids are those of the chunks in a row.  Distinct chunks are
+    encoded once a step; a bounded table remembers earlier ones.  White space
+    is taken widely: a space after any other byte is not a cut, which only
+    makes chunks longer.
+    """
+
+    def __init__(self, path: str, remembered: int = 1_500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.byte_length = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a character of a token stands for a byte
+            self.byte_length[i] = len(token)
+        self.remembered = remembered
+        self.keys = pa.array([], pa.large_string())
+        self.ends = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def encode_distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each chunk, all ids).  Chunks that start with a
+        space and end visibly are encoded in long rows, since their borders
+        are cuts; token lengths in bytes tell whose an id is."""
+        data, off = text_buffer(chunks)
+        n = len(chunks)
+        if n == 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        last = data[off[1:] - 1]
+        plain = (data[off[:-1]] == 0x20) & (last > 0x20) & (last < 0x7F)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        n_plain = int(plain.sum())
+        words = chunks.take(pa.array(order)).to_pylist()
+        texts = ["".join(words[i:min(i + 1000, n_plain)]) for i in range(0, n_plain, 1000)] + words[n_plain:]
+        coded = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(coded)
+        ends = np.cumsum(np.diff(off)[order])
+        upto = np.searchsorted(np.cumsum(self.byte_length[ids]), ends) + 1
+        size = np.diff(np.concatenate([[0], upto]))
+        lengths = np.zeros(n, np.int64)
+        lengths[order] = size
+        first = np.zeros(n, np.int64)
+        first[order] = upto - size
+        total = np.cumsum(lengths)
+        return lengths, ids[np.repeat(first - (total - lengths), lengths) + np.arange(total[-1])]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets of the rows, all ids)."""
+        data, off = text_buffer(texts)
+        n = len(data)
+        if n == 0:
+            return np.zeros(len(off), np.int64), np.zeros(0, np.int32)
+        before, before2 = np.empty_like(data), np.empty_like(data)
+        before[0], before[1:] = 0, data[:-1]
+        before2[:2], before2[2:] = 0, data[:-2]
+        visible = ((before > 0x20) & (before < 0x7F)) | ((before >= 0x80) & (before2 >= 0xC3) & (before2 < 0xE0))
+        starts = np.zeros(n + 1, bool)
+        starts[:n] = (data == 0x20) & visible
+        starts[off] = True
+        bounds = np.flatnonzero(starts)
+        chunks = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1,
+                                       [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = chunks.dictionary_encode()
+        which, kinds = coded.indices.to_numpy(), coded.dictionary
+        known = pc.index_in(kinds, value_set=self.keys)
+        missing = known.is_null().to_numpy(zero_copy_only=False)
+        new = kinds.filter(pa.array(missing))
+        lengths, flat = self.encode_distinct(new)
+        entry = pc.fill_null(known, 0).to_numpy().astype(np.int64)
+        entry[missing] = len(self.keys) + np.arange(len(new))
+        ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+        all_ids = np.concatenate([self.ids, flat])
+
+        used = entry[which]
+        size = ends[used + 1] - ends[used]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        out = all_ids[np.repeat(ends[used] - upto[:-1], size) + np.arange(upto[-1])]
+
+        if len(self.keys) + len(new) <= self.remembered:
+            self.keys = pa.concat_arrays([self.keys, new])
+            self.ends, self.ids = ends, all_ids
+        else:  # start again with the chunks that this step had more than once
+            often = np.flatnonzero(np.bincount(which, minlength=len(kinds)) > 1)[:self.remembered]
+            e = entry[often]
+            size = ends[e + 1] - ends[e]
+            self.keys = kinds.take(pa.array(often))
+            self.ends = np.concatenate([[0], np.cumsum(size)])
+            self.ids = all_ids[np.repeat(ends[e] - self.ends[:-1], size) + np.arange(self.ends[-1])]
+        return upto[np.searchsorted(bounds, off)], out
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this worker process, which remembers chunks from task to task."""
+    state = sys.modules.setdefault("_twinrun_worker_state", types.ModuleType("_twinrun_worker_state"))
+    held = getattr(state, "encoders", None)
+    if held is None or path not in held:
+        state.encoders = held = {path: Encoder(path)}
+    return held[path]
+
+
+def with_end(off: np.ndarray, ids: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end_id`` after each row."""
+    return off + np.arange(len(off)), np.insert(ids, off[1:], end_id).astype(np.int32)
+
+
+def list_array(off: np.ndarray, ids: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids))
+
+
+def encode_rows(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    """Each row's columns but ``text``, then ``part`` (this task), ``pos``
+    (row in the task), ``tokens`` and ``n_tokens``."""
+    encoder, part, pos = worker_encoder(path), TaskContext.get().partitionId(), 0
+    for batch in steps(batches):
+        off, ids = with_end(*encoder.encode(batch.column("text")), end_id)
+        rest = batch.drop_columns(["text"])
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [*rest.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(pos, pos + n)),
+             list_array(off, ids), pa.array(np.diff(off))],
+            [*rest.schema.names, "part", "pos", "tokens", "n_tokens"])
+        pos += n
+
+
+def crc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's columns but ``tokens``, then the CRC-32 of its tokens as
+    little-endian unsigned 32-bit integers."""
+    for batch in batches:
+        tokens = batch.column("tokens")
+        flat = np.ascontiguousarray(tokens.values.to_numpy(zero_copy_only=False).astype("<u4"))
+        off = tokens.offsets.to_numpy()
+        view = memoryview(flat.view(np.uint8))
+        crc = np.fromiter((zlib.crc32(view[4 * a:4 * b]) for a, b in zip(off[:-1], off[1:])), np.int64, len(off) - 1)
+        rest = batch.drop_columns(["tokens"])
+        yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(crc)], [*rest.schema.names, "ids_crc32"])
+
+
+def piece_counts(batches: Iterator[pa.RecordBatch], path: str, end_id: int, top: int) -> Iterator[pa.RecordBatch]:
+    """``encode_rows`` plus ``ranks``: per power of two up to 2**top, how many
+    pieces of that length this task has had before the row."""
+    had = np.zeros(top + 1, np.int64)
+    for batch in encode_rows(batches, path, end_id):
+        n = batch.column("n_tokens").to_numpy()
+        each = (n[:, None] >> np.arange(top + 1)) & 1
+        each[:, top] = n >> top
+        upto = np.cumsum(each, axis=0)
+        ranks = had + upto - each
+        had = had + upto[-1]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, list_array(np.arange(len(n) + 1) * (top + 1), ranks.ravel())],
+            [*batch.schema.names, "ranks"])
+
+
+# ---------------------------------------------------------------- shingles
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """The finishing step of splitmix64: spreads every bit over the word."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets of the rows, 64-bit hash of every word); words are what white
+    space (ASCII) separates, A-Z lower-cased."""
+    data, off = text_buffer(texts)
+    if len(data) == 0:
+        return np.zeros(len(off), np.int64), np.zeros(0, np.uint64)
+    space = _SPACE[data]
+    inside = ~space
+    starts = inside.copy()
+    starts[1:] &= space[:-1]
+    borders = off[:-1][off[:-1] < len(data)]
+    starts[borders] = inside[borders]
+    letters = (_LOWER[data] if lower else data)[inside]
+    place = np.cumsum(inside) - inside  # of each byte among the letters
+    at = np.flatnonzero(starts)
+    ends = np.append(place[at], len(letters)).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(letters)])
+    coded = words.dictionary_encode()
+    kinds = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    return np.searchsorted(at, off).astype(np.int64), kinds[coded.indices.to_numpy()]
+
+
+def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """Per row its sorted set of shingle hashes (uint64): ``width`` words in a
+    row, or all words of a shorter text."""
+    off, words = word_hashes(texts)
+    h = np.full(max(len(words) - width + 1, 0), width, np.uint64)
+    for k in range(width):
+        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k:k + len(h)])
+    out = []
+    for a, b in zip(off[:-1], off[1:]):
+        if b - a >= width:
+            out.append(np.unique(h[a:b - width + 1]))
+        elif b > a:
+            one = np.full(1, b - a, np.uint64)
+            for w in words[a:b]:
+                one = _mix(one * np.uint64(0x9E3779B97F4A7C15) + w)
+            out.append(one)
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
+
+
+def shingle_sketches(batches: Iterator[pa.RecordBatch], width: int, k: int) -> Iterator[pa.RecordBatch]:
+    """Each row's columns but ``text``, then ``n`` (set size), ``c`` (a 128-bit
+    digest of the set) and ``sketch`` (its ``k`` smallest hashes)."""
+    for batch in steps(batches):
+        sets = shingle_sets(batch.column("text"), width)
+        rest = batch.drop_columns(["text"])
+        sketch = [s[:k] for s in sets]
+        flat = np.concatenate(sketch).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [*rest.columns, pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
+             list_array(np.concatenate([[0], np.cumsum([len(s) for s in sketch])]), flat)],
+            [*rest.schema.names, "n", "c", "sketch"])
+
+
+def shingle_blobs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Each row's columns but ``text``, then ``shingles``, its set as bytes."""
+    for batch in steps(batches):
+        rest = batch.drop_columns(["text"])
+        yield pa.RecordBatch.from_arrays(
+            [*rest.columns, pa.array([s.tobytes() for s in shingle_sets(batch.column("text"), width)], pa.binary())],
+            [*rest.schema.names, "shingles"])
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Runs of equal ``key`` of a partition that is sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if held and held[-1].column(key)[0].as_py() != keys[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Linked:
+    """Union-find over the rows of one group."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def top(self, a: int) -> int:
+        while self.up[a] != a:
+            self.up[a] = self.up[self.up[a]]
+            a = self.up[a]
+        return a
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.top(a), self.top(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
+def linked(i: int, a: int, b: int, percent: int) -> bool:
+    """Jaccard similarity of at least ``percent``, in whole numbers."""
+    return 100 * i >= percent * (a + b - i)
+
+
+def sketch_overlap(a: np.ndarray, b: np.ndarray, k: int) -> int:
+    """Common values among the ``k`` smallest of the union of two sketches."""
+    both = np.sort(np.concatenate([a, b]))
+    same = both[1:][both[1:] == both[:-1]]
+    if len(same) == 0:
+        return 0
+    kinds = len(both) - len(same)
+    if kinds <= k:
+        return len(same)
+    return int((same <= np.unique(both)[k - 1]).sum())
+
+
+def region_candidates(sizes: np.ndarray, sketches: list[np.ndarray], k: int, least: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs of rows that the sketches leave possible: sizes close enough and
+    enough shared values.  Shared values are counted for all pairs at once,
+    from an incidence matrix of the values that at least two rows have."""
+    n = len(sizes)
+    flat = np.concatenate(sketches)
+    row = np.repeat(np.arange(n), [len(s) for s in sketches])
+    _, col, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count > 1
+    if not shared.any():
+        return []
+    new = np.cumsum(shared) - 1
+    use = shared[col]
+    use = shared[col]
+    row, col = row[use], new[col[use]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    both = np.zeros((n, n), np.float32)
+    width = max(1, (16 << 20) // n)  # columns at a time: bounded memory
+    for at in range(0, int(shared.sum()), width):
+        lo, hi = np.searchsorted(col, [at, at + width])
+        m = np.zeros((n, int(col[hi - 1]) - at + 1), np.float32)
+        m[row[lo:hi], col[lo:hi] - at] = 1
+        both += m @ m.T
+    need = np.minimum(least, (percent * sizes + 99) // 100)
+    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+    ok = np.triu((both >= np.minimum.outer(need, need)) & (100 * small >= percent * large), 1)
+    return [(int(a), int(b)) for a, b in zip(*np.nonzero(ok))]
+
+
+def candidate_regions(batches: Iterator[pa.RecordBatch], k: int, least: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """For regions (``pivot``; rows ``rid``, ``n``, ``sketch``): the connected
+    parts of their candidate pairs, as (``part``, ``rid``), ``part`` being a
+    hash of its members, so that equal parts of several regions are one."""
+    for t in groups(batches, "pivot"):
+        if t.num_rows < 2:
+            continue
+        rid = t.column("rid").to_numpy()
+        sketch = t.column("sketch").combine_chunks()
+        values, off = sketch.values.to_numpy().view(np.uint64), sketch.offsets.to_numpy()
+        sketches = [values[a:b] for a, b in zip(off[:-1], off[1:])]
+        pairs = region_candidates(t.column("n").to_numpy(), sketches, k, least, percent)
+        if not pairs:
+            continue
+        uf = Linked(len(rid))
+        for a, b in pairs:
+            uf.join(a, b)
+        top = np.array([uf.top(i) for i in range(len(rid))])
+        parts, out = [], []
+        for one in np.unique(top):
+            members = np.sort(rid[top == one])
+            if len(members) > 1:
+                parts += [xxhash.xxh64_intdigest(members.tobytes())] * len(members)
+                out.append(members)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.array(parts, np.uint64).view(np.int64)), pa.array(np.concatenate(out))], ["part", "rid"])
+
+
+def join_region(sets: list[np.ndarray], k: int, least: int, percent: int, pivots: int = 8) -> list[tuple[int, int]]:
+    """Links that connect the rows of one region as all its links would.
+
+    The first open row is the pivot and its exact distance to all others is
+    taken.  Rows within reach are linked to it, so links among them add
+    nothing.  The others stay open while some row not yet connected with them
+    lies in the window of the triangle inequality, |d(x, p) - d(y, p)| <=
+    1 - t; the next open row is then the pivot.  After ``pivots`` of them the
+    open rows are held against all rows inside the windows of every pivot.
+    """
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    uf, out = Linked(n), []
+    reach = 1 - percent / 100 + 1e-9
+    opened = list(range(n))
+    far: list[np.ndarray] = []
+    while len(opened) > 1:
+        p = opened[0]
+        d = np.empty(n)
+        for i in range(n):
+            shared = size[p] if i == p else common(sets[p], sets[i])
+            d[i] = 1 - shared / (size[p] + size[i] - shared)
+            if i != p and linked(shared, size[p], size[i], percent) and uf.join(p, i):
+                out.append((p, i))
+        far.append(d)
+        # p is settled: its distance to every row is known
+        top = np.array([uf.top(i) for i in range(n)])
+        if (top == top[0]).all():
+            return out
+        rest = np.array(opened[1:], np.int64)
+        may = (np.abs(d[rest][:, None] - d[None, :]) <= reach) & (top[rest][:, None] != top[None, :])
+        opened = rest[may.any(axis=1)].tolist()
+        if len(far) >= pivots:
+            break
+    if len(opened) > 1:
+        dist = np.stack(far)
+        sketches = [s[:k] for s in sets]
+        need = np.minimum(least, (percent * size + 99) // 100)
+        for i in opened:
+            near = np.flatnonzero((np.abs(dist - dist[:, i:i + 1]) <= reach).all(axis=0)
+                                  & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+            for j in near:
+                if uf.top(i) != uf.top(j) and sketch_overlap(sketches[i], sketches[j], k) >= min(need[i], need[j]):
+                    if linked(common(sets[i], sets[j]), size[i], size[j], percent):
+                        uf.join(i, j)
+                        out.append((i, int(j)))
+    return out
+
+
+def region_links(batches: Iterator[pa.RecordBatch], k: int, least: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """For regions (``part``; rows ``rid``, ``shingles``): links (a, b) that
+    connect their rows as all links would."""
+    for t in groups(batches, "part"):
+        rid = t.column("rid").to_numpy()
+        order = np.argsort(rid)  # a fixed order of pivots
+        blobs = t.column("shingles").to_pylist()
+        links = join_region([np.frombuffer(blobs[i], np.uint64) for i in order], k, least, percent)
+        if links:
+            rid = rid[order]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([rid[a] for a, _ in links], pa.int64()), pa.array([rid[b] for _, b in links], pa.int64())],
+                ["a", "b"])
+
+
+def pivot_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, rid, shingles, pivots: array of (pivot, shingles)) to (cell,
+    rid, near: array of (pivot, shared, either)): exact intersection and union."""
+    kind = pa.list_(pa.struct([("pivot", pa.int64()), ("shared", pa.int64()), ("either", pa.int64())]))
+    for batch in batches:
+        out = []
+        for own, pivots in zip(batch.column("shingles").to_pylist(), batch.column("pivots").to_pylist()):
+            a = np.frombuffer(own, np.uint64)
+            row = []
+            for p in pivots:
+                b = np.frombuffer(p["shingles"], np.uint64)
+                shared = common(a, b)
+                row.append({"pivot": p["pivot"], "shared": shared, "either": len(a) + len(b) - shared})
+            out.append(row)
+        yield pa.RecordBatch.from_arrays([batch.column("cell"), batch.column("rid"), pa.array(out, kind)],
+                                         ["cell", "rid", "near"])
+
+
+def block_links(batches: Iterator[pa.RecordBatch], k: int, least: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """For pairs of blocks (``task``; rows ``rid``, ``side``, ``shingles``):
+    links between side 0 and side 1 (within side 0 where there is no side 1)."""
+    for t in groups(batches, "task"):
+        rid, side = t.column("rid").to_numpy(), t.column("side").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        uf, links = Linked(len(rid)), []
+        alone = not (side == 1).any()
+        for i, j in region_candidates(size, [s[:k] for s in sets], k, least, percent):
+            if (alone or side[i] != side[j]) and uf.top(i) != uf.top(j) and linked(common(sets[i], sets[j]), size[i], size[j], percent):
+                uf.join(i, j)
+                links.append((rid[i], rid[j]))
+        if links:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
