@@ -33,7 +33,8 @@ def final_plan(df) -> str:
 def counts(plan: str) -> dict:
     c = lambda pat: len(re.findall(pat, plan))
     return {
-        "shuffles": c(r"Exchange hashpartitioning"),
+        # the text of a reused exchange repeats the exchange it reuses
+        "shuffles": c(r"Exchange (hash|range)partitioning") - c(r"ReusedExchange[^\n]*Exchange (hash|range)partitioning"),
         "reused": c(r"ReusedExchange"),
         "to one partition": c(r"Exchange SinglePartition"),
         "broadcasts": c(r"BroadcastExchange"),

@@ -1,12 +1,13 @@
-"""salted_join equals the plain join; it salts only when a key is hot."""
+"""fresh_join equals the plain join and shuffles both sides on its own."""
 
 import contextlib
 import io
 
+import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
-from conftest import rows
-from twinrun.functions.joins import hot_keys, salted_join
+from twinrun.functions.joins import fresh_join
 
 
 def _plan(df) -> str:
@@ -16,22 +17,23 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-def test_hot_key_is_salted_and_result_is_exact(spark):
-    big = spark.range(0, 30000).select(
-        F.when(F.col("id") < 12000, F.lit(7)).otherwise(F.col("id") % 500).alias("k"),
-        F.col("id").alias("v"))
-    small = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    hot = hot_keys(big, ["k"], share=0.01)
-    assert [r.k for r in hot.collect()] == [7]
-    for how in ("inner", "left"):
-        got = salted_join(big, small, ["k"], hot, how=how)
-        assert "__salt" in _plan(got)
-        assert rows(got) == rows(big.join(small, ["k"], how))
-
-
-def test_no_hot_key_is_the_plain_join(spark):
-    big = spark.range(0, 5000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
-    small = spark.range(0, 500).select(F.col("id").alias("k"), F.col("id").alias("w"))
-    got = salted_join(big, small, ["k"], hot_keys(big, ["k"], share=0.01))
-    assert "__salt" not in _plan(got)
-    assert got.count() == 5000
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_equals_the_plain_join(spark, how):
+    big = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (2, None, 7), (None, "b", 8), (3, "c", 9)], "k long, g string, v long")
+    small = spark.createDataFrame([(1, "a", 10), (3, "x", 11), (None, "b", 12), (2, None, 13)], "k long, g string, w long")
+    assert rows(fresh_join(big, small, ["k", "g"], how)) == rows(big.join(small, ["k", "g"], how).select(
+        *big.columns, *(["w"] if how in ("inner", "left") else [])))
+
+
+def test_second_join_on_the_key_gets_its_own_exchanges(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(0, 30000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+        one = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+        two = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 7).alias("x"))
+        assert _plan(big.join(one, "k").join(two, "k")).count("Exchange hashpartitioning") == 3
+        assert _plan(fresh_join(big.join(one, "k"), two, ["k"])).count("Exchange hashpartitioning") == 4
+        assert fresh_join(big.join(one, "k"), two, ["k"]).count() == 30000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

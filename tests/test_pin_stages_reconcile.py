@@ -68,7 +68,30 @@ def test_stage_parity_planted_in_last_stage(hist, params):
     assert r.count() == params.join(replay(old, hist, params), "doc", "left_semi").count()
 
 
-def test_stage_parity_needs_equal_decomposition(hist, params):
-    short = StagedVersion(S.new_version().stages[:2])
-    with pytest.raises(SchemaMismatch, match="stages"):
-        diff_stages(S.new_version(), short, hist, params)
+def test_stage_parity_of_unequal_decompositions(hist, params):
+    assert diff_stages(S.one_block, S.new_version(), hist, params).count() == 0
+    block = diff_stages(S.one_block, S.broken_version(), hist, params)
+    assert {(r.first_stage, r.stage_name) for r in block.collect()} == {(3, "menu")}
+    named = {"lines": "large_lines", "per_product": "per_product"}
+    assert diff_stages(S.broken_version(), S.four_steps(), hist, params, match=named).count() == 0
+    by_name = diff_stages(S.broken_version(), S.four_steps(), hist, params)
+    assert {r.stage_name for r in by_name.collect()} == {"lines"}
+    with pytest.raises(SchemaMismatch, match="no steps"):
+        diff_stages(S.new_version(), S.four_steps(), hist, params, match={"lines": "none"})
+
+
+def test_results_are_compared_whatever_the_names(hist, params):
+    old = S.new_version()
+    renamed = StagedVersion([Stage(f"x{i}", s.fn) for i, s in enumerate(S.broken_version().stages[:2])]
+                            + [Stage("other", lambda t, p, prev: old.stages[2].fn(t, p, prev)),
+                               Stage("end", lambda t, p, prev: prev)])
+    assert {r.stage_name for r in diff_stages(old, renamed, hist, params).collect()} == {"end"}
+
+
+def test_discard_only_under_the_shared_folder(spark, params):
+    path = shared_path(spark, "pins", "gone")
+    pin(params, path)
+    from twinrun.sources.pin import discard
+    assert discard(spark, path)
+    with pytest.raises(ValueError):
+        discard(spark, "/tmp")

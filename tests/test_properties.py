@@ -36,6 +36,9 @@ def test_diff_cells_statuses(spark, a, b):
     da = spark.createDataFrame([(k, *v) for k, v in a.items()], SCHEMA)
     db = spark.createDataFrame([(k, *v) for k, v in b.items()], SCHEMA)
     got = {r.k: r.status for r in diff_cells(da, db, ["k"], include_same=True).collect()}
+    for r in diff_cells(da, db, ["k"]).collect():  # the same pass without unchanged keys
+        assert got[r.k] == r.status != "same"
+        assert ((r.g_old, r.v_old), (r.g_new, r.v_new)) == (a.get(r.k, (None, None)), b.get(r.k, (None, None)))
     want = {}
     for k in set(a) | set(b):
         want[k] = ("added" if k not in a else "removed" if k not in b
@@ -55,7 +58,7 @@ def test_verdict_cells_match_brute_force(spark, a, b, s):
     ds = spark.createDataFrame([(k,) for k in s], "k long")
     got = tuple(verdict(da, db, ds, ["k"]).first())
     cells = [0, 0, 0, 0]
-    for k in set(a) | set(b):
-        changed = k not in a or k not in b or a[k] != b[k]
+    for k in set(a) | set(b) | s:
+        changed = a.get(k) != b.get(k)
         cells[(0 if k in s else 2) + (0 if changed else 1)] += 1
     assert got == tuple(cells)

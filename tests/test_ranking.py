@@ -18,8 +18,7 @@ def test_top_n_with_ties_and_hot_group(spark):
     rows = [(0 if i % 3 else i % 7, i, (i * 7919) % 13) for i in range(3000)]
     df = spark.createDataFrame(rows, "g long, item long, v long")
     for n in (1, 2, 5):
-        got = sorted(tuple(r) for r in top_n_per(df, ["g"], [F.col("v").desc()], n=n,
-                                                 buckets=8).collect())
+        got = sorted(tuple(r) for r in top_n_per(df, ["g"], [F.col("v").desc()], n=n).collect())
         assert got == brute(rows, n)
 
 
@@ -31,6 +30,13 @@ def test_top_n_keeps_columns_and_is_repeatable(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) == [(1, 5, 1), (2, 1, 3)]
 
 
+def test_groups_are_limited_before_the_shuffle(spark, capsys):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
+    top_n_per(df, ["g"], [F.col("id").desc()], n=2).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_top_n_with_map_column(spark):
     df = spark.sql("""SELECT * FROM VALUES (1, 3, map('a', 1)), (1, 5, map('b', 2)), (2, 1, map('c', 3))
                       AS t(g, v, m)""")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from twinrun.functions.schema import SchemaMismatch
-from twinrun.functions.table_fn import (call_one, param_set, replay,
+from twinrun.functions.table_fn import (LossyFunction, call_one, one_param, param_set, replay,
                                         sql_function_version, sql_version)
 from twinrun.operators.diff import diff_rows
 from twinrun.plans import standin as S
@@ -37,6 +37,25 @@ def test_one_call_law(hist, params):
         assert diff_rows(one, full.filter(F.col("doc") == k)).count() == 0
 
 
+def test_one_call_errors_and_nulls(spark, hist, params):
+    with pytest.raises(SchemaMismatch, match="at least one"):
+        call_one(S.new_version(), hist, params)
+    with pytest.raises(SchemaMismatch, match="not parameter columns"):
+        one_param(params, other=1)
+    echo = lambda t, p: p
+    some = spark.createDataFrame([(1,), (None,)], "doc long")
+    assert rows(call_one(echo, hist, some, doc=None)) == [(None,)]
+
+
+def test_one_param_needs_no_history(spark, hist, params, capsys):
+    before = list(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    one = replay(S.new_version(), hist, one_param(params, doc=7))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    one.explain()
+    assert "EqualTo(l_orderkey,7)" in capsys.readouterr().out
+    assert rows(one) == rows(call_one(S.new_version(), hist, params, doc=7))
+
+
 def test_one_call_literal_reaches_scan(hist, params, capsys):
     call_one(S.new_version(), hist, params, doc=7).explain()
     assert "EqualTo(l_orderkey,7)" in capsys.readouterr().out
@@ -91,4 +110,27 @@ def test_repeatability_catches_a_nondeterministic_version(hist, params):
     def noisy(t, p):  # a version that depends on a random number
         return S.new_version()(t, p).withColumn("noise", F.rand())
     shaky = repeatability(noisy, hist, params).first()
-    assert shaky.rows == 5942 and shaky.rows_differing == 2 * 5942
+    assert shaky.rows == 5942 and shaky.rows_differing == 2 * 5942 and not shaky.stable
+    assert steady.stable
+
+
+def test_repeatability_catches_ties(hist, params):
+    """row_number over ties, and first() per document."""
+    from twinrun.plans.replay import repeatability
+
+    def first_line(t, p):
+        li = t["lineitem"].withColumnRenamed("l_orderkey", "doc")
+        return li.join(p, "doc").groupBy("doc").agg(F.first("l_partkey").alias("prod"))
+
+    for version in (S.unstable_version, first_line):
+        assert not repeatability(version, hist, params).first().stable
+
+
+def test_limited_table_function_is_refused(spark, hist, params):
+    hist["lineitem"].createOrReplaceTempView("twinrun_lineitem")
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION twinrun_first_line(k BIGINT)
+        RETURNS TABLE (doc BIGINT, prod BIGINT)
+        RETURN SELECT l_orderkey, l_partkey FROM twinrun_lineitem WHERE l_orderkey = k
+               ORDER BY l_quantity DESC, l_partkey LIMIT 1""")
+    with pytest.raises(LossyFunction, match="top_n_per"):
+        replay(sql_function_version("twinrun_first_line", ["doc"]), hist, params)

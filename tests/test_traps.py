@@ -21,7 +21,7 @@ def test_lateral_limit_table_function_trap(spark, hist):
                                      ORDER BY l_quantity DESC, l_partkey) AS rn
         FROM lineitem) WHERE rn = 1""").count()
     assert per_call == orders_with_lines
-    assert lateral == 1  # the trap: sql_function_version documents it
+    assert lateral == 1  # the trap: sql_function_version refuses such a function
 
 
 def test_except_all_matches_by_position(spark):

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from twinrun.operators.diff import diff_rows
-from twinrun.operators.situations import split_diff, tag_diff
+from twinrun.functions.table_fn import param_set
+from twinrun.operators.situations import situations, split_diff, tag_diff
 from twinrun.operators.verdict import check_expected, expected_summary, verdict
 from twinrun.plans import Comparison
 from twinrun.plans import standin as S
@@ -31,7 +32,7 @@ def test_expected_values(hist, params, sit, name):
     from twinrun.functions.table_fn import replay
     act = replay(S.VERSIONS[name](), hist, params)
     row = expected_summary(act, S.expected_quantities(hist), S.KEYS, sit).first()
-    assert (row.keys_checked, row.keys_wrong) == (57, WRONG_KEYS[name])
+    assert (row.keys_checked, row.keys_wrong, row.keys_uncovered) == (57, WRONG_KEYS[name], 0)
     assert check_expected(act, S.expected_quantities(hist), S.KEYS, sit).count() == WRONG_KEYS[name]
 
 
@@ -42,6 +43,61 @@ def test_wrong_version_passes_verdict_but_fails_expected(hist, params, sit):
     assert not rep["fixed"] and rep["keys_wrong"] == 57
 
 
+def test_replay_of_a_part_can_be_judged(hist):
+    """Situations and expected values are limited to the replayed parameters."""
+    part = param_set(hist["orders"], {"o_orderkey": "doc"}, where="o_orderkey < 700", freeze=True)
+    sit = situations(hist, S.situation_rule)
+    exp = S.expected_quantities(hist)
+    good = Comparison(S.old_version(), S.new_version(), hist, part, S.KEYS, sit).report(exp)
+    n = sit.filter("doc < 700").count()
+    assert (good["intended"], good["unfixed"], good["keys_checked"], good["keys_wrong"]) == (n, 0, n, 0)
+    assert good["fixed"] and good["passed"]
+    bad = Comparison(S.old_version(), S.wrong_version(), hist, part, S.KEYS, sit).report(exp)
+    assert bad["keys_wrong"] == n and not bad["fixed"] and not bad["passed"]
+
+
+def test_nothing_checked_is_not_fixed(hist, params, sit):
+    none = sit.limit(0)
+    exp = S.expected_quantities(hist)
+    rep = Comparison(S.old_version(), S.old_version(), hist, params, S.KEYS, none).report(exp)
+    assert rep["keys_checked"] == 0 and not rep["fixed"] and not rep["passed"]
+
+
+def test_uncovered_situation_keys_are_not_wrong_but_block_fixed(hist, params, sit):
+    exp = S.expected_quantities(hist).filter("doc % 2 = 0")
+    c = Comparison(S.old_version(), S.new_version(), hist, params, S.KEYS, sit)
+    rep = c.report(exp)
+    odd = sit.filter("doc % 2 = 1").count()
+    assert (rep["keys_checked"], rep["keys_wrong"], rep["keys_uncovered"]) == (57 - odd, 0, odd)
+    assert not rep["fixed"] and c.uncovered(exp).count() == odd
+    assert c.check_expected(exp).count() == 0
+
+
+def test_lost_situation_row_is_unfixed(hist, params):
+    sit = situations(hist, lambda t: t["lineitem"].filter("l_quantity = 1").select(
+        F.col("l_orderkey").alias("doc"), F.col("l_partkey").alias("prod")))
+    lossy = S.menu_version(F.max, F.col("l_quantity") > 1)
+    rep = Comparison(lossy, S.broken_version(), hist, params, S.KEYS, sit).report()
+    assert rep["unfixed"] > 0 and not rep["passed"]
+
+
+def test_comparison_at_the_procedure(hist, params, sit):
+    docs = sit.select("doc").distinct()
+    exp = S.expected_costs(hist)
+    with Comparison(S.old_version(), S.new_version(), hist, params, ["doc"], docs, finish=S.procedure_cost).materialize() as c:
+        rep = c.report(exp)
+        assert (rep["intended"], rep["regressed"], rep["keys_wrong"]) == (docs.count(), 0, 0) and rep["passed"]
+        saved = list(c._saved)
+        assert c.diff().columns == ["doc", "cost", "net"]
+    spark = docs.sparkSession
+    assert len(saved) == 2
+    for path in saved:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(path)
+    broken = Comparison(S.old_version(), S.broken_version(), hist, params, ["doc"], docs, finish=S.procedure_cost).report(exp)
+    assert broken["regressed"] > 0 and not broken["passed"]
+
+
 def test_situation_count(sit):
     assert sit.count() == 57
 
@@ -88,10 +144,10 @@ def test_materialized_comparison_same_answer(hist, params, sit):
 def test_lineitem_line_number_is_not_a_key(hist, sit):
     """(l_orderkey, l_linenumber) repeats in lineitem (FIXTURES.md): keyed
     comparisons on it must refuse to run rather than multiply rows."""
-    from twinrun.operators.diff import assert_unique, diff_cells
+    from twinrun.operators.diff import diff_cells, repeated_keys
     li = hist["lineitem"].select(F.col("l_orderkey").alias("doc"), "l_linenumber",
                                  F.col("l_partkey").alias("prod"), "l_quantity")
-    assert assert_unique(li, ["doc", "l_linenumber"]).count() == 1161
+    assert repeated_keys(li, ["doc", "l_linenumber"]).count() == 1161
     changed = li.withColumn("l_quantity", F.col("l_quantity") + 1)
     with pytest.raises(Exception, match="key is not unique"):
         diff_cells(li, changed, ["doc", "l_linenumber"]).collect()

@@ -11,24 +11,25 @@ Typical use::
     cmp.report(expected)   # intended / unfixed / regressed / matched
 """
 
-from .functions import (SchemaMismatch, Stage, StagedVersion, call_one,
-                        check_same_schema, hot_keys, param_set, replay, salted_join,
-                        sql_stage, sql_version, top_n_per)
+from .functions import (LossyFunction, SchemaMismatch, Stage, StagedVersion, call_one,
+                        check_same_schema, fresh_join, param_set, replay, sql_stage,
+                        sql_version, top_n_per)
 from .operators import (check_expected, column_changes, diff_cells, diff_rows, diff_stages,
-                        expected_summary, reconcile, repeated, situations,
-                        split_diff, tag_diff, verdict)
+                        expected_summary, in_replay, reconcile, repeated, repeated_keys,
+                        situations, split_diff, tag_diff, uncovered_keys, verdict)
 from .plans import Comparison, repeatability, replay_pair, run_procedure
 from .session import configure, ensure_checkpoint_dir, get_session, shared_path
-from .sources import (compare_to_pin, history_counts, load_history,
+from .sources import (compare_to_pin, discard, history_counts, load_history,
                       materialize, pin, read_pin, snapshot_history)
 
 __all__ = [
-    "SchemaMismatch", "Stage", "StagedVersion", "call_one", "check_same_schema",
-    "hot_keys", "param_set", "replay", "salted_join", "sql_stage", "sql_version", "top_n_per",
+    "LossyFunction", "SchemaMismatch", "Stage", "StagedVersion", "call_one", "check_same_schema",
+    "fresh_join", "param_set", "replay", "sql_stage", "sql_version", "top_n_per",
     "check_expected", "column_changes", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
-    "reconcile", "repeated", "situations", "split_diff", "tag_diff", "verdict",
+    "in_replay", "reconcile", "repeated", "repeated_keys", "situations", "split_diff", "tag_diff",
+    "uncovered_keys", "verdict",
     "Comparison", "repeatability", "replay_pair", "run_procedure",
     "configure", "ensure_checkpoint_dir", "get_session", "shared_path",
-    "compare_to_pin", "history_counts", "load_history", "materialize", "pin",
+    "compare_to_pin", "discard", "history_counts", "load_history", "materialize", "pin",
     "read_pin", "snapshot_history",
 ]

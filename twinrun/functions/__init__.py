@@ -1,16 +1,16 @@
 """Contracts and column helpers: schema checks, table-function versions."""
 
-from .joins import hot_keys, salted_join
+from .joins import fresh_join
 from .ranking import top_n_per
 from .schema import (SchemaMismatch, check_columns, check_keys,
                      check_same_schema, comparable, comparable_columns)
-from .table_fn import (Stage, StagedVersion, Version, as_version, call_one,
+from .table_fn import (LossyFunction, Stage, StagedVersion, Version, as_version, call_one,
                        param_set, replay, sql_stage, sql_version)
 
 __all__ = [
     "SchemaMismatch", "check_columns", "check_keys", "check_same_schema",
     "comparable", "comparable_columns",
     "Stage", "StagedVersion", "Version", "as_version", "call_one",
-    "param_set", "replay", "sql_stage", "sql_version", "top_n_per", "hot_keys",
-    "salted_join",
+    "param_set", "replay", "sql_stage", "sql_version", "top_n_per", "fresh_join",
+    "LossyFunction",
 ]

@@ -1,70 +1,38 @@
-"""Equi-joins that stay balanced when one key holds a large share of rows.
-
-Adaptive execution splits a skewed sort-merge join only when the join's
-stage reads exactly two shuffles.  Two joins on the same key in a row (a
-version looks up ``part`` by product, then the procedure looks up the price
-by product again) share one stage, so a product that appears in a third of
-all menus would land in one task.  ``salted_join`` spreads such keys
-explicitly:
-
-* hot keys are those holding at least ``share`` of the rows, so there are
-  at most ``1 / share`` of them: a proven bound, which is what makes
-  broadcasting them safe;
-* rows of the large side with a hot key get a bucket from a deterministic
-  hash of the whole row (repeatable after a lost executor);
-* rows of the side that is unique on the key are copied once per bucket
-  for hot keys only;
-* the join runs on (key, bucket).  Every large-side row meets exactly one
-  copy, so the result equals the plain join.
-
-When no key is hot (one small eager check) the plain join is returned and
-no extra shuffle is paid.
+"""A join whose two sides are always shuffled on their own.
+
+Adaptive execution splits a skewed sort-merge join only when both sides come
+straight from a shuffle.  Two joins on the same key in a row (a version looks
+up a name by product, then the procedure looks up the price by product) share
+one shuffle, so a product that a third of all menus have would land in one
+task.  ``fresh_join`` joins on the keys wrapped in a struct: the sides do not
+count as partitioned on it, so each gets an exchange that can be split.  One
+plan for every size, and nothing runs while it is built; a side that Spark
+finds small enough is still broadcast.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .schema import row_hash
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001,
-             total: int | None = None) -> DataFrame:
-    """Keys of ``df`` holding at least ``share`` of its rows (at most
-    ``1 / share`` of them).  ``total`` defaults to ``df.count()``, which
-    parquet answers from footers for a plain table."""
-    if not 0 < share <= 1:
-        raise ValueError("share must be in (0, 1]")
-    total = df.count() if total is None else total
-    min_rows = max(1, math.ceil(total * share))
-    return (df.groupBy(*keys).count()
-            .filter(F.col("count") >= min_rows).select(*keys))
+from .schema import columns
 
 
-def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], hot: DataFrame,
-                how: str = "inner", buckets: int = 32) -> DataFrame:
-    """``big.join(small, keys, how)`` with the rows of ``hot`` keys spread
-    over ``buckets`` tasks.  ``small`` must be unique on ``keys``; ``hot``
-    must be small by construction (e.g. from :func:`hot_keys`)."""
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
+def fresh_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``big.join(small, keys, how)`` (inner, left, left_semi or left_anti),
+    with exchanges of its own on both sides."""
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("fresh_join supports inner, left, left_semi and left_anti joins")
     keys = list(keys)
-    flags = hot.select(*keys).distinct().withColumn("__hot", F.lit(True))
-    if flags.limit(1).count() == 0:
-        return big.join(small, keys, how)
-    flags = F.broadcast(flags)  # bounded by the hot-key rule, see hot_keys
-    bucket = F.pmod(row_hash(big), F.lit(buckets))
-    b = (big.join(flags, keys, "left")
-         .withColumn("__salt", F.when(F.col("__hot"), bucket).otherwise(F.lit(0).cast("long")))
-         .drop("__hot"))
-    zero = F.lit(0).cast("long")
-    copies = F.when(F.col("__hot"), F.sequence(zero, F.lit(buckets - 1).cast("long"))).otherwise(
-        F.array(zero))
-    s = (small.join(flags, keys, "left")
-         .withColumn("__salt", F.explode(copies))
-         .drop("__hot"))
-    return b.join(s, [*keys, "__salt"], how).drop("__salt")
+    # null keys match nothing, as in the plain join: the struct is null then
+    def wrapped():
+        present = columns(keys)[0].isNotNull()
+        for c in columns(keys[1:]):
+            present = present & c.isNotNull()
+        return F.when(present, F.struct(*columns(keys)))
+
+    s = small.select(wrapped().alias("__key_small"), *columns([c for c in small.columns if c not in keys]))
+    out = big.withColumn("__key_big", wrapped()).join(s, F.col("__key_big") == F.col("__key_small"), how)
+    return out.drop("__key_big", "__key_small")

@@ -3,19 +3,11 @@ inside a table function.
 
 A SQL table function ending in ``LIMIT`` and called laterally limits the
 whole join, not each call (see tests/test_traps.py).  Per-parameter "first
-n rows" is a ranking per group instead.  A plain ``row_number()`` window
-over the group sends every row of a group to one task, which fails when one
-document holds a large share of all rows, so the ranking runs twice:
-
-1. per (group, bucket), where the bucket is a deterministic hash of the
-   whole row: a hot group is spread over ``buckets`` tasks and each keeps
-   its own top ``n``;
-2. per group, over at most ``n * buckets`` survivors.
-
-The top ``n`` of a group is always among the survivors of step 1, so the
-result is exact.  Every column is appended to the ordering as a final
-tie-break, so the result does not depend on the order rows arrive in (a
-replay must be repeatable).
+n rows" is a ranking per group instead.  Spark limits each group before the
+shuffle (a partial ``WindowGroupLimit``, for n up to 1000), so of a hot group
+at most n rows per task are shuffled.  Every column is appended to the
+ordering as a final tie-break, so the result does not depend on the order
+rows arrive in (a replay must be repeatable).
 """
 
 from __future__ import annotations
@@ -25,32 +17,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .schema import comparable, row_hash
-
-
-def _as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from .schema import col, columns, comparable
 
 
-def top_n_per(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
-              n: int = 1, buckets: int = 64) -> DataFrame:
+def top_n_per(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each ``by`` group under ``order`` (ties broken
     by the remaining columns, ascending).  Keeps ``df``'s columns."""
     if n < 1:
         raise ValueError("n must be at least 1")
     by = list(by)
-    order_cols = [_as_col(c) for c in order]
     named = {c for c in order if isinstance(c, str)}
     types = {f.name: f.dataType for f in df.schema.fields}
-    tie = [comparable(F.col(c), types[c]).asc_nulls_first()
+    tie = [comparable(col(c), types[c]).asc_nulls_first()
            for c in df.columns if c not in by and c not in named]
-    full_order = [*order_cols, *tie]
-    bucket = F.pmod(row_hash(df), F.lit(buckets))
-    local = Window.partitionBy(*by, "__bucket").orderBy(*full_order)
-    final = Window.partitionBy(*by).orderBy(*full_order)
-    return (df.withColumn("__bucket", bucket)
-            .withColumn("__rn", F.row_number().over(local))
-            .filter(F.col("__rn") <= n)
-            .withColumn("__rn", F.row_number().over(final))
-            .filter(F.col("__rn") <= n)
-            .drop("__bucket", "__rn"))
+    ranked = Window.partitionBy(*columns(by)).orderBy(
+        *[col(c) if isinstance(c, str) else c for c in order], *tie)
+    return (df.withColumn("__rn", F.row_number().over(ranked))
+            .filter(F.col("__rn") <= n).drop("__rn"))

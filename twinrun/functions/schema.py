@@ -21,6 +21,16 @@ class SchemaMismatch(ValueError):
     """Raised when two results cannot be compared row by row."""
 
 
+def col(name: str, df: DataFrame | None = None) -> Column:
+    """The column of that exact name, also when it holds dots or backticks."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(quoted) if df is None else df[quoted]
+
+
+def columns(names: Sequence[str], df: DataFrame | None = None) -> list[Column]:
+    return [col(n, df) for n in names]
+
+
 def type_shape(dt: T.DataType) -> str:
     """Type text without nullability (``simpleString`` leaves it out)."""
     return dt.simpleString()
@@ -122,7 +132,7 @@ def comparable_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list
     """``comparable`` for each named column, keeping the column names."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     cols = list(cols) if cols is not None else df.columns
-    return [comparable(F.col(c), fields[c]).alias(c) for c in cols]
+    return [comparable(col(c), fields[c]).alias(c) for c in cols]
 
 
 def needs_normalising(df: DataFrame) -> bool:

@@ -18,6 +18,7 @@ Three ways to write a version:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -25,7 +26,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .schema import SchemaMismatch
+from .schema import SchemaMismatch, col, columns
+
+class LossyFunction(ValueError):
+    """A SQL table function whose body would lose rows when called laterally."""
+
 
 Tables = Mapping[str, DataFrame]
 Version = Callable[[Tables, DataFrame], DataFrame]
@@ -48,7 +53,7 @@ def param_set(source: DataFrame, cols: Sequence[str] | Mapping[str, str],
     """
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     df = source if where is None else source.filter(where)
-    out = df.select(*[F.col(s).alias(t) for s, t in mapping.items()]).distinct()
+    out = df.select(*[col(s).alias(t) for s, t in mapping.items()]).distinct()
     if freeze:
         from ..sources.pin import materialize
         out = materialize(out)
@@ -65,18 +70,36 @@ def replay(fn: Version, tables: Tables, params: DataFrame) -> DataFrame:
     return out
 
 
+def one_param(source: DataFrame, **values) -> DataFrame:
+    """A parameter frame of one row holding ``values``, with the types that
+    the columns of those names have in ``source`` (a schema is all that is
+    read of it)."""
+    if not values:
+        raise SchemaMismatch("a call needs at least one parameter value")
+    types = {f.name: f.dataType for f in source.schema.fields}
+    unknown = [k for k in values if k not in types]
+    if unknown:
+        raise SchemaMismatch(f"{unknown} are not parameter columns {source.columns}")
+    return source.sparkSession.range(1).select(
+        *[F.lit(v).cast(types[k]).alias(k) for k, v in values.items()])
+
+
 def call_one(fn: Version, tables: Tables, params: DataFrame, **values) -> DataFrame:
     """O3: rows of ``fn`` for one parameter value.
 
     Written as the replay over the parameter set narrowed to ``values``, so
     the law ``call_one(fn, k) == replay(fn, all).filter(param == k)`` holds by
-    construction, and Catalyst carries the literal down to the scans.
+    construction, and Catalyst carries the literal down to the scans.  For a
+    value that need not be looked up in history, replay over ``one_param``.
+    A null value is the null parameter.
     """
+    if not values:
+        raise SchemaMismatch("a call needs at least one parameter value")
     unknown = [k for k in values if k not in params.columns]
     if unknown:
         raise SchemaMismatch(f"{unknown} are not parameter columns {params.columns}")
     cond = reduce(lambda a, b: a & b,
-                  [F.col(k) == F.lit(v) for k, v in values.items()])
+                  [col(k).isNull() if v is None else col(k) == F.lit(v) for k, v in values.items()])
     return replay(fn, tables, params.filter(cond))
 
 
@@ -97,14 +120,18 @@ def sql_function_version(function_name: str, param_cols: Sequence[str]) -> Versi
 
     Register the function first, e.g. ``CREATE TEMPORARY FUNCTION f(k BIGINT)
     RETURNS TABLE (...) RETURN SELECT ...``; its output must include the
-    parameter columns.  Do not use it for functions whose body ends in
-    ``LIMIT``: Spark plans that limit over the whole table, not per call
-    (see tests/test_traps.py); write a ``row_number`` filter instead.
+    parameter columns.  A function with a ``LIMIT`` in its body is refused
+    (:class:`LossyFunction`): Spark plans that limit over the whole join, not
+    per call, and rows would be lost (see tests/test_traps.py).  Rank with
+    ``top_n_per`` instead.  Meant for small sets: Spark plans the call as one
+    run over all of history joined back to the parameters, about twice the
+    exchanges of a version written as a set.
     """
     args = ", ".join(f"p.`{c}`" for c in param_cols)
 
     def fn(tables: Tables, params: DataFrame) -> DataFrame:
         spark = params.sparkSession
+        _refuse_limit(spark, function_name, params.select(*columns(list(param_cols))))
         return spark.sql(
             f"SELECT f.* FROM {{params}} p, LATERAL {function_name}({args}) f",
             params=params)
@@ -113,6 +140,20 @@ def sql_function_version(function_name: str, param_cols: Sequence[str]) -> Versi
     return fn
 
 
+def _refuse_limit(spark, function_name: str, params: DataFrame) -> None:
+    """Analyse one call on a row of nulls, so that any limit in the plan is
+    the function's own (nothing runs)."""
+    nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in params.schema.fields)
+    names = ", ".join(f"c{i}" for i in range(len(params.columns)))
+    args = ", ".join(f"p.c{i}" for i in range(len(params.columns)))
+    probe = spark.sql(f"SELECT f.* FROM VALUES ({nulls}) AS p({names}), LATERAL {function_name}({args}) f")
+    plan = probe._jdf.queryExecution().analyzed().toString()
+    if re.search(r"\b(GlobalLimit|LocalLimit|Tail|Offset)\b", plan):
+        raise LossyFunction(
+            f"{function_name} holds a LIMIT; called laterally it would limit the whole join and "
+            "lose rows. Rank per parameter with top_n_per instead")
+
+
 @dataclass(frozen=True)
 class Stage:
     """One named step: ``fn(tables, params, previous) -> DataFrame``.

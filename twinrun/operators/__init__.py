@@ -1,15 +1,16 @@
 """Comparison operators: diffs, situations, verdict, reconciliation, stages."""
 
-from .diff import (NET, STATUS, assert_unique, column_changes, diff_cells, diff_rows,
-                   key_compare)
+from .diff import (ABSENT, NET, STATUS, column_changes, diff_cells, diff_rows, key_compare,
+                   repeated_keys)
 from .reconcile import reconcile
 from .situations import WANTED, repeated, situations, split_diff, tag_diff
 from .stages import FIRST_STAGE, STAGE_NAME, diff_stages
-from .verdict import CELLS, check_expected, expected_summary, verdict
+from .verdict import (CELLS, check_expected, expected_summary, in_replay, uncovered_keys,
+                      verdict)
 
 __all__ = [
-    "NET", "STATUS", "WANTED", "CELLS", "FIRST_STAGE", "STAGE_NAME",
-    "assert_unique", "column_changes", "diff_cells", "diff_rows", "key_compare",
+    "ABSENT", "NET", "STATUS", "WANTED", "CELLS", "FIRST_STAGE", "STAGE_NAME",
+    "column_changes", "diff_cells", "diff_rows", "key_compare", "repeated_keys",
     "reconcile", "repeated", "situations", "split_diff", "tag_diff",
-    "diff_stages", "check_expected", "expected_summary", "verdict",
+    "diff_stages", "check_expected", "expected_summary", "in_replay", "uncovered_keys", "verdict",
 ]

@@ -12,12 +12,12 @@ exchange at all.  Only identical whole rows meet in one group, and the
 partial sum folds them before any shuffle, so hot keys do not pile up.
 
 ``key_compare`` classifies every key as added, removed, changed or same
-with two hash aggregations over the union of both sides (fixed-width
-buffers, no join, no sort): per whole row, then per key.  A key repeated
-on either side fails the job with a clear error instead of silently
-multiplying rows as a join would.  ``diff_cells`` (O13) puts the old and
-new values of the keys that are not ``same`` side by side, fetching them
-from the O7 rows only.
+by aggregating the union of both sides twice (no join): per whole row, then
+per key.  A key repeated on either side fails the job with a clear error
+instead of silently multiplying rows as a join would.  ``diff_cells`` (O13)
+puts the old and new values of the keys that are not ``same`` side by side,
+in the same pass: the second aggregation carries the values of rows whose
+copies differ.
 """
 
 from __future__ import annotations
@@ -27,13 +27,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import (SchemaMismatch, check_keys, check_same_schema,
-                                comparable_columns, needs_normalising)
+from ..functions.schema import (SchemaMismatch, check_keys, check_same_schema, col, columns,
+                                comparable, comparable_columns, needs_normalising)
 
 NET = "net"
 STATUS = "status"
-_SIDE = "__side"
-_OLD, _NEW, _SIT = 1, 2, 3
+ABSENT = "absent"  # a situation key that neither result has
+
+
+def _row_counts(old: DataFrame, new: DataFrame, raw: Sequence[str]) -> DataFrame:
+    """Every distinct whole row with its copies ``__o`` in old and ``__n`` in
+    new.  Columns are in their comparable form; ``__raw`` holds those of
+    ``raw`` as they are (of one copy), where the two forms differ."""
+    keep_raw = raw and needs_normalising(old.select(*columns(raw)))
+
+    def side(df: DataFrame, o: int, n: int) -> DataFrame:
+        extra = [F.struct(*columns(raw)).alias("__raw")] if keep_raw else []
+        return df.select(*comparable_columns(df), F.lit(o).alias("__o"), F.lit(n).alias("__n"), *extra)
+
+    aggs = [F.sum("__o").alias("__o"), F.sum("__n").alias("__n")]
+    if keep_raw:
+        aggs.append(F.first("__raw").alias("__raw"))
+    rows = side(old, 1, 0).unionByName(side(new, 0, 1)).groupBy(*columns(old.columns)).agg(*aggs)
+    if raw and not keep_raw:
+        rows = rows.withColumn("__raw", F.struct(*columns(raw)))
+    return rows
 
 
 def diff_rows(old: DataFrame, new: DataFrame, net_col: str = NET) -> DataFrame:
@@ -43,134 +61,103 @@ def diff_rows(old: DataFrame, new: DataFrame, net_col: str = NET) -> DataFrame:
     check_same_schema(old, new)
     if net_col in old.columns:
         raise SchemaMismatch(f"result already has a column named {net_col!r}")
-    cols = comparable_columns(old)
-    u = (old.select(*cols, F.lit(-1).alias(net_col))
-         .unionByName(new.select(*comparable_columns(new), F.lit(1).alias(net_col))))
-    return (u.groupBy(*old.columns)
-            .agg(F.sum(net_col).alias(net_col))
-            .filter(F.col(net_col) != 0))
+    names = old.columns
+    if needs_normalising(old):  # grouped in comparable form, returned as they are
+        rows = _row_counts(old, new, names).filter("__o <> __n")
+        return rows.select(*[F.col("__raw").getField(c).alias(c) for c in names],
+                           (F.col("__n") - F.col("__o")).alias(net_col))
+    u = (old.select(*columns(names), F.lit(-1).alias(net_col))
+         .unionByName(new.select(*columns(names), F.lit(1).alias(net_col))))
+    return (u.groupBy(*columns(names)).agg(F.sum(col(net_col)).alias(net_col))
+            .filter(col(net_col) != 0))
 
 
 def _dup_error(keys: Sequence[str], n_old: Column, n_new: Column) -> Column:
-    key_text = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    key_text = F.to_json(F.struct(*columns(keys)))
     return F.raise_error(F.concat(
         F.lit("key is not unique (old copies="), n_old.cast("string"),
         F.lit(", new copies="), n_new.cast("string"), F.lit("): "), key_text))
 
 
-def _key_counts(old: DataFrame, new: DataFrame, keys: list[str],
-                sit: DataFrame | None) -> DataFrame:
-    """Per key: copies on each side and whether both sides hold the same row.
-
-    Two hash aggregations with fixed-width buffers only: first per whole
-    row (copies on each side), then per key (copies and distinct rows).  A
-    key is unchanged when it has one copy on each side and both fell into
-    the same whole-row group.  When the inputs are already partitioned on
-    the keys (or on some of them), neither level needs an exchange.
-    """
-    cols = old.columns
-    u = (old.select(*comparable_columns(old), F.lit(1).alias("__o"), F.lit(0).alias("__n"))
-         .unionByName(new.select(*comparable_columns(new), F.lit(0).alias("__o"),
-                                 F.lit(1).alias("__n"))))
-    rows = (u.groupBy(*cols).agg(F.sum("__o").alias("__o"), F.sum("__n").alias("__n"))
-            .select(*keys, "__o", "__n", F.lit(1).alias("__r"), F.lit(False).alias("__s")))
-    if sit is not None:
-        rows = rows.unionByName(sit.select(
-            *keys, F.lit(0).cast("long").alias("__o"), F.lit(0).cast("long").alias("__n"),
-            F.lit(0).alias("__r"), F.lit(True).alias("__s")))
-    aggs = [F.sum("__o").alias("__n_old"), F.sum("__n").alias("__n_new"),
-            F.sum("__r").alias("__n_rows")]
-    if sit is not None:
-        aggs.append(F.max("__s").alias("in_situation"))
-    g = rows.groupBy(*keys).agg(*aggs)
-    return g.withColumn("__same", (F.col("__n_old") == 1) & (F.col("__n_new") == 1)
-                        & (F.col("__n_rows") == 1))
-
-
-def _key_values(old: DataFrame, new: DataFrame, keys: list[str],
-                sit: DataFrame | None) -> DataFrame:
-    """Per key: copies on each side and both sides' values (as structs)."""
-    vals = [c for c in old.columns if c not in keys]
-    norm = needs_normalising(old.select(*vals)) if vals else False
-    cmp_struct = (F.struct(*comparable_columns(old, vals)) if vals
-                  else F.struct(F.lit(True).alias("_")))
-    raw_struct = F.struct(*[F.col(c) for c in vals]) if vals else cmp_struct
-
-    def side(df: DataFrame, tag: int) -> DataFrame:
-        cols = [*[F.col(k) for k in keys], F.lit(tag).alias(_SIDE), cmp_struct.alias("__cmp")]
-        if norm:
-            cols.append(raw_struct.alias("__raw"))
-        return df.select(*cols)
-
-    u = side(old, _OLD).unionByName(side(new, _NEW))
-    if sit is not None:
-        u = u.unionByName(sit.select(*keys, F.lit(_SIT).alias(_SIDE)), allowMissingColumns=True)
-    s = F.col(_SIDE)
-    raw = "__raw" if norm else "__cmp"
-    aggs = [
-        F.count_if(s == _OLD).alias("__n_old"),
-        F.count_if(s == _NEW).alias("__n_new"),
-        F.first(F.when(s == _OLD, F.col("__cmp")), ignorenulls=True).alias("__c_old"),
-        F.first(F.when(s == _NEW, F.col("__cmp")), ignorenulls=True).alias("__c_new"),
-    ]
-    if norm:
-        aggs += [F.first(F.when(s == _OLD, F.col(raw)), ignorenulls=True).alias("__v_old"),
-                 F.first(F.when(s == _NEW, F.col(raw)), ignorenulls=True).alias("__v_new")]
-    if sit is not None:
-        aggs.append(F.max(s == _SIT).alias("in_situation"))
-    g = u.groupBy(*keys).agg(*aggs)
-    if not norm:
-        g = g.withColumn("__v_old", F.col("__c_old")).withColumn("__v_new", F.col("__c_new"))
-    return g.withColumn("__same", F.col("__c_old").eqNullSafe(F.col("__c_new")))
-
-
 def key_compare(old: DataFrame, new: DataFrame, keys: Sequence[str],
                 situations: DataFrame | None = None, on: Sequence[str] | None = None,
-                keep_values: bool = False) -> DataFrame:
+                values: str | None = None) -> DataFrame:
     """Per key of ``old`` ∪ ``new``: ``status`` in added/removed/changed/same
-    and, with ``situations``, ``in_situation``; with ``keep_values`` also
-    both sides' values as structs ``__v_old`` / ``__v_new``.
+    and, with ``situations``, ``in_situation``.  Situation keys that neither
+    side has come as status ``absent`` (columns beyond ``on`` null).
+
+    ``values`` adds both sides' values as structs ``__v_old`` / ``__v_new``:
+    ``"differing"`` for keys that are not ``same``, ``"all"`` for every key.
 
-    Aggregations over the union of both sides (and of the situation keys,
-    when they are given at the same width as the keys); no join.  Keys must
-    be unique on each side: a repeat fails the job at run time.
+    Two aggregations over the union of both sides, and of the situation keys
+    when they are at the same width as the keys; no join.  A key is unchanged
+    when it has one copy on each side and both fell into the same whole-row
+    group.  Keys must be unique on each side: a repeat fails the job at run
+    time.
     """
     keys = list(keys)
     check_same_schema(old, new)
     check_keys(old, keys, "old")
     on = list(on) if on is not None else (list(situations.columns) if situations is not None else None)
     fold = situations is not None and set(on) == set(keys)
+    if situations is not None:
+        check_keys(situations, on, "situations")
+        if missing := [c for c in on if c not in keys]:
+            raise SchemaMismatch(f"situation columns {missing} are not among the keys {keys}")
+    vals = [c for c in old.columns if c not in keys] if values else []
+
+    rows = _row_counts(old, new, vals).select(
+        *columns(keys), "__o", "__n", F.lit(1).alias("__r"), F.lit(False).alias("__s"),
+        *(["__raw"] if vals else []))
     if fold:
-        check_keys(situations, keys, "situations")
-    folded = situations if fold else None
-    g = (_key_values if keep_values else _key_counts)(old, new, keys, folded)
-    if fold:
-        g = g.filter((F.col("__n_old") + F.col("__n_new")) > 0)
+        zero = F.lit(0).cast("long")
+        rows = rows.unionByName(situations.select(
+            *columns(keys), zero.alias("__o"), zero.alias("__n"), F.lit(0).alias("__r"),
+            F.lit(True).alias("__s")), allowMissingColumns=True)
+    aggs = [F.sum("__o").alias("__n_old"), F.sum("__n").alias("__n_new"),
+            F.sum("__r").alias("__n_rows"), F.max("__s").alias("in_situation")]
+    if vals:
+        o, n, raw = F.col("__o"), F.col("__n"), F.col("__raw")
+        wanted = F.lit(True) if values == "all" else o != n
+        aggs += [F.first(F.when(wanted & (o > 0), raw), ignorenulls=True).alias("__v_old"),
+                 F.first(F.when(wanted & (n > 0), raw), ignorenulls=True).alias("__v_new")]
+    g = rows.groupBy(*columns(keys)).agg(*aggs)
 
     n_old, n_new = F.col("__n_old"), F.col("__n_new")
     status = (F.when((n_old > 1) | (n_new > 1), _dup_error(keys, n_old, n_new))
+              .when((n_old == 0) & (n_new == 0), F.lit(ABSENT))
               .when(n_old == 0, F.lit("added"))
               .when(n_new == 0, F.lit("removed"))
-              .when(F.col("__same"), F.lit("same"))
+              .when(F.col("__n_rows") == 1, F.lit("same"))
               .otherwise(F.lit("changed")))
+    out = [*keys, STATUS, *(["in_situation"] if situations is not None else []),
+           *(["__v_old", "__v_new"] if vals else [])]
     g = g.withColumn(STATUS, status)
-
-    if situations is not None and not fold:
-        check_keys(situations, on, "situations")
-        missing = [c for c in on if c not in keys]
-        if missing:
-            raise SchemaMismatch(f"situation columns {missing} are not among the keys {keys}")
-        s = (situations.select(*[F.col(c).alias(f"__s_{c}") for c in on]).distinct()
-             .withColumn("__hit", F.lit(True)))
-        cond = [g[c].eqNullSafe(s[f"__s_{c}"]) for c in on]
-        g = (g.join(s, cond, "left")
-             .withColumn("in_situation", F.coalesce(F.col("__hit"), F.lit(False))))
-    out = [*keys, STATUS]
-    if situations is not None:
-        out.append("in_situation")
-    if keep_values:
-        out += ["__v_old", "__v_new"]
-    return g.select(*out)
+    if situations is None or fold:
+        return g.select(*[col(c) for c in out])
+
+    s = (situations.select(*[col(c).alias(f"__s_{i}") for i, c in enumerate(on)]).distinct()
+         .withColumn("__hit", F.lit(True)))
+    cond = [col(c, g).eqNullSafe(s[f"__s_{i}"]) for i, c in enumerate(on)]
+    tagged = (g.drop("in_situation").join(s, cond, "left")
+              .withColumn("in_situation", F.coalesce(F.col("__hit"), F.lit(False))))
+    seen = g.select(*columns(on)).distinct()
+    alone = s.join(seen, [col(c, seen).eqNullSafe(s[f"__s_{i}"])
+                          for i, c in enumerate(on)], "left_anti")
+    absent = alone.select(*[F.col(f"__s_{i}").alias(c) for i, c in enumerate(on)],
+                          F.lit(ABSENT).alias(STATUS), F.lit(True).alias("in_situation"))
+    return (tagged.select(*[col(c) for c in out])
+            .unionByName(absent, allowMissingColumns=True).select(*[col(c) for c in out]))
+
+
+def cells(compared: DataFrame, keys: Sequence[str], vals: Sequence[str],
+          suffixes: tuple[str, str] = ("old", "new")) -> DataFrame:
+    """The ``__v_old`` / ``__v_new`` structs of ``key_compare`` as columns."""
+    out = [*columns(keys), F.col(STATUS)]
+    for c in vals:
+        out += [F.col(f"__v_{side}").getField(c).alias(f"{c}_{name}")
+                for side, name in zip(("old", "new"), suffixes)]
+    return compared.select(*out)
 
 
 def diff_cells(old: DataFrame, new: DataFrame, keys: Sequence[str],
@@ -179,46 +166,17 @@ def diff_cells(old: DataFrame, new: DataFrame, keys: Sequence[str],
     """Per key, status and each value column as ``<col>_old`` and
     ``<col>_new``.  By default only keys that are not ``same``.
 
-    O13 explains O7.  Keys are classified by ``key_compare`` (hash
-    aggregations with fixed-width buffers; a repeated key fails the job),
-    the whole rows whose copy counts differ are the O7 rows, and only those
-    are joined to the keys that are not ``same``.  Differences are rare in
-    practice, so both sides of those joins are small; nothing sorts all
-    rows.  With ``include_same`` (or map-valued columns) every key goes
-    through one aggregation that keeps both sides' values.
+    One pass over both sides: per whole row, then per key, where only rows
+    whose copies differ carry their values.  A repeated key fails the job.
     """
     keys = list(keys)
     check_same_schema(old, new)
     check_keys(old, keys, "old")
     vals = [c for c in old.columns if c not in keys]
-    so, sn = suffixes
-    if include_same or needs_normalising(old):
-        kc = key_compare(old, new, keys, keep_values=True)
-        if not include_same:
-            kc = kc.filter(F.col(STATUS) != "same")
-        cols = [*keys, STATUS]
-        for c in vals:
-            cols += [F.col("__v_old")[c].alias(f"{c}_{so}"), F.col("__v_new")[c].alias(f"{c}_{sn}")]
-        return kc.select(*cols)
-
-    # statuses from hash aggregations over all rows (a repeated key fails
-    # here), values from the differing whole rows only
-    changed = key_compare(old, new, keys).filter(F.col(STATUS) != "same")
-    cols = old.columns
-    u = (old.select(*cols, F.lit(1).alias("__o"), F.lit(0).alias("__n"))
-         .unionByName(new.select(*cols, F.lit(0).alias("__o"), F.lit(1).alias("__n"))))
-    differing = (u.groupBy(*cols).agg(F.sum("__o").alias("__o"), F.sum("__n").alias("__n"))
-                 .filter(F.col("__o") != F.col("__n")))
-    # at most one old and one new row per key among the differing rows
-    row = F.struct(*[F.col(c) for c in vals]) if vals else F.struct(F.lit(True).alias("_"))
-    pivot = differing.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(
-        F.first(F.when(F.col("__o") > F.col("__n"), row), ignorenulls=True).alias("__v_old"),
-        F.first(F.when(F.col("__n") > F.col("__o"), row), ignorenulls=True).alias("__v_new"))
-    out = changed.join(pivot, [changed[k].eqNullSafe(pivot[f"__k_{k}"]) for k in keys], "left")
-    cols = [*keys, STATUS]
-    for c in vals:
-        cols += [F.col("__v_old")[c].alias(f"{c}_{so}"), F.col("__v_new")[c].alias(f"{c}_{sn}")]
-    return out.select(*cols)
+    kc = key_compare(old, new, keys, values="all" if include_same else "differing")
+    if not include_same:
+        kc = kc.filter(F.col(STATUS) != "same")
+    return cells(kc, keys, vals, suffixes)
 
 
 def column_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -230,14 +188,14 @@ def column_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataF
     vals = [c for c in old.columns if c not in keys]
     if not vals:
         raise SchemaMismatch("no value columns besides the keys")
-    cells = diff_cells(old, new, keys)
+    types = {f.name: f.dataType for f in old.schema.fields}
     changed = F.col(STATUS) == "changed"
-    wide = cells.agg(*[
-        F.count_if(changed & ~F.col(f"{c}_old").eqNullSafe(F.col(f"{c}_new"))).alias(c)
-        for c in vals])
-    return wide.unpivot([], vals, "column_name", "keys_changed")
+    wide = diff_cells(old, new, keys).agg(*[
+        F.count_if(changed & ~comparable(col(f"{c}_old"), types[c]).eqNullSafe(
+            comparable(col(f"{c}_new"), types[c]))).alias(c) for c in vals])
+    return wide.unpivot([], columns(vals), "column_name", "keys_changed")
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys repeated in ``df`` with their copy count (empty when unique)."""
-    return df.groupBy(*keys).count().filter(F.col("count") > 1)
+    return df.groupBy(*columns(keys)).count().filter(F.col("count") > 1)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.schema import SchemaMismatch, check_keys
+from ..functions.schema import SchemaMismatch, check_keys, col, columns
 
 _SIDE = "__side"
 
@@ -47,19 +47,19 @@ def reconcile(old: DataFrame, new: DataFrame, param_cols: Sequence[str],
     sum_t = {m: _sum_type(types[m]) for m in measures}
 
     def side(df: DataFrame, tag: int) -> DataFrame:
-        return df.select(*params, *[F.col(m).cast(sum_t[m]).alias(m) for m in measures],
+        return df.select(*columns(params), *[col(m).cast(sum_t[m]).alias(m) for m in measures],
                          F.lit(tag).alias(_SIDE))
 
     u = side(old, 1).unionByName(side(new, 2))
     s = F.col(_SIDE)
     aggs = [F.count_if(s == 1).alias("rows_old"), F.count_if(s == 2).alias("rows_new")]
     for m in measures:
-        aggs += [F.sum(F.when(s == 1, F.col(m))).cast(sum_t[m]).alias(f"{m}_old"),
-                 F.sum(F.when(s == 2, F.col(m))).cast(sum_t[m]).alias(f"{m}_new")]
-    g = u.groupBy(*params).agg(*aggs)
+        aggs += [F.sum(F.when(s == 1, col(m))).cast(sum_t[m]).alias(f"{m}_old"),
+                 F.sum(F.when(s == 2, col(m))).cast(sum_t[m]).alias(f"{m}_new")]
+    g = u.groupBy(*columns(params)).agg(*aggs)
     if only_diff:
         cond = F.col("rows_old") != F.col("rows_new")
         for m in measures:
-            cond = cond | ~F.col(f"{m}_old").eqNullSafe(F.col(f"{m}_new"))
+            cond = cond | ~col(f"{m}_old").eqNullSafe(col(f"{m}_new"))
         g = g.filter(cond)
     return g

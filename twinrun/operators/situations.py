@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import check_keys
+from ..functions.schema import check_keys, col, columns
 
 WANTED = "wanted"
 
@@ -42,12 +42,12 @@ def repeated(df: DataFrame, cols: Mapping[str, str] | Sequence[str],
     map task in the shuffle.
     """
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
-    return (df.groupBy(*[F.col(s).alias(t) for s, t in mapping.items()])
+    return (df.groupBy(*[col(s).alias(t) for s, t in mapping.items()])
             .count().filter(F.col("count") >= min_count).drop("count"))
 
 
 def _situation_flags(sit: DataFrame, on: Sequence[str]) -> DataFrame:
-    return (sit.select(*[F.col(c).alias(f"__s_{c}") for c in on]).distinct()
+    return (sit.select(*[col(c).alias(f"__s_{i}") for i, c in enumerate(on)]).distinct()
             .withColumn("__hit", F.lit(True)))
 
 
@@ -57,10 +57,10 @@ def tag_diff(diff: DataFrame, sit: DataFrame, on: Sequence[str]) -> DataFrame:
     check_keys(diff, on, "diff")
     check_keys(sit, on, "situations")
     s = _situation_flags(sit, on)
-    cond = [diff[c].eqNullSafe(s[f"__s_{c}"]) for c in on]
+    cond = [col(c, diff).eqNullSafe(s[f"__s_{i}"]) for i, c in enumerate(on)]
     return (diff.join(s, cond, "left")
             .withColumn(WANTED, F.coalesce(F.col("__hit"), F.lit(False)))
-            .select(*diff.columns, WANTED))
+            .select(*columns(diff.columns), WANTED))
 
 
 def split_diff(diff: DataFrame, sit: DataFrame,
@@ -70,6 +70,6 @@ def split_diff(diff: DataFrame, sit: DataFrame,
     on = list(on)
     check_keys(diff, on, "diff")
     check_keys(sit, on, "situations")
-    s = sit.select(*[F.col(c).alias(f"__s_{c}") for c in on])
-    cond = [diff[c].eqNullSafe(s[f"__s_{c}"]) for c in on]
+    s = sit.select(*[col(c).alias(f"__s_{i}") for i, c in enumerate(on)])
+    cond = [col(c, diff).eqNullSafe(s[f"__s_{i}"]) for i, c in enumerate(on)]
     return diff.join(s, cond, "left_semi"), diff.join(s, cond, "left_anti")

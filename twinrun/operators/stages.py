@@ -2,11 +2,15 @@
 
 When a version is refactored into named steps, compare the steps pairwise
 and report, per parameter value, the first step whose output differs.  Each
-step pair is an ``diff_rows`` (O7); the differing rows are projected to the
+step pair is a ``diff_rows`` (O7); the differing rows are projected to the
 parameter columns and tagged with the step number, unioned, and reduced
 with ``min`` per parameter value (partial aggregation, so hot documents
 stay cheap).  Steps shared by both versions share their exchanges through
 Spark's exchange reuse.
+
+The decompositions may differ: a version may be one block, and steps are
+matched by name or by a given map.  The last steps, the results, are always
+compared.
 """
 
 from __future__ import annotations
@@ -17,30 +21,54 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import SchemaMismatch, check_keys
-from ..functions.table_fn import StagedVersion
+from ..functions.schema import SchemaMismatch, check_keys, columns
+from ..functions.table_fn import StagedVersion, Version, as_version
 from .diff import diff_rows
 
 FIRST_STAGE = "first_stage"
 STAGE_NAME = "stage_name"
 
 
-def diff_stages(old: StagedVersion, new: StagedVersion, tables: Mapping[str, DataFrame],
-                params: DataFrame, param_cols: Sequence[str] | None = None) -> DataFrame:
-    """Per parameter value with any difference: ``first_stage`` (1-based)
-    and ``stage_name`` of the first differing step (names from ``new``)."""
+def _steps(version: Version, tables, params) -> list[tuple[str, DataFrame]]:
+    if isinstance(version, StagedVersion):
+        return version.run_stages(tables, params)
+    return [("result", as_version(version)(tables, params))]
+
+
+def _pairs(old: list[str], new: list[str], match: Mapping[str, str] | None) -> list[tuple[int, int]]:
+    """Positions of the steps to compare, in the order of the new version."""
+    if match is None and len(old) == len(new):
+        found = [(i, i) for i in range(len(new))]
+    elif match is None:
+        found = [(old.index(n), j) for j, n in enumerate(new) if n in old]
+    else:
+        if unknown := [a for a in match if a not in old] + [b for b in match.values() if b not in new]:
+            raise SchemaMismatch(f"no steps named {unknown} among {old} and {new}")
+        found = [(old.index(a), new.index(b)) for a, b in match.items()]
+    last = (len(old) - 1, len(new) - 1)
+    found = [p for p in found if p == last or (p[0] != last[0] and p[1] != last[1])]
+    return sorted({*found, last}, key=lambda p: p[1])
+
+
+def diff_stages(old: Version, new: Version, tables: Mapping[str, DataFrame],
+                params: DataFrame, param_cols: Sequence[str] | None = None,
+                match: Mapping[str, str] | None = None) -> DataFrame:
+    """Per parameter value with any difference: ``first_stage`` (1-based) and
+    ``stage_name`` of the first differing step of ``new``.
+
+    Versions with as many steps are compared step by step.  Otherwise, or
+    with ``match`` (old step name -> new step name), the named pairs are
+    compared, and always the last steps.  A version without steps is one
+    block: only its result is compared."""
     params_cols = list(param_cols) if param_cols is not None else list(params.columns)
-    so = old.run_stages(tables, params)
-    sn = new.run_stages(tables, params)
-    if len(so) != len(sn):
-        raise SchemaMismatch(
-            f"versions have {len(so)} and {len(sn)} stages; compare equal decompositions")
+    so, sn = _steps(old, tables, params), _steps(new, tables, params)
     parts = []
-    for i, ((_, a), (name, b)) in enumerate(zip(so, sn), start=1):
+    for i, j in _pairs([n for n, _ in so], [n for n, _ in sn], match):
+        a, (name, b) = so[i][1], sn[j]
         check_keys(a, params_cols, f"stage {name}")
         d = diff_rows(a, b)
-        parts.append(d.select(*params_cols, F.lit(i).alias(FIRST_STAGE)))
+        parts.append(d.select(*columns(params_cols), F.lit(j + 1).alias(FIRST_STAGE)))
     u = reduce(DataFrame.unionByName, parts)
     names = F.array(*[F.lit(n) for n, _ in sn])
-    return (u.groupBy(*params_cols).agg(F.min(FIRST_STAGE).alias(FIRST_STAGE))
+    return (u.groupBy(*columns(params_cols)).agg(F.min(FIRST_STAGE).alias(FIRST_STAGE))
             .withColumn(STAGE_NAME, F.element_at(names, F.col(FIRST_STAGE))))

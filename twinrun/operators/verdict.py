@@ -1,6 +1,6 @@
 """The verdict (O10) and the expected-value check.
 
-Verdict cells, per key of old ∪ new:
+Verdict cells, per key of old ∪ new ∪ situations:
 
 =====================  ==============  ============
                        result changed  result same
@@ -20,22 +20,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.schema import SchemaMismatch, check_keys
-from .diff import STATUS, diff_cells, key_compare
+from ..functions.schema import SchemaMismatch, check_keys, col, columns
+from .diff import ABSENT, STATUS, cells, key_compare
 
 CELLS = ("intended", "unfixed", "regressed", "matched")
 
 
+def in_replay(df: DataFrame, params: DataFrame) -> DataFrame:
+    """``df`` (situations, expected values) limited to the replayed parameter
+    values: a null-safe left-semi join on the parameter columns it has.  With
+    none of them it is returned as it is."""
+    shared = [c for c in params.columns if c in df.columns]
+    if not shared:
+        return df
+    p = params.select(*[col(c).alias(f"__p_{i}") for i, c in enumerate(shared)])
+    return df.join(p, [col(c, df).eqNullSafe(p[f"__p_{i}"]) for i, c in enumerate(shared)], "left_semi")
+
+
 def verdict(old: DataFrame, new: DataFrame, sit: DataFrame, keys: Sequence[str],
             on: Sequence[str] | None = None) -> DataFrame:
     """One row ``intended, unfixed, regressed, matched`` (bigint).
 
+    A situation key that neither result has counts as ``unfixed``: if the
+    defect is a missing row, a fix that still does not make it shows here.
     When the situations are keyed like the results (``on`` equal to
     ``keys``), the whole verdict is one aggregation over
-    old ∪ new ∪ situations grouped by key, then a one-row count.
+    old ∪ new ∪ situations grouped by key, then a one-row count.  Limit the
+    situations to the replayed parameters first (``in_replay``).
     """
     kc = key_compare(old, new, keys, situations=sit, on=on)
-    changed = F.col(STATUS) != "same"
+    changed = ~F.col(STATUS).isin("same", ABSENT)
     ins = F.col("in_situation")
     return kc.agg(
         F.count_if(ins & changed).alias("intended"),
@@ -45,23 +59,17 @@ def verdict(old: DataFrame, new: DataFrame, sit: DataFrame, keys: Sequence[str],
     )
 
 
-def _narrow(df: DataFrame, sit: DataFrame | None, on: Sequence[str] | None) -> DataFrame:
-    """``df`` restricted to the situation keys (null-safe left-semi join)."""
-    if sit is None:
-        return df
-    on = list(on) if on is not None else list(sit.columns)
-    s = sit.select(*[F.col(c).alias(f"__s_{c}") for c in on])
-    return df.join(s, [df[c].eqNullSafe(s[f"__s_{c}"]) for c in on], "left_semi")
-
-
-def _expected_pair(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
-                   sit: DataFrame | None, on: Sequence[str] | None):
+def _against_expected(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
+                      sit: DataFrame | None, on: Sequence[str] | None,
+                      values: str | None = None) -> DataFrame:
+    """``key_compare`` of expected against actual values, within the situations."""
     check_keys(expected, keys, "expected")
     missing = [c for c in expected.columns if c not in actual.columns]
     if missing:
         raise SchemaMismatch(f"actual result lacks expected columns {missing}")
-    return (_narrow(expected, sit, on),
-            _narrow(actual.select(*expected.columns), sit, on))
+    kc = key_compare(expected, actual.select(*columns(expected.columns)), keys,
+                     situations=sit, on=on, values=values)
+    return kc if sit is None else kc.filter("in_situation")
 
 
 def check_expected(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
@@ -71,22 +79,34 @@ def check_expected(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
 
     ``expected`` holds the right answer for the keys it covers (e.g. derived
     from the source tables by an invariant).  Only ``expected``'s columns are
-    compared.  With ``sit``, both sides are first narrowed to the situation
-    keys.  A key missing from ``actual`` counts as wrong (``status`` =
-    ``removed``), an extra key too (``added``).  Empty result: fixed.
+    compared, with ``sit`` only at situation keys.  A covered key missing
+    from ``actual`` is wrong (``removed``).  Keys that ``expected`` does not
+    cover are neither right nor wrong: see :func:`uncovered_keys`.
     """
-    exp, act = _expected_pair(actual, expected, keys, sit, on)
-    return diff_cells(exp, act, list(keys), suffixes=("expected", "actual"))
+    kc = _against_expected(actual, expected, keys, sit, on, values="differing")
+    vals = [c for c in expected.columns if c not in list(keys)]
+    return cells(kc.filter(F.col(STATUS).isin("changed", "removed")), keys, vals, ("expected", "actual"))
+
+
+def uncovered_keys(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
+                   sit: DataFrame | None = None,
+                   on: Sequence[str] | None = None) -> DataFrame:
+    """Keys without an expected value: those of ``actual`` (within the
+    situations), and situation keys that neither has.  Key columns only."""
+    kc = _against_expected(actual, expected, keys, sit, on)
+    return kc.filter(F.col(STATUS).isin("added", ABSENT)).select(*columns(keys))
 
 
 def expected_summary(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
                      sit: DataFrame | None = None,
                      on: Sequence[str] | None = None) -> DataFrame:
-    """One row: ``keys_checked`` (keys with an expected value) and
-    ``keys_wrong`` (keys :func:`check_expected` would report)."""
-    exp, act = _expected_pair(actual, expected, keys, sit, on)
-    kc = key_compare(exp, act, list(keys))
+    """One row: ``keys_checked`` (keys with an expected value),
+    ``keys_wrong`` (keys :func:`check_expected` would report) and
+    ``keys_uncovered`` (keys :func:`uncovered_keys` would)."""
+    kc = _against_expected(actual, expected, keys, sit, on)
+    is_one_of = lambda *s: F.count_if(F.col(STATUS).isin(*s))
     return kc.agg(
-        F.count_if(F.col(STATUS) != "added").alias("keys_checked"),
-        F.count_if(F.col(STATUS) != "same").alias("keys_wrong"),
+        is_one_of("same", "changed", "removed").alias("keys_checked"),
+        is_one_of("changed", "removed").alias("keys_wrong"),
+        is_one_of("added", ABSENT).alias("keys_uncovered"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ranking import top_n_per
-from ..functions.table_fn import (call_one, param_set, replay, sql_function_version,
+from ..functions.table_fn import (one_param, param_set, replay, sql_function_version,
                                   sql_version)
 from ..operators.diff import column_changes, diff_cells, diff_rows
 from ..operators.reconcile import reconcile
@@ -23,7 +23,7 @@ from ..session import configure, shared_path
 from ..sources.history import TABLES, history_counts, load_history
 from ..sources.pin import compare_to_pin, pin
 from . import standin as S
-from .replay import repeatability, replay_pair, run_procedure
+from .replay import Comparison, repeatability, replay_pair, run_procedure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,18 +51,12 @@ RETURN SELECT o.o_orderkey, l.l_partkey, p.p_name,
 """
 
 
-# Schema per table file, learned on first read (footers only).  The file
-# list is still taken fresh by every query.
-_SCHEMAS: dict[str, object] = {}
+#: the document version that the one-call queries ask for
+ONE_DOC = 1
 
 
 def _tables(spark: SparkSession, sf_dir: str, names=("orders", "lineitem", "part")):
-    root = sf_dir.rstrip("/")
-    known = {n: _SCHEMAS[f"{root}/{n}"] for n in names if f"{root}/{n}" in _SCHEMAS}
-    t = load_history(spark, root, names, schemas=known)
-    for n, df in t.items():
-        _SCHEMAS.setdefault(f"{root}/{n}", df.schema)
-    return t
+    return load_history(spark, sf_dir, names)
 
 
 def _setup(spark: SparkSession, sf_dir: str):
@@ -89,16 +83,11 @@ def q_param_set(spark, sf_dir):
     return param_set(t["orders"], {"o_orderkey": S.PARAM})
 
 
-def _top_doc(t) -> int:
-    """The document version with the most lines (ties: smallest key)."""
-    row = (t["lineitem"].groupBy("l_orderkey").count()
-           .orderBy(F.desc("count"), F.asc("l_orderkey")).first())
-    return int(row["l_orderkey"])
-
-
 def q_table_fn_one(spark, sf_dir):
-    t, params = _setup(spark, sf_dir)
-    return call_one(S.new_version(), t, params, doc=_top_doc(t))
+    configure(spark)
+    t = _tables(spark, sf_dir)
+    keys = t["orders"].withColumnRenamed("o_orderkey", S.PARAM)
+    return replay(S.new_version(), t, one_param(keys, doc=ONE_DOC))
 
 
 def _register_function(t) -> None:
@@ -110,9 +99,9 @@ def _register_function(t) -> None:
 
 
 def q_table_fn_sql_one(spark, sf_dir):
-    t, _ = _setup(spark, sf_dir)
-    _register_function(t)
-    return spark.sql("SELECT * FROM twinrun_menu_new(:k)", args={"k": _top_doc(t)})
+    configure(spark)
+    _register_function(_tables(spark, sf_dir))
+    return spark.sql("SELECT * FROM twinrun_menu_new(:k)", args={"k": ONE_DOC})
 
 
 def q_table_fn_replay(spark, sf_dir):
@@ -156,6 +145,11 @@ def q_repeatability(spark, sf_dir):
     return repeatability(S.old_version(), t, params)
 
 
+def q_repeatability_unstable(spark, sf_dir):
+    t, params = _setup(spark, sf_dir)
+    return repeatability(S.unstable_version, t, params).select("rows", "stable")
+
+
 def q_diff_rows_fix(spark, sf_dir):
     return diff_rows(*_pair(spark, sf_dir, "old", "new"))
 
@@ -221,7 +215,7 @@ def q_expected_summary(spark, sf_dir):
     t, params = _setup(spark, sf_dir)
     sit, exp = _sit(t), S.expected_quantities(t)
     parts = [expected_summary(replay(mk(), t, params), exp, list(S.KEYS), sit)
-             .select(F.lit(name).alias("version"), "keys_checked", "keys_wrong")
+             .select(F.lit(name).alias("version"), "keys_checked", "keys_wrong", "keys_uncovered")
              for name, mk in S.VERSIONS.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -245,6 +239,79 @@ def _stages(b: str) -> Query:
     return q
 
 
+def q_stage_parity_refactor(spark, sf_dir):
+    """One block against three steps, and three steps against four."""
+    t, params = _setup(spark, sf_dir)
+    block = diff_stages(S.one_block, S.broken_version(), t, params, [S.PARAM])
+    four = diff_stages(S.broken_version(), S.four_steps(), t, params, [S.PARAM],
+                       match={"lines": "large_lines", "per_product": "per_product"})
+    drift = diff_stages(S.new_version(), S.four_steps(), t, params, [S.PARAM])
+    return reduce(DataFrame.unionByName, [
+        d.withColumn("pair", F.lit(n)) for n, d in (("block", block), ("four", four), ("drift", drift))])
+
+
+def _slice(spark, sf_dir):
+    """The part of history with document versions under a third of the keys."""
+    configure(spark)
+    t = _tables(spark, sf_dir)
+    return t, param_set(t["orders"], {"o_orderkey": S.PARAM}, where="o_orderkey % 3 = 0", freeze=True)
+
+
+def q_verdict_slice(spark, sf_dir):
+    t, params = _slice(spark, sf_dir)
+    return Comparison(S.old_version(), S.broken_version(), t, params, list(S.KEYS), _sit(t)).verdict()
+
+
+def q_expected_slice(spark, sf_dir):
+    t, params = _slice(spark, sf_dir)
+    return Comparison(S.old_version(), S.new_version(), t, params, list(S.KEYS), _sit(t)).expected_summary(
+        S.expected_quantities(t))
+
+
+def q_verdict_missing_row(spark, sf_dir):
+    """The defect: lines of quantity 1 are lost, and the fix still loses them.
+    Situations are the products listed with quantity 1."""
+    t, params = _setup(spark, sf_dir)
+    old = S.menu_version(F.max, F.col("l_quantity") > 1)
+    x, y = replay_pair(old, S.broken_version(), t, params)
+    sit = situations(t, lambda t: t["lineitem"].filter("l_quantity = 1").select(
+        F.col("l_orderkey").alias("doc"), F.col("l_partkey").alias("prod")))
+    return verdict(x, y, sit, list(S.KEYS))
+
+
+def q_expected_partial(spark, sf_dir):
+    """Expected values for documents with an even key only."""
+    t, params = _setup(spark, sf_dir)
+    act = replay(S.new_version(), t, params)
+    return expected_summary(act, S.expected_quantities(t).filter("doc % 2 = 0"), list(S.KEYS), _sit(t))
+
+
+def _at_procedure(spark, sf_dir):
+    t, params = _setup(spark, sf_dir)
+    return t, Comparison(S.old_version(), S.broken_version(), t, params, [S.PARAM],
+                         _sit(t).select(S.PARAM).distinct(), finish=S.procedure_cost)
+
+
+def q_procedure_verdict(spark, sf_dir):
+    return _at_procedure(spark, sf_dir)[1].verdict()
+
+
+def q_procedure_expected(spark, sf_dir):
+    t, at = _at_procedure(spark, sf_dir)
+    return at.check_expected(S.expected_costs(t))
+
+
+def q_diff_rows_nulls(spark, sf_dir):
+    t, params = _setup(spark, sf_dir)
+    return diff_rows(replay(S.listing(), t, params), replay(S.listing(), S.with_nulls(t), params))
+
+
+def q_diff_rows_repeats(spark, sf_dir):
+    t, params = _setup(spark, sf_dir)
+    t2 = S.with_repeats(t)
+    return diff_rows(replay(S.listing(), t2, params), replay(S.listing(F.col("l_quantity") > 1), t2, params))
+
+
 QUERIES: dict[str, Query] = {
     "history_counts": q_history_counts,          # O1
     "param_set": q_param_set,                    # O2
@@ -277,4 +344,14 @@ QUERIES: dict[str, Query] = {
     "reconcile": q_reconcile,                    # O14
     "stage_parity_fix": _stages("new"),          # O15
     "stage_parity_broken": _stages("broken"),    # O15
+    "stage_parity_refactor": q_stage_parity_refactor,  # O15, unequal decompositions
+    "repeatability_unstable": q_repeatability_unstable,  # O6, a version that is not stable
+    "verdict_slice": q_verdict_slice,            # O10 over a part of history
+    "verdict_missing_row": q_verdict_missing_row,  # O10, situations in neither result
+    "expected_slice": q_expected_slice,          # O12 over a part of history
+    "expected_partial": q_expected_partial,      # O12, some keys without expected value
+    "procedure_verdict": q_procedure_verdict,    # O5 + O10
+    "procedure_expected": q_procedure_expected,  # O5 + O12
+    "diff_rows_nulls": q_diff_rows_nulls,        # O7 with nulls
+    "diff_rows_repeats": q_diff_rows_repeats,    # O7 with repeated rows
 }

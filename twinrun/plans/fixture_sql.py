@@ -41,11 +41,6 @@ SELECT l_orderkey AS doc, l_partkey AS prod,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS qty
 FROM lineitem GROUP BY l_orderkey, l_partkey"""
 
-TOP_DOC = """
-SELECT l_orderkey FROM lineitem GROUP BY l_orderkey
-ORDER BY count(*) DESC, l_orderkey LIMIT 1"""
-
-
 def _diff(a: str, b: str) -> str:
     return f"""
 SELECT doc, prod, p_name, qty, CAST(sum(w) AS BIGINT) AS net FROM (
@@ -161,11 +156,10 @@ ms AS (SELECT m.doc, m.prod, m.qty FROM m
 EXPECTED_CHECK = f"""
 WITH {_expected_pair('broken')}
 SELECT coalesce(es.doc, ms.doc) AS doc, coalesce(es.prod, ms.prod) AS prod,
-       CASE WHEN es.doc IS NULL THEN 'added' WHEN ms.doc IS NULL THEN 'removed'
-            ELSE 'changed' END AS status,
+       CASE WHEN ms.doc IS NULL THEN 'removed' ELSE 'changed' END AS status,
        es.qty AS qty_expected, ms.qty AS qty_actual
 FROM es FULL OUTER JOIN ms ON es.doc = ms.doc AND es.prod = ms.prod
-WHERE es.doc IS NULL OR ms.doc IS NULL OR es.qty IS DISTINCT FROM ms.qty"""
+WHERE es.doc IS NOT NULL AND (ms.doc IS NULL OR es.qty IS DISTINCT FROM ms.qty)"""
 
 
 def _expected_summary(version: str) -> str:
@@ -173,8 +167,9 @@ def _expected_summary(version: str) -> str:
 (WITH {_expected_pair(version)}
  SELECT '{version}' AS version,
         count(*) FILTER (WHERE es.doc IS NOT NULL) AS keys_checked,
-        count(*) FILTER (WHERE es.doc IS NULL OR ms.doc IS NULL
-                         OR es.qty IS DISTINCT FROM ms.qty) AS keys_wrong
+        count(*) FILTER (WHERE es.doc IS NOT NULL AND ms.doc IS NULL
+                         OR es.doc IS NOT NULL AND es.qty IS DISTINCT FROM ms.qty) AS keys_wrong,
+        count(*) FILTER (WHERE es.doc IS NULL) AS keys_uncovered
  FROM es FULL OUTER JOIN ms ON es.doc = ms.doc AND es.prod = ms.prod)"""
 
 
@@ -221,10 +216,110 @@ SELECT doc, CAST(min(stage) AS INTEGER) AS first_stage,
 FROM d GROUP BY doc"""
 
 
+STAGE_PARITY_REFACTOR = f"""
+WITH mn AS ({menu('new')}), mb AS ({menu('broken')}),
+lines AS (SELECT l_orderkey AS doc, l_partkey AS prod, l_quantity AS q FROM lineitem
+          WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+block AS (
+  SELECT DISTINCT doc FROM (
+    (SELECT * FROM mn EXCEPT SELECT * FROM mb) UNION ALL (SELECT * FROM mb EXCEPT SELECT * FROM mn)) x),
+per AS (
+  SELECT DISTINCT coalesce(a.doc, b.doc) AS doc
+  FROM (SELECT doc, prod, sum(q) AS s FROM lines GROUP BY doc, prod) a
+  FULL OUTER JOIN (SELECT doc, prod, sum(q) AS s FROM lines WHERE q > 1 GROUP BY doc, prod) b
+    ON a.doc = b.doc AND a.prod = b.prod
+  WHERE a.s IS DISTINCT FROM b.s)
+SELECT doc, CAST(3 AS INTEGER) AS first_stage, 'menu' AS stage_name, 'block' AS pair FROM block
+UNION ALL
+SELECT doc, CAST(3 AS INTEGER), 'per_product', 'drift' FROM per"""
+
+SLICE = "doc % 3 = 0 AND doc IN (SELECT o_orderkey FROM orders)"
+
+VERDICT_SLICE = f"""
+WITH va AS (SELECT * FROM ({menu('old')}) m WHERE {SLICE}),
+vb AS (SELECT * FROM ({menu('broken')}) m WHERE {SLICE}),
+s AS (SELECT * FROM ({SITUATIONS}) x WHERE {SLICE}),
+k AS ({_changed_keys('va', 'vb')}),
+f AS (SELECT k.changed, s.doc IS NOT NULL AS ins FROM k LEFT JOIN s ON k.doc = s.doc AND k.prod = s.prod)
+SELECT count(*) FILTER (WHERE ins AND changed) AS intended,
+       count(*) FILTER (WHERE ins AND NOT changed)
+         + (SELECT count(*) FROM s WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.doc = s.doc AND k.prod = s.prod)) AS unfixed,
+       count(*) FILTER (WHERE NOT ins AND changed) AS regressed,
+       count(*) FILTER (WHERE NOT ins AND NOT changed) AS matched
+FROM f"""
+
+EXPECTED_SLICE = f"""
+WITH e AS ({EXPECTED}), s AS ({SITUATIONS}), m AS ({menu('new')})
+SELECT count(e.doc) AS keys_checked,
+       count(*) FILTER (WHERE e.doc IS NOT NULL AND e.qty IS DISTINCT FROM m.qty) AS keys_wrong,
+       count(*) FILTER (WHERE e.doc IS NULL) AS keys_uncovered
+FROM s LEFT JOIN e ON e.doc = s.doc AND e.prod = s.prod
+       LEFT JOIN m ON m.doc = s.doc AND m.prod = s.prod
+WHERE s.doc % 3 = 0 AND s.doc IN (SELECT o_orderkey FROM orders)"""
+
+EXPECTED_PARTIAL = EXPECTED_SLICE.replace(
+    "s.doc % 3 = 0 AND s.doc IN (SELECT o_orderkey FROM orders)", "true").replace(
+    "e.doc = s.doc", "e.doc = s.doc AND e.doc % 2 = 0")
+
+VERDICT_MISSING_ROW = f"""
+WITH lost AS (SELECT DISTINCT l_orderkey AS doc, l_partkey AS prod FROM lineitem WHERE l_quantity = 1),
+a AS (SELECT l_orderkey AS doc, l_partkey AS prod, max(l_quantity) AS hi, sum(l_quantity) AS total
+      FROM lineitem WHERE l_quantity > 1 GROUP BY ALL),
+k AS (SELECT doc, prod, a.doc IS NOT NULL AND hi <> total AS changed, lost.doc IS NOT NULL AS ins
+      FROM a FULL OUTER JOIN lost USING (doc, prod))
+SELECT count(*) FILTER (WHERE ins AND changed) AS intended,
+       count(*) FILTER (WHERE ins AND NOT changed) AS unfixed,
+       count(*) FILTER (WHERE NOT ins AND changed) AS regressed,
+       count(*) FILTER (WHERE NOT ins AND NOT changed) AS matched
+FROM k"""
+
+PROCEDURE_VERDICT = f"""
+WITH po AS ({procedure('old')}), pn AS ({procedure('broken')}),
+s AS (SELECT DISTINCT doc FROM ({SITUATIONS}) x),
+k AS (SELECT coalesce(po.doc, pn.doc, s.doc) AS doc,
+             (po.doc IS NULL) <> (pn.doc IS NULL) OR po.cost IS DISTINCT FROM pn.cost AS changed,
+             s.doc IS NOT NULL AS ins
+      FROM po FULL OUTER JOIN pn ON po.doc = pn.doc FULL OUTER JOIN s ON s.doc = coalesce(po.doc, pn.doc))
+SELECT count(*) FILTER (WHERE ins AND changed) AS intended,
+       count(*) FILTER (WHERE ins AND NOT changed) AS unfixed,
+       count(*) FILTER (WHERE NOT ins AND changed) AS regressed,
+       count(*) FILTER (WHERE NOT ins AND NOT changed) AS matched
+FROM k"""
+
+PROCEDURE_EXPECTED = f"""
+WITH pn AS ({procedure('broken')}),
+e AS (SELECT l_orderkey AS doc, CAST(sum(CAST(l_quantity AS DECIMAL(18,2)) * CAST(p_retailprice AS DECIMAL(18,2)))
+             AS DECIMAL(28,4)) AS cost
+      FROM lineitem, part WHERE p_partkey = l_partkey GROUP BY l_orderkey)
+SELECT e.doc, CASE WHEN pn.doc IS NULL THEN 'removed' ELSE 'changed' END AS status,
+       e.cost AS cost_expected, pn.cost AS cost_actual
+FROM e LEFT JOIN pn ON pn.doc = e.doc
+WHERE e.doc IN (SELECT doc FROM ({SITUATIONS}) x) AND e.cost IS DISTINCT FROM pn.cost"""
+
+_LISTING = """
+SELECT l_orderkey AS doc, l_partkey AS prod, CAST({q} AS DECIMAL(18,2)) AS q
+FROM lineitem {more} WHERE l_orderkey IN (SELECT o_orderkey FROM orders) {where}"""
+
+
+def _bag_diff(a: str, b: str) -> str:
+    return f"""
+SELECT doc, prod, q, count(*) FILTER (WHERE side = 1) - count(*) FILTER (WHERE side = 0) AS net
+FROM (SELECT *, 0 AS side FROM ({a}) x UNION ALL SELECT *, 1 AS side FROM ({b}) y) u
+GROUP BY doc, prod, q HAVING net <> 0"""
+
+
+DIFF_ROWS_NULLS = _bag_diff(
+    _LISTING.format(q="l_quantity", more="", where=""),
+    _LISTING.format(q="CASE WHEN l_quantity <> 1 THEN l_quantity END", more="", where=""))
+_TWICE = "CROSS JOIN (VALUES (1), (2)) t(i)"
+DIFF_ROWS_REPEATS = _bag_diff(
+    _LISTING.format(q="l_quantity", more=_TWICE, where="AND (i = 1 OR l_orderkey % 3 = 0)"),
+    _LISTING.format(q="l_quantity", more=_TWICE, where="AND (i = 1 OR l_orderkey % 3 = 0) AND l_quantity > 1"))
+
 HISTORY_COUNTS = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM {n}" for n in TABLES)
 
-TABLE_FN_ONE = f"SELECT * FROM ({menu('new')}) m WHERE m.doc = ({TOP_DOC})"
+TABLE_FN_ONE = f"SELECT * FROM ({menu('new')}) m WHERE m.doc = 1"
 
 ORACLE: dict[str, str] = {
     "history_counts": HISTORY_COUNTS,
@@ -242,7 +337,7 @@ WHERE rn = 1""",
     "procedure_cost": procedure("new"),
     "procedure_diff": PROCEDURE_DIFF,
     "repeatability": f"""
-SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS rows_differing
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS rows_differing, TRUE AS stable
 FROM ({menu('old')}) m""",
     "diff_rows_fix": diff_rows("old", "new"),
     "diff_rows_broken": diff_rows("old", "broken"),
@@ -264,4 +359,14 @@ FROM ({menu('old')}) m""",
     "reconcile": RECONCILE,
     "stage_parity_fix": stage_parity("new"),
     "stage_parity_broken": stage_parity("broken"),
+    "stage_parity_refactor": STAGE_PARITY_REFACTOR,
+    "repeatability_unstable": "SELECT count(DISTINCT l_orderkey) AS rows, FALSE AS stable FROM lineitem",
+    "verdict_slice": VERDICT_SLICE,
+    "verdict_missing_row": VERDICT_MISSING_ROW,
+    "expected_slice": EXPECTED_SLICE,
+    "expected_partial": EXPECTED_PARTIAL,
+    "procedure_verdict": PROCEDURE_VERDICT,
+    "procedure_expected": PROCEDURE_EXPECTED,
+    "diff_rows_nulls": DIFF_ROWS_NULLS,
+    "diff_rows_repeats": DIFF_ROWS_REPEATS,
 }

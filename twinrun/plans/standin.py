@@ -17,10 +17,10 @@ versions can also be compared step by step (O15).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import hot_keys, salted_join
+from ..functions.joins import fresh_join
 from ..functions.table_fn import Stage, StagedVersion, Tables, param_set
 from ..operators.situations import repeated
 
@@ -108,21 +108,73 @@ def expected_quantities(tables: Tables) -> DataFrame:
             .agg(F.sum(F.col("l_quantity").cast(QTY)).cast(QTY).alias("qty")))
 
 
-def hot_products(tables: Tables, share: float = 0.001) -> DataFrame:
-    """Products on at least ``share`` of all lines (at most ``1 / share``):
-    the only ones that can dominate a join of menu rows on the product."""
-    li = tables["lineitem"]
-    return hot_keys(li.select(F.col("l_partkey").alias("prod")), ["prod"], share, li.count())
-
-
 def procedure_cost(menu: DataFrame, tables: Tables) -> DataFrame:
     """The procedure's final result: per doc, sum of qty * retail price.
 
-    The price lookup is the second join on the product in a row (the
-    version already joined ``part``), which adaptive execution cannot
-    split, so a product in a large share of all menus is salted.
+    The price lookup is the second join on the product in a row (the version
+    already joined ``part``), so it gets exchanges of its own, which adaptive
+    execution can split when one product is in a large share of all menus.
     """
     price = tables["part"].select(F.col("p_partkey").alias("prod"),
                                   F.col("p_retailprice").cast(QTY).alias("price"))
-    return (salted_join(menu, price, ["prod"], hot_products(tables))
+    return (fresh_join(menu, price, ["prod"])
             .groupBy(PARAM).agg(F.sum(F.col("qty") * F.col("price")).cast(COST).alias("cost")))
+
+
+def expected_costs(tables: Tables) -> DataFrame:
+    """The right answer per doc: price of every line, straight from the tables."""
+    price = tables["part"].select(F.col("p_partkey").alias("l_partkey"),
+                                  F.col("p_retailprice").cast(QTY).alias("price"))
+    return (tables["lineitem"].join(price, "l_partkey")
+            .groupBy(F.col("l_orderkey").alias(PARAM))
+            .agg(F.sum(F.col("l_quantity").cast(QTY) * F.col("price")).cast(COST).alias("cost")))
+
+
+def unstable_version(tables: Tables, params: DataFrame) -> DataFrame:
+    """A planted fault: the "first" line of a document, by an order in which
+    all lines are equal.  Which line that is depends on the layout of the data."""
+    p = params.select(PARAM)
+    li = tables["lineitem"].select("l_orderkey", F.col("l_partkey").alias("prod"))
+    any_order = Window.partitionBy(PARAM).orderBy(F.lit(1))
+    return (li.join(p, li["l_orderkey"] == p[PARAM])
+            .withColumn("rn", F.row_number().over(any_order)).filter("rn = 1").select(PARAM, "prod"))
+
+
+def one_block(tables: Tables, params: DataFrame) -> DataFrame:
+    """The new version as one block, without named steps."""
+    t, p = tables["lineitem"], params.select(PARAM)
+    part = tables["part"].select(F.col("p_partkey").alias("prod"), "p_name")
+    return (t.join(p, t["l_orderkey"] == p[PARAM]).withColumnRenamed("l_partkey", "prod").join(part, "prod")
+            .groupBy(PARAM, "prod", "p_name")
+            .agg(F.sum(F.col("l_quantity").cast(QTY)).cast(QTY).alias("qty"))
+            .select(PARAM, "prod", "p_name", "qty"))
+
+
+def four_steps() -> StagedVersion:
+    """The broken version with the filter as a step of its own."""
+    def large(t: Tables, _params: DataFrame, lines: DataFrame) -> DataFrame:
+        return lines.filter("q > 1")
+
+    return StagedVersion([Stage("lines", _lines(None)), Stage("large_lines", large),
+                          Stage("per_product", _per_product(F.sum)), Stage("menu", _menu)], name="four")
+
+
+def with_nulls(tables: Tables) -> Tables:
+    """History in which lines of quantity 1 have no quantity."""
+    q = F.col("l_quantity")
+    return {**tables, "lineitem": tables["lineitem"].withColumn("l_quantity", F.when(q != 1, q))}
+
+
+def with_repeats(tables: Tables) -> Tables:
+    """History in which documents whose key three divides hold each line twice."""
+    times = F.when(F.col("l_orderkey") % 3 == 0, 2).otherwise(1)
+    li = tables["lineitem"]
+    return {**tables, "lineitem": li.withColumn("__i", F.explode(F.sequence(F.lit(1), times))).drop("__i")}
+
+
+def listing(cond: Column | None = None):
+    """A version without grouping: a document's lines as they are, so its
+    result can hold nulls and whole rows more than once."""
+    def fn(tables: Tables, params: DataFrame) -> DataFrame:
+        return _lines(cond)(tables, params, None)
+    return fn

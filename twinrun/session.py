@@ -96,16 +96,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
+    if sc.getCheckpointDir() is not None:  # set on the context instead
+        return sc.getCheckpointDir()
     if not _is_local(spark):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set: point it at shared storage so that "
             "materialised replay results survive the loss of an executor")
-    if sc.getCheckpointDir() is None:
-        local = tempfile.mkdtemp(prefix="twinrun-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, local)
-        sc.setCheckpointDir(local)
-        return local
-    return spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    local = tempfile.mkdtemp(prefix="twinrun-ckpt-")
+    spark.conf.set(CHECKPOINT_CONF, local)
+    sc.setCheckpointDir(local)
+    return local
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

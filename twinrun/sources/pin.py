@@ -33,6 +33,17 @@ def compare_to_pin(df: DataFrame, path: str) -> DataFrame:
     return diff_rows(read_pin(df.sparkSession, path), df)
 
 
+def discard(spark: SparkSession, path: str) -> bool:
+    """Delete a saved table through Spark's own file system layer.  Only
+    paths under the shared folder's ``twinrun`` folder are accepted."""
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/twinrun/"
+    if not path.startswith(root) or ".." in path:
+        raise ValueError(f"{path} is not under {root}")
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True))
+
+
 def _parquet_can_store(dt: T.DataType) -> bool:
     if isinstance(dt, (T.NullType, T.DayTimeIntervalType, T.YearMonthIntervalType,
                        T.CalendarIntervalType)):
