@@ -321,24 +321,6 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-class Linked:
-    """Union-find over the rows of one group."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def top(self, a: int) -> int:
-        while self.up[a] != a:
-            self.up[a] = self.up[self.up[a]]
-            a = self.up[a]
-        return a
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.top(a), self.top(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
 def common(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(a) > len(b):
@@ -348,54 +330,69 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def linked(i: int, a: int, b: int, percent: int) -> bool:
-    """Jaccard similarity of at least ``percent``, in whole numbers."""
-    return 100 * i >= percent * (a + b - i)
-
-
-def sketch_overlap(a: np.ndarray, b: np.ndarray, k: int) -> int:
-    """Common values among the ``k`` smallest of the union of two sketches."""
-    both = np.sort(np.concatenate([a, b]))
-    same = both[1:][both[1:] == both[:-1]]
-    if len(same) == 0:
-        return 0
-    kinds = len(both) - len(same)
-    if kinds <= k:
-        return len(same)
-    return int((same <= np.unique(both)[k - 1]).sum())
-
-
-def region_candidates(sizes: np.ndarray, sketches: list[np.ndarray], k: int, least: int, percent: int) -> list[tuple[int, int]]:
-    """Pairs of rows that the sketches leave possible: sizes close enough and
-    enough shared values.  Shared values are counted for all pairs at once,
-    from an incidence matrix of the values that at least two rows have."""
-    n = len(sizes)
-    flat = np.concatenate(sketches)
-    row = np.repeat(np.arange(n), [len(s) for s in sketches])
-    _, col, count = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = count > 1
-    if not shared.any():
-        return []
-    new = np.cumsum(shared) - 1
-    use = shared[col]
-    use = shared[col]
-    row, col = row[use], new[col[use]]
-    order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
-    both = np.zeros((n, n), np.float32)
-    width = max(1, (16 << 20) // n)  # columns at a time: bounded memory
-    for at in range(0, int(shared.sum()), width):
-        lo, hi = np.searchsorted(col, [at, at + width])
-        m = np.zeros((n, int(col[hi - 1]) - at + 1), np.float32)
-        m[row[lo:hi], col[lo:hi] - at] = 1
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of every two sets (each without repeats).
+
+    Values of few sets are counted as pairs, values of many by multiplying
+    incidence matrices, some columns at a time, so memory stays bounded."""
+    n = len(sets)
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(flat)))
+    both = np.zeros(n * n, np.float64)
+    few = 8
+    for c in range(2, few):
+        at = first[count == c]
+        members = row[at[:, None] + np.arange(c)]
+        for i in range(c):
+            for j in range(i + 1, c):
+                both += np.bincount(members[:, i] * n + members[:, j], minlength=n * n)
+    both = both.reshape(n, n)
+    both += both.T
+    at, many = first[count >= few], count[count >= few]
+    width = max(1, (16 << 20) // n)
+    for lo in range(0, len(at), width):
+        c = many[lo:lo + width]
+        col = np.repeat(np.arange(len(c)), c)
+        place = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        m = np.zeros((n, len(c)), np.float32)
+        m[row[np.repeat(at[lo:lo + width], c) + place], col] = 1
         both += m @ m.T
+    np.fill_diagonal(both, [len(s) for s in sets])
+    return both.astype(np.int64)
+
+
+def spanning_links(linked: np.ndarray, roots: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect the rows as all links do, where rows of equal root
+    are connected already: one breadth-first forest."""
+    n = len(roots)
+    _, mates = np.unique(roots, return_inverse=True)
+    left, out = np.ones(n, bool), []
+    for seed in range(n):
+        queue = np.flatnonzero(left & (mates == mates[seed])).tolist() if left[seed] else []
+        left[queue] = False
+        while queue:
+            p = queue.pop()
+            while len(found := np.flatnonzero(linked[p] & left)):
+                out.append((p, int(found[0])))
+                joined = np.flatnonzero(left & (mates == mates[found[0]]))
+                left[joined] = False
+                queue += joined.tolist()
+    return out
+
+
+def region_candidates(sizes: np.ndarray, sketches: list[np.ndarray], least: int, percent: int) -> np.ndarray:
+    """Which rows the sketches leave possible as links: sizes close enough
+    and enough shared values."""
     need = np.minimum(least, (percent * sizes + 99) // 100)
     small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    ok = np.triu((both >= np.minimum.outer(need, need)) & (100 * small >= percent * large), 1)
-    return [(int(a), int(b)) for a, b in zip(*np.nonzero(ok))]
+    return (intersections(sketches) >= np.minimum.outer(need, need)) & (100 * small >= percent * large)
 
 
-def candidate_regions(batches: Iterator[pa.RecordBatch], k: int, least: int, percent: int) -> Iterator[pa.RecordBatch]:
+def candidate_regions(batches: Iterator[pa.RecordBatch], least: int, percent: int) -> Iterator[pa.RecordBatch]:
     """For regions (``pivot``; rows ``rid``, ``n``, ``sketch``): the connected
     parts of their candidate pairs, as (``part``, ``rid``), ``part`` being a
     hash of its members, so that equal parts of several regions are one."""
@@ -404,87 +401,31 @@ def candidate_regions(batches: Iterator[pa.RecordBatch], k: int, least: int, per
             continue
         rid = t.column("rid").to_numpy()
         sketch = t.column("sketch").combine_chunks()
-        values, off = sketch.values.to_numpy().view(np.uint64), sketch.offsets.to_numpy()
-        sketches = [values[a:b] for a, b in zip(off[:-1], off[1:])]
-        pairs = region_candidates(t.column("n").to_numpy(), sketches, k, least, percent)
-        if not pairs:
-            continue
-        uf = Linked(len(rid))
-        for a, b in pairs:
-            uf.join(a, b)
-        top = np.array([uf.top(i) for i in range(len(rid))])
-        parts, out = [], []
-        for one in np.unique(top):
-            members = np.sort(rid[top == one])
-            if len(members) > 1:
-                parts += [xxhash.xxh64_intdigest(members.tobytes())] * len(members)
-                out.append(members)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.array(parts, np.uint64).view(np.int64)), pa.array(np.concatenate(out))], ["part", "rid"])
-
-
-def join_region(sets: list[np.ndarray], k: int, least: int, percent: int, pivots: int = 8) -> list[tuple[int, int]]:
-    """Links that connect the rows of one region as all its links would.
-
-    The first open row is the pivot and its exact distance to all others is
-    taken.  Rows within reach are linked to it, so links among them add
-    nothing.  The others stay open while some row not yet connected with them
-    lies in the window of the triangle inequality, |d(x, p) - d(y, p)| <=
-    1 - t; the next open row is then the pivot.  After ``pivots`` of them the
-    open rows are held against all rows inside the windows of every pivot.
-    """
-    n = len(sets)
-    size = np.array([len(s) for s in sets])
-    uf, out = Linked(n), []
-    reach = 1 - percent / 100 + 1e-9
-    opened = list(range(n))
-    far: list[np.ndarray] = []
-    while len(opened) > 1:
-        p = opened[0]
-        d = np.empty(n)
-        for i in range(n):
-            shared = size[p] if i == p else common(sets[p], sets[i])
-            d[i] = 1 - shared / (size[p] + size[i] - shared)
-            if i != p and linked(shared, size[p], size[i], percent) and uf.join(p, i):
-                out.append((p, i))
-        far.append(d)
-        # p is settled: its distance to every row is known
-        top = np.array([uf.top(i) for i in range(n)])
-        if (top == top[0]).all():
-            return out
-        rest = np.array(opened[1:], np.int64)
-        may = (np.abs(d[rest][:, None] - d[None, :]) <= reach) & (top[rest][:, None] != top[None, :])
-        opened = rest[may.any(axis=1)].tolist()
-        if len(far) >= pivots:
-            break
-    if len(opened) > 1:
-        dist = np.stack(far)
-        sketches = [s[:k] for s in sets]
-        need = np.minimum(least, (percent * size + 99) // 100)
-        for i in opened:
-            near = np.flatnonzero((np.abs(dist - dist[:, i:i + 1]) <= reach).all(axis=0)
-                                  & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
-            for j in near:
-                if uf.top(i) != uf.top(j) and sketch_overlap(sketches[i], sketches[j], k) >= min(need[i], need[j]):
-                    if linked(common(sets[i], sets[j]), size[i], size[j], percent):
-                        uf.join(i, j)
-                        out.append((i, int(j)))
-    return out
+        values, off = sketch.values.to_numpy(), sketch.offsets.to_numpy()
+        may = region_candidates(t.column("n").to_numpy(), [values[a:b] for a, b in zip(off[:-1], off[1:])], least, percent)
+        part = np.arange(len(rid))
+        for a, b in spanning_links(may, part):  # b is new to a's part
+            part[b] = part[a]
+        out = [np.sort(rid[part == one]) for one, n in zip(*np.unique(part, return_counts=True)) if n > 1]
+        if out:
+            parts = [xxhash.xxh64_intdigest(members.tobytes()) for members in out for _ in members]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(parts, np.uint64).view(np.int64)), pa.array(np.concatenate(out))], ["part", "rid"])
 
 
-def region_links(batches: Iterator[pa.RecordBatch], k: int, least: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """For regions (``part``; rows ``rid``, ``shingles``): links (a, b) that
-    connect their rows as all links would."""
-    for t in groups(batches, "part"):
-        rid = t.column("rid").to_numpy()
-        order = np.argsort(rid)  # a fixed order of pivots
-        blobs = t.column("shingles").to_pylist()
-        links = join_region([np.frombuffer(blobs[i], np.uint64) for i in order], k, least, percent)
+def region_links(batches: Iterator[pa.RecordBatch], key: str, percent: int) -> Iterator[pa.RecordBatch]:
+    """For regions (``key``; rows ``rid``, ``root``, ``asks``, ``shingles``):
+    links (a, b) that connect, beside what has equal root, their rows as all
+    links of rows that ask would.  Exact, by all intersections at once."""
+    for t in groups(batches, key):
+        rid, asks = t.column("rid").to_numpy(), t.column("asks").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        size, both = np.array([len(x) for x in sets]), intersections(sets)
+        linked = (100 * both >= percent * (np.add.outer(size, size) - both)) & np.logical_or.outer(asks, asks)
+        links = spanning_links(linked, t.column("root").to_numpy())
         if links:
-            rid = rid[order]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rid[a] for a, _ in links], pa.int64()), pa.array([rid[b] for _, b in links], pa.int64())],
-                ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([int(rid[a]) for a, _ in links], pa.int64()),
+                                              pa.array([int(rid[b]) for _, b in links], pa.int64())], ["a", "b"])
 
 
 def pivot_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -505,22 +446,4 @@ def pivot_distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                          ["cell", "rid", "near"])
 
 
-def block_links(batches: Iterator[pa.RecordBatch], k: int, least: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """For pairs of blocks (``task``; rows ``rid``, ``side``, ``shingles``):
-    links between side 0 and side 1 (within side 0 where there is no side 1)."""
-    for t in groups(batches, "task"):
-        rid, side = t.column("rid").to_numpy(), t.column("side").to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
-        size = np.array([len(s) for s in sets])
-        uf, links = Linked(len(rid)), []
-        alone = not (side == 1).any()
-        for i, j in region_candidates(size, [s[:k] for s in sets], k, least, percent):
-            if (alone or side[i] != side[j]) and uf.top(i) != uf.top(j) and linked(common(sets[i], sets[j]), size[i], size[j], percent):
-                uf.join(i, j)
-                links.append((rid[i], rid[j]))
-        if links:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
-
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

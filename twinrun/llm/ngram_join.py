@@ -6,28 +6,33 @@ shingles are nearer than 1 to each other, so regions start from shared ones:
 
 1. Equal sets are one class; one row per class goes on.
 2. A class is sketched by its ``SKETCH`` smallest shingle hashes.  Of two
-   linked sets at least ``LEAST`` of the union's smallest hashes are shared
-   (always, for sets up to the sketch's size; else but for a chance below
-   1e-15, less than that of two shingles with one 64-bit hash).  So linked
+   linked sets at least ``LEAST`` of the union's smallest hashes are shared:
+   always, for sets up to the sketch's size; else but for a chance below 1e-12
+   per pair at a similarity of just 0.75, and far less above it.  So linked
    classes also share one of their rarest SKETCH - LEAST + 1 values, by
    exact counts over the corpus.
 3. The classes that have such a value form a group, and its class of
    smallest hash is the group's pivot.  A pivot's region is all its groups.
    Regions of small groups are cut into the connected parts of what sizes
-   and sketches leave possible, then joined in one task each: pivot after
-   pivot, by exact distances, windows of the triangle inequality, and a
-   final exact comparison (``kernels.join_region``).
-4. Larger groups are split in rounds.  Each round takes ``PIVOTS`` pivots per
-   cell and the exact distance of every member to them.  Members within
-   reach of a pivot are linked to it.  A member goes to the Voronoi cell of
-   its nearest pivot if that is within 1/2, and is copied to each cell that
-   its window meets: d(x, q) <= d(x, home) + 2r with r = 1/4.  Members
-   farther than 1/2 from all pivots form an outer cell, and are copied to
-   cells with d(x, q) <= 3/4, which holds for all that a member of that cell
-   can be linked with.  Pivots leave, being settled, and so do cells whose
-   members are all linked to the pivot.  Cells of at most ``REGION`` rows
-   are joined in one task; what is larger after ``ROUNDS`` rounds is joined
-   exactly in pairs of blocks.
+   and sketches leave possible, then each joined exactly in one task.
+4. Larger groups are cells, split in rounds.  Each round takes ``PIVOTS``
+   pivots per cell and the exact distance of every member to them.  Members
+   within reach of a pivot are linked to it, and the links' components tell
+   what is connected already.  Members outside the cell's largest component
+   still ask for links; only they are copied.  Every member lies in the
+   Voronoi cell of its nearest pivot if that is within 1/2, else in an outer
+   cell.  With r = 1/4, a member x that asks also visits
+   - each cell q with d(x, q) <= d(x, home) + 2r, if its home is within 1/2;
+   - each cell q with d(x, q) <= 3r, if it is an outer one, which holds for
+     all that a member of that cell can be linked with;
+   - the outer cell, if d(x, home) > r.
+   Members farther than r from the distances of all that ask in their cell
+   stay behind, as do pivots, which are settled, and cells where none asks.
+   A cell that its windows do not divide (its parts would have more pairs to
+   compare) stays whole, with fewer that ask.
+   Cells of at most ``REGION`` rows are joined in one task.  In what is larger
+   after ``ROUNDS`` rounds, or once a round does not halve what is left to
+   compare, those that ask are held against all, in blocks.
 5. Links are gathered as spanning links only, and their connected components
    give the component of each class.
 
@@ -43,18 +48,18 @@ result; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep_rows, row_key, saved
 from .components import connected_components
-from .kernels import (block_links, candidate_regions, pivot_distances, region_links,
-                      shingle_blobs, shingle_sketches)
+from .kernels import (candidate_regions, pivot_distances, region_links, shingle_blobs,
+                      shingle_sketches)
 
 WIDTH = 5
 PERCENT = 75
-SKETCH = 64
-LEAST = 18
+SKETCH = 96
+LEAST = 40
 GROUP = 64
 REGION = 256
 PIVOTS = 8
@@ -74,69 +79,102 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
 
 
 def shared_values(classes: DataFrame, percent: int) -> DataFrame:
-    """(m, rid, n): each class under those of its rarest SKETCH - LEAST + 1
-    sketch values that another class has too."""
+    """(m, rid, n, score): each class under those of its rarest SKETCH - LEAST
+    + 1 sketch values that another class has too.  ``score`` is how many
+    classes have a value of it on average: high in the middle of a group of
+    copies."""
+    size = F.least(F.col("n"), F.lit(SKETCH))
     items = classes.select("rid", "n", F.explode("sketch").alias("m"))
     counts = saved(items.groupBy("m").agg(F.count("*").alias("count")).filter("count > 1"))
     ranked = (items.join(counts, "m").groupBy("rid", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("count", "m"))).alias("ms")))  # at most SKETCH
-    size = F.least(F.col("n"), F.lit(SKETCH))
+              .agg(F.sort_array(F.collect_list(F.struct("count", "m"))).alias("ms"),  # at most SKETCH
+                   (F.sum("count") / F.first(size)).alias("score")))
     least = F.least(F.lit(LEAST), F.ceil(F.col("n") * percent / 100))
     alone = size - F.size("ms")  # values of no other class are the rarest
     take = F.greatest(F.lit(0), size - least + 1 - alone).cast("int")
-    return saved(ranked.select("rid", "n", F.explode(F.slice("ms", F.lit(1), take)).alias("v"))
-                 .select("rid", "n", F.col("v.m").alias("m")))
+    return saved(ranked.select("rid", "n", "score", F.explode(F.slice("ms", F.lit(1), take)).alias("v"))
+                 .select("rid", "n", "score", F.col("v.m").alias("m")))
 
 
 def in_groups(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(key).sortWithinPartitions(key)
 
 
-def voronoi_round(cells: DataFrame, blobs: DataFrame, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
-    """One round over ``cells`` (cell, rid): (links, smaller cells)."""
+def voronoi_round(cells: DataFrame, blobs: DataFrame, links: DataFrame | None, percent: int,
+                  turn: int) -> tuple[DataFrame, DataFrame]:
+    """One round over ``cells`` (cell, rid, root, asks, score): (all links of
+    large cells so far, smaller cells).  The pivots are the rows of highest
+    score: the text that others are copies of links with most of them."""
     reach = 1 - percent / 100
-    inner = 2 * reach
-    lowest = [F.min(F.struct(F.xxhash64(F.lit(turn * PIVOTS + j), "rid").alias("h"), F.col("rid").alias("rid")))["rid"].alias(f"p{j}")
-              for j in range(PIVOTS)]
-    chosen = (cells.groupBy("cell").agg(*lowest)
-              .select("cell", F.explode(F.array_distinct(F.array(*[f"p{j}" for j in range(PIVOTS)]))).alias("rid")))
+    home_reach = 2 * reach
+    best = Window.partitionBy("cell").orderBy(F.desc("asks"), F.desc("score"), F.xxhash64("rid"), "rid")
+    chosen = cells.withColumn("i", F.row_number().over(best)).filter(F.col("i") <= PIVOTS).select("cell", "rid")
     pivots = saved(chosen.join(blobs, "rid").groupBy("cell").agg(
         F.collect_list(F.struct(F.col("rid").alias("pivot"), "shingles")).alias("pivots")))  # PIVOTS at most
-    rows = cells.join(blobs, "rid").select("cell", "rid", "shingles").join(pivots, "cell")
-    far = saved(rows.select("cell", "rid", "shingles", "pivots").mapInArrow(
+    far = saved(cells.select("cell", "rid").join(blobs, "rid").join(pivots, "cell")
+                .select("cell", "rid", "shingles", "pivots").mapInArrow(
         pivot_distances, "cell long, rid long, near array<struct<pivot:long,shared:long,either:long>>"))
+    new = (far.select("rid", F.explode("near").alias("x"))
+           .filter((100 * F.col("x.shared") >= percent * F.col("x.either")) & (F.col("x.pivot") != F.col("rid")))
+           .select(F.col("rid").alias("a"), F.col("x.pivot").alias("b")))
+    links = saved(new if links is None else links.unionByName(new).distinct())
+    roots = connected_components(links).withColumnRenamed("node", "rid")
+
+    rows = saved(far.select("cell", "rid", F.transform("near", lambda x: F.struct(
+        (1 - x["shared"] / x["either"]).alias("d"), x["pivot"].alias("q"))).alias("near"))
+        .join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+        .withColumn("home", F.array_min("near")))
+    largest = (rows.groupBy("cell", "root").count().groupBy("cell")
+               .agg(F.max(F.struct("count", "root"))["root"].alias("largest")))
+    rows = (rows.join(largest, "cell").join(cells.select("cell", "rid", F.col("asks").alias("asked"), "score"), ["cell", "rid"])
+            .withColumn("asks", F.col("asked") & (F.col("root") != F.col("largest")))
+            .filter("home.q <> rid"))  # pivots are settled
+    inner = F.col("home.d") <= home_reach + EPS
+    outer = F.xxhash64("cell", F.lit("outer"))
+    spot = lambda cell, d, visit: F.struct(cell.alias("cell"), d.alias("d"), visit.alias("visit"))
+    none = F.lit(None).cast("double")
+    at_home = spot(F.when(inner, F.xxhash64("cell", "home.q")).otherwise(outer),
+                   F.when(inner, F.col("home.d")), F.lit(False))
+    window = F.when(inner, F.col("home.d") + home_reach).otherwise(home_reach + reach) + EPS
+    visits = F.transform(
+        F.filter("near", lambda x: (x["d"] <= window) & (~inner | (x["q"] != F.col("home.q")))),
+        lambda x: spot(F.xxhash64("cell", x["q"]), x["d"], F.lit(True)))
+    to_outer = F.when(inner & (F.col("home.d") > reach - EPS), F.array(spot(outer, none, F.lit(True))))
+    empty = F.array().cast("array<struct<cell:bigint,d:double,visit:boolean>>")
+    spots = F.concat(F.array(at_home), F.when(F.col("asks"), F.concat(visits, F.coalesce(to_outer, empty))).otherwise(empty))
+    rows = saved(rows.select("cell", "rid", "root", "asks", "score", spots.alias("spots")))
+    placed = rows.select(F.col("cell").alias("whole"), "rid", "root", "asks", "score", F.explode("spots").alias("s")).select("s.*", "whole", "rid", "root", "asks", "score")
+    asked = F.when(F.col("asks"), F.col("d"))
+    used = (placed.groupBy("cell").agg(F.max("asks").alias("any"), F.min(asked).alias("low"), F.max(asked).alias("high"),
+                                       F.count_if(~F.col("visit")).alias("own"))
+            .filter("any and own > 0"))
+    near_enough = F.coalesce(F.col("d").between(F.col("low") - reach - EPS, F.col("high") + reach + EPS), F.lit(True))
+    split = saved(placed.join(used, "cell").filter(F.col("asks") | near_enough)
+                  .select("whole", "cell", "rid", "root", "asks", "score"))
 
-    near = far.select("cell", "rid", F.transform("near", lambda x: F.struct(
-        (1 - x["shared"] / x["either"]).alias("d"), x["pivot"].alias("q"),
-        (100 * x["shared"] >= percent * x["either"]).alias("linked"))).alias("near"))
-    near = near.withColumn("home", F.array_min("near"))
-    links = (near.select("rid", F.explode("near").alias("x")).filter("x.linked and x.q <> rid")
-             .select(F.col("rid").alias("a"), F.col("x.q").alias("b")))
-
-    open_rows = near.filter("home.q <> rid")  # pivots are settled
-    at_home = F.col("home.d") <= inner + EPS
-    window = F.when(at_home, F.col("home.d") + inner).otherwise(inner + reach) + EPS
-    placed = open_rows.select("cell", "rid", "home", at_home.alias("inner"), F.explode(
-        F.filter("near", lambda x: x["d"] <= window)).alias("x"))
-    placed = placed.select(
-        F.xxhash64("cell", "x.q").alias("cell"), "rid", F.col("x.d").alias("d"), F.col("x.linked").alias("linked"),
-        (F.col("inner") & (F.col("x.q") == F.col("home.q"))).alias("own"))
-    open_from = placed.groupBy("cell").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("least"),
-                                           F.max("own").alias("used"))
-    kept = (placed.join(open_from.filter("used and least is not null"), "cell")
-            .filter(~F.col("linked") | (F.col("d") >= F.col("least") - reach - EPS)).select("cell", "rid"))
-    outer = open_rows.filter(~at_home).select(F.xxhash64("cell", F.lit("outer")).alias("cell"), "rid")
-    return links, saved(kept.unionByName(outer))
+    # a cell whose parts would leave more to compare than itself stays whole
+    effort = (F.count("*") * F.count_if("asks")).cast("decimal(38,0)").alias("effort")
+    by_parts = split.groupBy("whole", "cell").agg(effort).groupBy("whole").agg(F.sum("effort").alias("parts"))
+    choice = saved(rows.groupBy("cell").agg(effort).join(by_parts, F.col("cell") == F.col("whole"), "left")
+                   .filter("effort > 0").select("cell", (F.coalesce("parts", F.lit(0)) < F.col("effort")).alias("parted")))
+    parted = choice.filter("parted").select(F.col("cell").alias("whole"))
+    kept = rows.join(choice.filter("not parted").select("cell"), "cell", "left_semi")
+    return links, saved(split.join(parted, "whole", "left_semi").select("cell", "rid", "root", "asks", "score")
+                        .unionByName(kept.select("cell", "rid", "root", "asks", "score")))
 
 
 def block_pairs(cells: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(task, side, rid): each cell's rows in blocks, each pair of blocks a task."""
+    """(task, rid, root, asks): each cell's rows in blocks; each pair of a
+    block of rows that ask with a block of any is a task."""
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64(F.lit("block"), "rid"), blocks).cast("int")
-    return (cells.join(sizes, "cell").select("cell", "rid", own.alias("own"), F.explode(
-        F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        .select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("task"),
-                F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rid"))
+    rows = cells.join(sizes, "cell").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    # as one that asks, in the row of its block; as any, in its block's column;
+    # the two are one row where they meet
+    as_asking = rows.filter("asks").select("cell", "rid", "root", "asks", F.col("own").alias("r"), F.col("other").alias("c"))
+    as_any = rows.select("cell", "rid", "root", F.lit(False).alias("asks"), F.col("other").alias("r"), F.col("own").alias("c"))
+    both = as_asking.unionByName(as_any).groupBy("cell", "r", "c", "rid").agg(F.max("asks").alias("asks"), F.first("root").alias("root"))
+    return both.select(F.xxhash64("cell", "r", "c").alias("task"), "rid", "root", "asks")
 
 
 def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
@@ -145,12 +183,14 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
     groups = saved(posts.groupBy("m").agg(
         F.count("*").alias("rows"),
         F.min(F.struct(F.xxhash64("rid").alias("h"), F.col("rid").alias("rid")))["rid"].alias("pivot")).filter("rows > 1"))
-    regions = saved(posts.join(groups, "m").select("pivot", "rid", "n", (F.col("rows") > GROUP).alias("large")).distinct())
+    regions = saved(posts.join(groups, "m").select(
+        "pivot", "rid", "n", "score", (F.col("rows") > GROUP).alias("large")).distinct())
     small = (regions.filter("not large").select("pivot", "rid", "n")
              .join(classes.select("rid", "sketch"), "rid").select("pivot", "rid", "n", "sketch"))
     parts = saved(in_groups(small, "pivot").mapInArrow(
-        lambda b: candidate_regions(b, SKETCH, LEAST, percent), "part long, rid long").distinct())
-    cells = regions.filter("large").select(F.col("pivot").alias("cell"), "rid")
+        lambda b: candidate_regions(b, LEAST, percent), "part long, rid long").distinct())
+    cells = saved(regions.filter("large").select(
+        F.col("pivot").alias("cell"), "rid", F.col("rid").alias("root"), F.lit(True).alias("asks"), "score"))
 
     wanted = parts.select("rid").unionByName(cells.select("rid")).distinct().join(
         classes.select("rid", "k1", "k2"), "rid")
@@ -160,28 +200,32 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
     blobs = saved(texts.join(wanted, ["k1", "k2"]).select("rid", "text").mapInArrow(
         lambda b: shingle_blobs(b, width), "rid long, shingles binary"))
 
-    def joined(rows: DataFrame) -> DataFrame:
-        return in_groups(rows.join(blobs, "rid").select("part", "rid", "shingles"), "part").mapInArrow(
-            lambda b: region_links(b, SKETCH, LEAST, percent), "a long, b long")
+    def joined(rows: DataFrame, key: str) -> DataFrame:
+        return saved(in_groups(rows.join(blobs, "rid").select(key, "rid", "root", "asks", "shingles"), key).mapInArrow(
+            lambda b: region_links(b, key, percent), "a long, b long"))
 
-    links = [saved(joined(parts))]
+    found = [joined(parts.withColumn("root", F.col("rid")).withColumn("asks", F.lit(True)), "part")]
+    large, effort = None, None
     for turn in range(ROUNDS + 1):
-        sizes = saved(cells.groupBy("cell").agg(F.count("*").alias("rows")))
-        if sizes.isEmpty():
+        sizes = saved(cells.groupBy("cell").agg(F.count("*").alias("rows"), F.count_if("asks").alias("asking")))
+        todo = sizes.agg(F.sum((F.col("rows") * F.col("asking")).cast("decimal(38,0)")), F.max("rows")).first()
+        if todo[0] is None:
+            break
+        last = turn == ROUNDS or effort is not None and 2 * todo[0] > effort
+        effort = todo[0]
+        found.append(joined(cells.join(sizes.filter(F.col("rows") <= REGION), "cell"), "cell"))
+        if todo[1] <= REGION:
+            break
+        sizes = saved(sizes.filter(F.col("rows") > REGION))
+        cells = saved(cells.join(sizes.select("cell"), "cell", "left_semi"))
+        if last:
+            found.append(joined(block_pairs(cells, sizes), "task"))
             break
-        direct = cells.join(sizes.filter(F.col("rows") <= REGION), "cell").select(F.col("cell").alias("part"), "rid")
-        links.append(saved(joined(direct)))
-        sizes = sizes.filter(F.col("rows") > REGION)
-        cells = cells.join(sizes.select("cell"), "cell", "left_semi")
-        if turn == ROUNDS:
-            tasks = block_pairs(cells, sizes).join(blobs, "rid").select("task", "side", "rid", "shingles")
-            links.append(saved(in_groups(tasks, "task").mapInArrow(
-                lambda b: block_links(b, SKETCH, LEAST, percent), "a long, b long")))
-        else:
-            new, cells = voronoi_round(cells, blobs, percent, turn)
-            links.append(saved(new))
-    out = links[0]
-    for more in links[1:]:
+        large, cells = voronoi_round(cells, blobs, large, percent, turn)
+    if large is not None:
+        found.append(large)
+    out = found[0]
+    for more in found[1:]:
         out = out.unionByName(more)
     return out
 
