@@ -61,10 +61,10 @@ PERCENT = 75
 SKETCH = 96
 LEAST = 40
 GROUP = 64
-REGION = 256
+REGION = 1024
 PIVOTS = 8
 ROUNDS = 3
-BLOCK = 256
+BLOCK = 512
 EPS = 1e-9
 
 
@@ -164,16 +164,18 @@ def voronoi_round(cells: DataFrame, blobs: DataFrame, links: DataFrame | None, p
 
 
 def block_pairs(cells: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(task, rid, root, asks): each cell's rows in blocks; each pair of a
-    block of rows that ask with a block of any is a task."""
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("block"), "rid"), blocks).cast("int")
-    rows = cells.join(sizes, "cell").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    # as one that asks, in the row of its block; as any, in its block's column;
-    # the two are one row where they meet
-    as_asking = rows.filter("asks").select("cell", "rid", "root", "asks", F.col("own").alias("r"), F.col("other").alias("c"))
-    as_any = rows.select("cell", "rid", "root", F.lit(False).alias("asks"), F.col("other").alias("r"), F.col("own").alias("c"))
-    both = as_asking.unionByName(as_any).groupBy("cell", "r", "c", "rid").agg(F.max("asks").alias("asks"), F.first("root").alias("root"))
+    """(task, rid, root, asks): in each cell, every block of rows that ask
+    beside every block of all rows.  Rows that ask are sent once per block of
+    all, and any row once per block of those that ask."""
+    of_all, of_asking = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("rows", "asking"))
+    spread = F.xxhash64(F.lit("block"), "rid")
+    rows = cells.join(sizes, "cell").select("cell", "rid", "root", "asks", F.pmod(spread, of_all).alias("c"),
+                                            F.pmod(spread, of_asking).alias("r"), of_all.alias("cs"), of_asking.alias("rs"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+    asking = rows.filter("asks").select("cell", "rid", "root", "asks", "r", each(F.col("cs")).alias("c"))
+    any_row = rows.select("cell", "rid", "root", F.lit(False).alias("asks"), each(F.col("rs")).alias("r"), "c")
+    both = (asking.unionByName(any_row).groupBy("cell", "r", "c", "rid")
+            .agg(F.max("asks").alias("asks"), F.first("root").alias("root")))
     return both.select(F.xxhash64("cell", "r", "c").alias("task"), "rid", "root", "asks")
 
 
@@ -204,23 +206,26 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
         return saved(in_groups(rows.join(blobs, "rid").select(key, "rid", "root", "asks", "shingles"), key).mapInArrow(
             lambda b: region_links(b, key, percent), "a long, b long"))
 
-    found = [joined(parts.withColumn("root", F.col("rid")).withColumn("asks", F.lit(True)), "part")]
-    large, effort = None, None
+    found, large, effort = [], None, None
     for turn in range(ROUNDS + 1):
         sizes = saved(cells.groupBy("cell").agg(F.count("*").alias("rows"), F.count_if("asks").alias("asking")))
         todo = sizes.agg(F.sum((F.col("rows") * F.col("asking")).cast("decimal(38,0)")), F.max("rows")).first()
-        if todo[0] is None:
-            break
-        last = turn == ROUNDS or effort is not None and 2 * todo[0] > effort
-        effort = todo[0]
-        found.append(joined(cells.join(sizes.filter(F.col("rows") <= REGION), "cell"), "cell"))
-        if todo[1] <= REGION:
+        direct = cells.join(sizes.filter(F.col("rows") <= REGION), "cell").select("cell", "rid", "root", "asks")
+        if turn == 0:
+            direct = direct.unionByName(parts.select(F.col("part").alias("cell"), "rid", F.col("rid").alias("root"),
+                                                     F.lit(True).alias("asks")))
+        if turn == 0 or todo[0] is not None:
+            found.append(joined(direct, "cell"))
+        if todo[0] is None or todo[1] <= REGION:
             break
         sizes = saved(sizes.filter(F.col("rows") > REGION))
         cells = saved(cells.join(sizes.select("cell"), "cell", "left_semi"))
-        if last:
+        if turn == 0:  # later joins read the sets of large cells only
+            blobs = saved(blobs.join(cells.select("rid").distinct(), "rid", "left_semi"))
+        if turn == ROUNDS or effort is not None and 2 * todo[0] > effort:
             found.append(joined(block_pairs(cells, sizes), "task"))
             break
+        effort = todo[0]
         large, cells = voronoi_round(cells, blobs, large, percent, turn)
     if large is not None:
         found.append(large)
