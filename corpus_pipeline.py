@@ -12,7 +12,7 @@ from twinrun.llm.common import saved, table
 from twinrun.llm.exact_dedup import dedup_rows
 from twinrun.llm.mixing import mixed_rows
 from twinrun.llm.ngram_join import near_dedup_rows
-from twinrun.llm.packing import pack, piece_index
+from twinrun.llm.packing import pack
 from twinrun.llm.quality import quality_kept
 from twinrun.llm.tokenizer import tokenizer_path
 
@@ -39,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the mix's documents, by power of two."""
-    return piece_index(pack(docs, tokenizer_path()))
+    return pack(docs, tokenizer_path(), digest=True)
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact), ("n-gram Jaccard join", near),

@@ -136,3 +136,23 @@ def mix_targets(sizes, weights=(5, 2, 1), cap=3):
         left -= sum(target[s] for s in above)
         open_ -= above
     return target
+
+
+def mix_copies(docs, seed="mix-1", repeats=3):
+    """docs: (id, source, text) with distinct ids; id -> how often it is taken."""
+    size = {d: len(WORD.findall(t or "")) for d, _, t in docs}
+    sizes = Counter()
+    for d, s, _ in docs:
+        sizes[s] += size[d]
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    target, sent, queue = mix_targets(sizes), Counter(), []
+    key = {d: hashlib.md5(f"{seed}:{d}".encode()).hexdigest() for d, _, _ in docs}
+    for d, s, _ in sorted(docs, key=lambda r: (key[r[0]], size[r[0]])):
+        sent[s] += size[d]
+        if target[s] > 0:
+            queue += [((c * sizes[s] + sent[s]) / target[s], key[d], size[d], names.index(s), c, d) for c in range(repeats)]
+    out, upto = Counter(), 0
+    for *_, d in sorted(queue):
+        upto += size[d]
+        out[d] += upto <= sum(sizes.values())
+    return out

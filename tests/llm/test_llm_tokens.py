@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from llm_helpers import DOCS, REPEATED, SF, documents, got, tokenizer, want  # noqa: F401
 
 from twinrun.llm.kernels import Encoder
-from twinrun.llm.packing import pack, piece_index
+from twinrun.llm.packing import pack
 from twinrun.llm.queries import op4_packing, op5_token_files
 from twinrun.llm.token_files import read_tokens, token_index, write_tokens
 from twinrun.llm.tokenizer import tokenizer_path
@@ -64,8 +64,8 @@ def test_packing_whole_table(spark, tokenizer):  # noqa: F811
 
 
 def test_packing_edges(spark, tokenizer):  # noqa: F811
-    check_pieces(piece_index(pack(documents(spark, REPEATED), tokenizer_path())), REPEATED, tokenizer)
-    assert piece_index(pack(documents(spark, []), tokenizer_path())).count() == 0
+    check_pieces(pack(documents(spark, REPEATED), tokenizer_path(), digest=True), REPEATED, tokenizer)
+    assert pack(documents(spark, []), tokenizer_path(), digest=True).count() == 0
 
 
 def test_pieces_carry_their_ids(spark, tokenizer):  # noqa: F811

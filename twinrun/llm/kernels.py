@@ -18,7 +18,7 @@ import xxhash
 from pyspark import TaskContext, cloudpickle
 
 #: bytes of text that one step of a kernel handles; a longer text is a step of its own
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 
 def misra_gries(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa.RecordBatch]:
@@ -75,7 +75,7 @@ class Encoder:
     makes chunks longer.
     """
 
-    def __init__(self, path: str, remembered: int = 1_500_000):
+    def __init__(self, path: str, remembered: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -222,6 +222,39 @@ def piece_counts(batches: Iterator[pa.RecordBatch], path: str, end_id: int, top:
             [*batch.schema.names, "ranks"])
 
 
+def piece_rows(batches: Iterator[pa.RecordBatch], top: int, digest: bool) -> Iterator[pa.RecordBatch]:
+    """Documents (id, tokens, n_tokens, ranks, firsts) to their pieces: id,
+    start, length, doc_tokens, sequence_id, offset, and the piece's tokens or,
+    with ``digest``, their CRC-32 as little-endian unsigned 32-bit integers."""
+    whole = 1 << top
+    for batch in batches:
+        tokens, ranks, firsts = (batch.column(c) for c in ("tokens", "ranks", "firsts"))
+        flat = np.ascontiguousarray(tokens.values.to_numpy(zero_copy_only=False).astype("<u4"))
+        view, off = memoryview(flat.view(np.uint8)), tokens.offsets.to_numpy().astype(np.int64)
+        rank = ranks.values.to_numpy()[ranks.offsets[0].as_py():].reshape(-1, top + 1)
+        number = firsts.values.to_numpy()[firsts.offsets[0].as_py():].reshape(-1, top + 1)[:len(rank)] + rank[:batch.num_rows]
+        doc, start, length, sequence, crc = [], [], [], [], []
+        for i in range(batch.num_rows):
+            n, at, base, numbers = int(off[i + 1] - off[i]), 0, int(off[i]), number[i].tolist()
+            while at < n:
+                k = min(top, (n - at).bit_length() - 1)
+                size = 1 << k
+                doc.append(i)
+                start.append(at)
+                length.append(size)
+                sequence.append(numbers[k] + (at // whole if k == top else 0))
+                if digest:
+                    crc.append(zlib.crc32(view[4 * (base + at):4 * (base + at + size)]))
+                at += size
+        doc, length = pa.array(doc, pa.int64()), np.array(length, np.int64)
+        last = pa.array(crc, pa.int64()) if digest else list_array(
+            np.concatenate([[0], np.cumsum(length)]), flat[off[0]:off[-1]].astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id").take(doc), pa.array(start, pa.int64()), pa.array(length), batch.column("n_tokens").take(doc),
+             pa.array(sequence, pa.int64()), pa.array(np.zeros(len(length), np.int64)), last],
+            ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32" if digest else "tokens"])
+
+
 # ---------------------------------------------------------------- shingles
 
 _LOWER = np.arange(256, dtype=np.uint8)

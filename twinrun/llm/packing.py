@@ -20,16 +20,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
-from .kernels import crc_rows, piece_counts
+from .kernels import piece_counts, piece_rows
 
 MAX_LENGTH = 2048
 END_ID = 1
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-         max_length: int = MAX_LENGTH, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: doc_id, ``start`` (its document's ids before it),
-    ``length``, ``doc_tokens``, ``sequence_id``, ``offset``, ``tokens``."""
+         max_length: int = MAX_LENGTH, end_id: int = END_ID, digest: bool = False) -> DataFrame:
+    """One row per piece: id, ``start`` (its document's ids before it),
+    ``length``, ``doc_tokens``, ``sequence_id``, ``offset``, and ``tokens``, or
+    with ``digest`` their CRC-32 as ``ids_crc32``."""
     top = max_length.bit_length() - 1
     if max_length != 1 << top:
         raise ValueError("max_length must be a power of two")
@@ -48,29 +49,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     firsts = (counts.select("part", "k", F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("first"))
               .groupBy("part").agg(F.transform(
                   F.sort_array(F.collect_list(F.struct("k", "first"))), lambda x: x["first"]).alias("firsts")))
-
-    def piece(start, k, rank):
-        return F.struct(start.cast("long").alias("start"), F.lit(1 << k).cast("long").alias("length"),
-                        (F.get("firsts", F.lit(k)) + rank).alias("sequence_id"),
-                        F.slice("tokens", start.cast("int") + 1, 1 << k).alias("tokens"))
-
-    whole = F.transform(
-        F.when(n >= max_length, F.sequence(F.lit(0).cast("long"), F.shiftright(n, top) - 1)).otherwise(F.array().cast("array<bigint>")),
-        lambda i: piece(i * max_length, top, F.get("ranks", F.lit(top)) + i))
-    rest = F.array_compact(F.array(*[
-        F.when(F.shiftright(n, k).bitwiseAND(1) == 1,
-               piece(F.shiftleft(F.shiftright(n, k + 1), k + 1), k, F.get("ranks", F.lit(k))))
-        for k in range(top - 1, -1, -1)]))
+    last = "ids_crc32 long" if digest else "tokens array<int>"
     return (coded.join(F.broadcast(firsts), "part")  # one row per task that wrote tokens
-            .select("id", "n_tokens", F.explode(F.concat(whole, rest)).alias("p"))
-            .select(F.col("id").alias(id_col), "p.start", "p.length", F.col("n_tokens").alias("doc_tokens"),
-                    "p.sequence_id", F.lit(0).cast("long").alias("offset"), "p.tokens"))
-
-
-def piece_index(pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The pieces with the CRC-32 of their ids in place of the ids."""
-    kind = pieces.schema[id_col].dataType.simpleString()
-    cols = [id_col, "start", "length", "doc_tokens", "sequence_id", "offset"]
-    return pieces.select(*cols, "tokens").mapInArrow(
-        crc_rows, f"{id_col} {kind}, start long, length long, doc_tokens long, sequence_id long, "
-        "offset long, ids_crc32 long")
+            .select("id", "tokens", "n_tokens", "ranks", "firsts")
+            .mapInArrow(lambda b: piece_rows(b, top, digest),
+                        f"id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, {last}")
+            .withColumnRenamed("id", id_col))

@@ -12,7 +12,7 @@ from .html_extract import extract_text
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .ngram_join import ngram_components
-from .packing import pack, piece_index
+from .packing import pack
 from .quality import quality_rules
 from .token_files import token_index, write_tokens
 from .tokenizer import tokenizer_path
@@ -36,7 +36,7 @@ def op3_html_extract(spark, sf_dir):
 
 
 def op4_packing(spark, sf_dir):
-    return piece_index(pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), digest=True)
 
 
 def op5_token_files(spark, sf_dir):
