@@ -50,8 +50,15 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
 
 
+def lean_memory() -> None:
+    """Give freed Arrow buffers back to the system instead of keeping them:
+    two Python workers share an executor's memory with its JVM."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows of about STEP_BYTES of text."""
+    lean_memory()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -339,6 +346,7 @@ def shingle_blobs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
 
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Runs of equal ``key`` of a partition that is sorted by it."""
+    lean_memory()
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if batch.num_rows == 0:
@@ -386,7 +394,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     both = both.reshape(n, n)
     both += both.T
     at, many = first[count >= few], count[count >= few]
-    width = max(1, (16 << 20) // n)
+    width = max(1, (4 << 20) // n)
     for lo in range(0, len(at), width):
         c = many[lo:lo + width]
         col = np.repeat(np.arange(len(c)), c)
