@@ -8,6 +8,7 @@ from llm_helpers import DOCS, REPEATED, SF, documents, got, want
 
 from twinrun.llm import ngram_join
 from twinrun.llm.components import connected_components
+from twinrun.llm.kernels import region_links, shingle_blobs
 from twinrun.llm.ngram_join import near_dedup_rows, ngram_components
 from twinrun.llm.queries import op8_ngram_join
 
@@ -78,3 +79,30 @@ def test_components_of_long_paths_and_hubs(spark):
     assert all(roots[i] == 4 for i in [5, *range(1000, 1300)])
     assert 7 not in roots
     assert connected_components(edges.limit(0)).count() == 0
+
+
+def test_groups_that_a_bridge_connects_stay_linked_over_rounds(spark):
+    """A first round has silenced the smaller group; in the second the larger
+    one is connected too, and only one pair links the groups."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    one, other, shared = [word() for _ in range(48)], [word() for _ in range(48)], [word() for _ in range(72)]
+    step = lambda k: shared + other[:k] + one[k:]
+    left = variants(rng, step(0), 20, 2) + [" ".join(step(8))]
+    right = variants(rng, step(28), 40, 2) + [" ".join(step(20))]
+    docs = list(enumerate(left + right))
+    assert {c for _, _, c in near_components(docs)} == {0}
+    assert len({c for _, _, c in near_components([d for d in docs if d[1] not in (left[-1], right[-1])])}) == 2
+    blobs = spark.createDataFrame(docs, "rid long, text string").mapInArrow(
+        lambda b: shingle_blobs(b, 5), "rid long, shingles binary")
+    n = len(left)
+    cells = spark.createDataFrame(
+        [(1, i, 0 if i < n else i, i >= n, 0.0 if i in (n - 1, len(docs) - 1) else 1.0) for i, _ in docs],
+        "cell long, rid long, root long, asks boolean, score double")
+    links = spark.createDataFrame([(i, 0) for i in range(1, n)], "a long, b long")
+    for turn in (1, 2):
+        links, cells = ngram_join.voronoi_round(cells, blobs, links, 75, turn)
+    rest = ngram_join.in_groups(cells.join(blobs, "rid").select("cell", "rid", "root", "asks", "shingles"), "cell").mapInArrow(
+        lambda b: region_links(b, "cell", 75), "a long, b long")
+    roots = {r.node: r.root for r in connected_components(links.unionByName(rest)).collect()}
+    assert {roots.get(i, i) for i, _ in docs} == {0}

@@ -19,9 +19,10 @@ shingles are nearer than 1 to each other, so regions start from shared ones:
    pivots per cell and the exact distance of every member to them.  Members
    within reach of a pivot are linked to it, and the links' components tell
    what is connected already.  Members outside the cell's largest component
-   still ask for links; only they are copied.  Every member lies in the
-   Voronoi cell of its nearest pivot if that is within 1/2, else in an outer
-   cell.  With r = 1/4, a member x that asks also visits
+   still ask for links; only they are copied.  Where some members have
+   stopped asking in an earlier round, it is their component that counts.
+   Every member lies in the Voronoi cell of its nearest pivot if that is
+   within 1/2, else in an outer cell.  With r = 1/4, a member x that asks also visits
    - each cell q with d(x, q) <= d(x, home) + 2r, if its home is within 1/2;
    - each cell q with d(x, q) <= 3r, if it is an outer one, which holds for
      all that a member of that cell can be linked with;
@@ -123,10 +124,14 @@ def voronoi_round(cells: DataFrame, blobs: DataFrame, links: DataFrame | None, p
     rows = saved(far.select("cell", "rid", F.transform("near", lambda x: F.struct(
         (1 - x["shared"] / x["either"]).alias("d"), x["pivot"].alias("q"))).alias("near"))
         .join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-        .withColumn("home", F.array_min("near")))
-    largest = (rows.groupBy("cell", "root").count().groupBy("cell")
-               .agg(F.max(F.struct("count", "root"))["root"].alias("largest")))
-    rows = (rows.join(largest, "cell").join(cells.select("cell", "rid", F.col("asks").alias("asked"), "score"), ["cell", "rid"])
+        .withColumn("home", F.array_min("near"))
+        .join(cells.select("cell", "rid", F.col("asks").alias("asked"), "score"), ["cell", "rid"]))
+    # rows that no longer ask are of one component: no other may join them, or
+    # pairs of the two would have no side that asks
+    silent = (F.count_if(~F.col("asked")) > 0).alias("silent")
+    largest = (rows.groupBy("cell", "root").agg(silent, F.count("*").alias("count")).groupBy("cell")
+               .agg(F.max(F.struct("silent", "count", "root"))["root"].alias("largest")))
+    rows = (rows.join(largest, "cell")
             .withColumn("asks", F.col("asked") & (F.col("root") != F.col("largest")))
             .filter("home.q <> rid"))  # pivots are settled
     inner = F.col("home.d") <= home_reach + EPS
