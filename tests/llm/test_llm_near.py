@@ -1,6 +1,7 @@
 """The n-gram Jaccard join, held against all pairs."""
 
 import random
+from math import comb
 
 import pytest
 from brute import near_components
@@ -106,3 +107,11 @@ def test_groups_that_a_bridge_connects_stay_linked_over_rounds(spark):
         lambda b: region_links(b, "cell", 75), "a long, b long")
     roots = {r.node: r.root for r in connected_components(links.unionByName(rest)).collect()}
     assert {roots.get(i, i) for i, _ in docs} == {0}
+
+
+def test_shared_values_follow_the_percent():
+    assert ngram_join.least_shared(75) == 40
+    for percent in (30, 50, 60, 75, 90):
+        share, least = percent / 100, ngram_join.least_shared(percent)
+        fewer = sum(comb(96, i) * share**i * (1 - share)**(96 - i) for i in range(least))
+        assert fewer <= 1e-12 or least == 1

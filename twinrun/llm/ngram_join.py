@@ -49,6 +49,8 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +62,7 @@ from .kernels import (candidate_regions, pivot_distances, region_links, shingle_
 WIDTH = 5
 PERCENT = 75
 SKETCH = 96
-LEAST = 40
+ERROR = 1e-12
 GROUP = 64
 REGION = 1024
 PIVOTS = 8
@@ -69,6 +71,16 @@ BLOCK = 512
 EPS = 1e-9
 
 
+def least_shared(percent: int) -> int:
+    """LEAST: so many of a union's SKETCH smallest hashes are shared, but for
+    a chance of at most ERROR, by a pair whose similarity is just ``percent``."""
+    p, least, below = percent / 100, 0, (1 - percent / 100) ** SKETCH
+    while below <= ERROR and least < SKETCH:  # the chance of sharing at most ``least``
+        least += 1
+        below += comb(SKETCH, least) * p ** least * (1 - p) ** (SKETCH - least)
+    return max(least, 1)
+
+
 def sketched(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """id, row key, set size ``n``, class ``c`` and ``sketch`` of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -90,7 +102,7 @@ def shared_values(classes: DataFrame, percent: int) -> DataFrame:
     ranked = (items.join(counts, "m").groupBy("rid", "n")
               .agg(F.sort_array(F.collect_list(F.struct("count", "m"))).alias("ms"),  # at most SKETCH
                    (F.sum("count") / F.first(size)).alias("score")))
-    least = F.least(F.lit(LEAST), F.ceil(F.col("n") * percent / 100))
+    least = F.least(F.lit(least_shared(percent)), F.ceil(F.col("n") * percent / 100))
     alone = size - F.size("ms")  # values of no other class are the rarest
     take = F.greatest(F.lit(0), size - least + 1 - alone).cast("int")
     return saved(ranked.select("rid", "n", "score", F.explode(F.slice("ms", F.lit(1), take)).alias("v"))
@@ -194,8 +206,9 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
         "pivot", "rid", "n", "score", (F.col("rows") > GROUP).alias("large")).distinct())
     small = (regions.filter("not large").select("pivot", "rid", "n")
              .join(classes.select("rid", "sketch"), "rid").select("pivot", "rid", "n", "sketch"))
+    least = least_shared(percent)
     parts = saved(in_groups(small, "pivot").mapInArrow(
-        lambda b: candidate_regions(b, LEAST, percent), "part long, rid long").distinct())
+        lambda b: candidate_regions(b, least, percent), "part long, rid long").distinct())
     cells = saved(regions.filter("large").select(
         F.col("pivot").alias("cell"), "rid", F.col("rid").alias("root"), F.lit(True).alias("asks"), "score"))
 
