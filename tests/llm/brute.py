@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -156,3 +157,83 @@ def mix_copies(docs, seed="mix-1", repeats=3):
         upto += size[d]
         out[d] += upto <= sum(sizes.values())
     return out
+
+
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def alnum_words(text):
+    return ALNUM.findall((text or "").translate(LOWER))
+
+
+def decontaminate(docs, items, window=10):
+    """docs, items: (id, text); per row (id, n_words, n_hit, item ids, contaminated)."""
+    held = defaultdict(set)
+    for i, t in items:
+        words = alnum_words(t)
+        w = min(window, len(words))
+        for a in range(len(words) - w + 1) if w else ():
+            held[tuple(words[a:a + w])].add("null" if i is None else str(i))
+    out = []
+    for d, t in docs:
+        words, hit, found = alnum_words(t), set(), set()
+        for w in {len(x) for x in held}:
+            for a in range(len(words) - w + 1):
+                if who := held.get(tuple(words[a:a + w])):
+                    found |= who
+                    hit |= set(range(a, a + w))
+        out.append((d, len(words), len(hit), sorted(found), bool(hit)))
+    return out
+
+
+def runs_of(words, least=6, times=4):
+    """(start, length, period) of every run, by trying every period."""
+    n, out = len(words), {}
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, times * q):
+                out.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted((s, n, q) for (s, n), q in out.items())
+
+
+def collapsed(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return sha(" ".join(w for i, w in enumerate(words) if i not in gone))
+
+
+def with_tail(doc, text):
+    """The contract's planted period."""
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def resample(docs, target, max_n=1, buckets=10_000, least=20, percent=10):
+    """docs: (id, text), distinct ids; per row (id, n_features, weight, score, rank)."""
+    def features(t):
+        w = alnum_words(t)
+        return [zlib.crc32(" ".join(w[i:i + n]).encode()) % buckets for n in range(1, max_n + 1) for i in range(len(w) - n + 1)]
+
+    rows = [(d, features(t), len(alnum_words(t))) for d, t in docs]
+    s = Counter(b for _, f, _ in rows for b in f)
+    t = Counter(b for x in target for b in features(x))
+    big_s, big_t = sum(s.values()) + buckets, sum(t.values()) + buckets
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * big_s / ((s[b] + 1) * big_t))) for b in s}
+    out = []
+    for d, f, n in rows:
+        weight = sum(gain[b] for b in f) // len(f) if f else 0
+        h = int(sha(f"2024:{'null' if d is None else d}")[:8], 16)
+        out.append((d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n))
+    able = sorted((x for x in out if x[4] >= least), key=lambda x: (-x[3], x[0] is None, x[0]))
+    rank = {x[0]: i + 1 for i, x in enumerate(able[:percent * len(able) // 100])}
+    return [(*x[:4], rank.get(x[0])) for x in out]

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from .chat import format_conversations, read_conversations
 from .common import saved, table
+from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .html_extract import extract_text
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .ngram_join import ngram_components
 from .packing import pack
+from .periodic_runs import find_runs, greatest_run, periodic_tail
 from .quality import quality_rules
+from .resample import resample
 from .token_files import token_index, write_tokens
 from .tokenizer import tokenizer_path
 from .warc import read_index, write_archive
@@ -79,6 +82,27 @@ def op10_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_decontamination(spark, sf_dir):
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op12_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = find_runs(docs, text_col=periodic_tail(F.col("doc_id"), F.col("text")))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return (out.withColumn("top", greatest_run(F.col("runs")))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+                    F.expr("(1000 * top.length) div top.period").alias("exponent_milli"),
+                    F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), "collapsed_sha256"))
+
+
+def op13_importance_resampling(spark, sf_dir):
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -90,4 +114,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
     "op10_mixing": op10_mixing,
+    "op11_decontamination": op11_decontamination,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_importance_resampling": op13_importance_resampling,
 }

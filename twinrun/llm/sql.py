@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from . import decontaminate as D
 from . import mixing as M
+from . import periodic_runs as P
 from . import quality as Q
+from . import resample as R
 
 W = r"[^\x20\x09-\x0D]+"
 S = r"[\x20\x09-\x0D]"
@@ -127,6 +130,98 @@ SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(source_si
 FROM o GROUP BY rid"""
 
 
+#: words of digits, letters and all beyond ASCII, A-Z lower-cased
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LOWERED = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ALNUM}')"
+
+#: CRC-32 bit by bit: ``step`` holds that of every byte
+CRC_STEP = """
+bits(b, c, k) AS (
+  SELECT b::BIGINT, b::BIGINT, 0 FROM range(256) t(b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS step FROM bits WHERE k = 8)"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes, beside the table ``crc``."""
+    byte = f"('0x' || substr(hex(encode({text})), (2 * i + 1)::INTEGER, 2))::BIGINT"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({text}))), "
+            f"lambda i: {byte})), lambda c, b: xor(crc.step[(xor(c, b) & 255) + 1], c >> 8)))")
+
+
+DECONTAMINATE = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {LOWERED} AS ws FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {LOWERED} AS ws FROM benchmark),
+bw AS (SELECT item, ws, least(len(ws), {D.WINDOW}) AS w FROM b WHERE len(ws) > 0),
+item_windows AS (SELECT DISTINCT item, w, array_to_string(ws[i:i + w - 1], ' ') AS g
+                 FROM (SELECT *, unnest(range(1, len(ws) - w + 2)) AS i FROM bw)),
+doc_windows AS (SELECT rid, i, w, array_to_string(ws[i:i + w - 1], ' ') AS g
+                FROM (SELECT rid, ws, w, unnest(range(1, len(ws) - w + 2)) AS i
+                      FROM d, (SELECT DISTINCT w FROM item_windows) WHERE len(ws) >= w)),
+hits AS MATERIALIZED (SELECT rid, i, w, item FROM doc_windows JOIN item_windows USING (w, g)),
+words AS (SELECT rid, count(DISTINCT i + o) AS n_hit
+          FROM (SELECT DISTINCT rid, i, w FROM hits), range(0, {D.WINDOW}) x(o) WHERE o < w GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
+
+# Periods by pairs of equal five words at each distance, and their stretches by
+# position less row number: quadratic where a text repeats itself often.
+PERIODIC_RUNS = f"""
+WITH RECURSIVE {CRC_STEP},
+d0 AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{W}') AS ws,
+              {crc32_sql("doc_id::VARCHAR")} AS h FROM documents, crc),
+d1 AS (SELECT *, (h // 10) % greatest(len(ws), 1) AS a, (h // 10) % 8 AS m FROM d0),
+d2 AS (SELECT *, 1 + (len(ws) - a) // (3 + m) AS p FROM d1),
+d AS MATERIALIZED (
+  SELECT rid, doc_id, CASE WHEN h % 10 = 0 THEN list_transform(range(0, len(ws)), lambda i:
+           ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE ws END AS ws FROM d2),
+grams AS MATERIALIZED (
+  SELECT rid, n, i, array_to_string(ws[i + 1:i + 5], ' ') AS g
+  FROM (SELECT rid, ws, len(ws) AS n, unnest(range(0, len(ws) - 4)) AS i FROM d)),
+pairs AS (SELECT x.rid, x.i, y.i - x.i AS q FROM grams x JOIN grams y
+          ON x.rid = y.rid AND x.g = y.g AND y.i > x.i AND {P.TIMES} * (y.i - x.i) <= x.n),
+marked AS (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT rid, q, min(i) AS s, max(i) - min(i) + 5 + q AS n FROM marked GROUP BY rid, q, island),
+runs AS MATERIALIZED (
+  SELECT rid, s, n, min(q) AS q FROM stretches WHERE n >= {P.LEAST} AND n >= {P.TIMES} * q GROUP BY rid, s, n),
+dropped AS (SELECT DISTINCT rid, unnest(range(s + q, s + n)) AS i FROM runs),
+kept AS (SELECT rid, string_agg(w, ' ' ORDER BY i) AS t
+         FROM (SELECT rid, unnest(range(0, len(ws))) AS i, unnest(ws) AS w FROM d) ANTI JOIN dropped USING (rid, i) GROUP BY rid),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY rid),
+top AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n::DOUBLE / q DESC, s, q) = 1)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, n::BIGINT AS length, q::BIGINT AS period,
+       (1000 * n // q)::BIGINT AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256,
+       sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN top USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN kept USING (rid)"""
+
+RESAMPLE = f"""
+WITH RECURSIVE {CRC_STEP},
+d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {LOWERED} AS ws FROM documents),
+f AS MATERIALIZED (
+  SELECT rid, 'd' AS side, unnest(ws) AS w FROM d
+  UNION ALL SELECT NULL, 'b', unnest(ws) FROM (SELECT {LOWERED} AS ws FROM benchmark)),
+kinds AS (SELECT DISTINCT w FROM f),
+k AS MATERIALIZED (SELECT w, {crc32_sql("w")} % {R.BUCKETS} AS bucket FROM kinds, crc),
+c AS (SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t
+      FROM f JOIN k USING (w) GROUP BY bucket),
+n AS (SELECT sum(s) AS ns, sum(t) AS nt FROM c),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (ns + {R.BUCKETS})::DOUBLE
+                                         / ((s + 1)::DOUBLE * (nt + {R.BUCKETS})::DOUBLE))) AS gain FROM c, n),
+weights AS (SELECT rid, floor(sum(gain) / count(*))::BIGINT AS weight
+            FROM f JOIN k USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY rid),
+scored AS (
+  SELECT rid, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('{R.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (rid)),
+ranked AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank,
+                  {R.PERCENT} * count(*) OVER () // 100 AS draws FROM scored WHERE n_features >= {R.MIN_WORDS})
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN (SELECT * FROM ranked WHERE rank <= draws) USING (rid)"""
+
+
 ORACLE = {
     "op1_quality_rules": quality_sql(),
     "op2_line_dedup": LINE_DEDUP,
@@ -134,4 +229,7 @@ ORACLE = {
     "op7_exact_dedup": EXACT_DEDUP,
     "op9_chat_format": CHAT,
     "op10_mixing": mixing_sql(),
+    "op11_decontamination": DECONTAMINATE,
+    "op12_periodic_runs": PERIODIC_RUNS,
+    "op13_importance_resampling": RESAMPLE,
 }
