@@ -1,11 +1,13 @@
 """The pipeline: every stage against plain Python, and the whole."""
 
 import pytest
-from brute import base_rules, crc, exact_dedup, mix_copies, near_components, pieces
+from brute import WORD, base_rules, crc, exact_dedup, mix_copies, near_components, pieces
 from llm_helpers import REPEATED, SF, documents, got, labels, tokenizer, want  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from twinrun.llm import quality as Q
+from twinrun.llm.common import whole_row_key
 from twinrun.llm.mixing import mix
 
 
@@ -46,9 +48,20 @@ def test_mix_equals_a_queue_by_hand(spark):
 def test_stages_on_edge_tables(spark, tmp_path, rows):
     docs = documents(spark, rows)
     labels(spark, [(1, 1, 0), (None, None, None), (1, 0, 1)]).write.parquet(str(tmp_path / "labels.parquet"))
-    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(spark, docs, str(tmp_path))
-        if i < 4:
-            assert out.columns == docs.columns
-        assert out.count() >= 0
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    out = [f(spark, docs, str(tmp_path)) for f in stages]
+    assert [o.columns for o in out[:4]] == [docs.columns] * 4
+    given = docs.collect()
+    assert got(out[0], *docs.columns) == want(r for r in given if not base_rules(r.text)[5])
+    distinct = list(dict.fromkeys(rows))  # of rows equal in id and text one stays
+    assert got(out[1], "doc_id", "text") == want(r for r, g in zip(distinct, exact_dedup(distinct)) if g[3])
+    blank = [(r.doc_id, r.text) for r in given if not WORD.search(r.text or "")]
+    near = [(r, g[2]) for r, g in zip(distinct, near_components(distinct)) if r not in blank]
+    keep = [r for r, c in near if r[0] == c and (c is not None or r[1] == next(x[1] for x, y in near if y is None))]
+    assert set(got(out[2], "doc_id", "text")) == set(want(blank + keep))
+    assert got(out[2].filter("text is null or not text rlike '[^ \\t\\n]'"), "doc_id", "text") == want(blank)
+    copies = mix(docs, key=whole_row_key(docs)).agg(F.sum("copies")).first()[0] or 0
+    assert out[3].count() == copies and set(got(out[3], *docs.columns)) <= set(want(given))
+    assert out[4].agg(F.sum("length")).first()[0] == (sum(
+        r.doc_tokens for r in out[4].filter("start = 0").collect()) or None)
     assert crc([]) == 0

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from twinrun.llm import exact_dedup as E
 from twinrun.llm import quality as Q
 from twinrun.llm.chat import format_conversations, read_conversations
+from twinrun.llm.common import whole_row_key
 from twinrun.llm.line_dedup import RunStore, dedup_lines, line_hashes
 from twinrun.llm.mixing import mix, mixed_rows, source_targets
+from twinrun.llm.ngram_join import near_dedup_rows
 from twinrun.llm.quality import binomial_below, cutoffs, quality_kept, quality_rules
 from twinrun.llm.queries import QUERIES
 from twinrun.llm.sql import ORACLE
@@ -81,8 +83,59 @@ def test_quality_stage_keeps_columns(spark):
     docs = documents(spark, REPEATED)
     out = quality_kept(docs, labels(spark, []))
     assert out.columns == docs.columns
-    ok = {d for d, t in DOCS if not base_rules(t)[5]}
-    assert sorted(r.doc_id for r in out.collect()) == sorted(ok)
+    ok = [r for r in docs.collect() if not base_rules(r.text)[5]]
+    assert got(out, *docs.columns) == want(ok)
+
+
+def twins(spark):
+    """30 rows that pass; some are equal in id and text, but not in what else they hold."""
+    text = lambda i: " ".join(f"t{i}w{j}" for j in range(25))
+    rows = [(i, text(i), "en", "a", 0, "p") for i in range(20)]
+    rows += [(1, text(1), "de", "b", 0, "p"), (1, text(1), "en", "a", 0, "q"), (1, text(1), None, None, 1, None)]
+    rows += [(2, text(2), "en", "a", 0, "p")] * 3 + [(None, text(3), "en", "b", 0, "p")] * 2 + [(7, text(7), "en", "c", 0, "p")] * 2
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, k1 string")
+
+
+def test_quality_stage_keeps_every_row(spark):
+    docs = twins(spark)
+    for parts in (1, 7):
+        assert got(quality_kept(docs.repartition(parts), labels(spark, [])), *docs.columns) == want(docs.collect())
+
+
+def test_quality_stage_judges_twins_by_their_own_stratum(spark):
+    """Equal id and text in two languages, of which only one has a cutoff that it fails."""
+    plain = " ".join(f"word{i}" for i in range(30))
+    marked = plain + " " + "#" * 80
+    rows = [(i, plain, lang, "s", 0) for lang in ("en", "de") for i in range(3000)] + [(9000, marked, "en", "s", 0), (9000, marked, "de", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    given = docs.filter("lang = 'en' and doc_id < 3000").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    held = docs.filter("lang = 'en' or doc_id = 9000")
+    out = quality_kept(held, given)
+    assert out.filter("doc_id = 9000").select("lang").collect() == [("de",)]
+    assert out.count() == 3001
+
+
+def test_mix_keeps_sources_of_twins(spark):
+    docs = twins(spark)
+    copies = mix(docs, key=whole_row_key(docs))
+    k1, k2 = whole_row_key(docs)
+    expected = (docs.select("*", F.struct(k1, k2).alias("__k")).distinct()
+                .join(copies.groupBy(F.struct("k1", "k2").alias("__k")).agg(F.sum("copies").alias("__n")), "__k"))
+    by_hand = [tuple(r[c] for c in docs.columns) for r in expected.collect() for _ in range(r["__n"])]
+    for parts in (1, 5):
+        out = mixed_rows(docs.repartition(parts))
+        assert got(out, *docs.columns) == want(by_hand)
+    by_source = {r.source: r.n for r in out.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    targets = {r.source: r.target for r in source_targets(docs.select("source", F.lit(25).cast("long").alias("size"))).collect()}
+    assert set(by_source) == {"a", "b", "c", None} and all(abs(by_source[s] - t) <= 75 for s, t in targets.items())
+
+
+def test_dedup_stages_keep_one_of_twins_whatever_the_order(spark):
+    docs = twins(spark)
+    first = [got(f(docs.repartition(1).sortWithinPartitions("source")), *docs.columns) for f in (E.dedup_rows, near_dedup_rows)]
+    for f, rows in zip((E.dedup_rows, near_dedup_rows), first):
+        assert got(f(docs.repartition(5).sortWithinPartitions(F.desc("lang"))), *docs.columns) == rows
+        assert len(rows) == 20
 
 
 # ------------------------------------------------------------ exact dedup

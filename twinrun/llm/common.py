@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.schema import columns, comparable_columns
 from ..sources.pin import materialize
 
 # Fixed values of the query contracts: the white space set and the words it separates.
@@ -90,11 +91,27 @@ def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, Col
                                   for i, n in enumerate(totals)]))
 
 
-def keep_rows(rows: DataFrame, id_col: str, text_col: str, keys: DataFrame) -> DataFrame:
-    """The rows of a table whose (id, text) key is in ``keys`` (columns k1,
-    k2), one row for each key, with the table's own columns."""
-    k1, k2 = row_key(F.col(id_col), F.col(text_col))
-    return (rows.select(F.struct(*rows.columns).alias("__row"), k1.alias("k1"), k2.alias("k2"))
-            .groupBy("k1", "k2").agg(F.first("__row").alias("__row"))  # repeats meet before the shuffle
+def whole_row_key(df: DataFrame) -> tuple[Column, Column]:
+    """``row_key`` over all columns: rows of equal key are the same row."""
+    return row_key(*comparable_columns(df))
+
+
+def rows_of(rows: DataFrame, key_cols: Sequence[str], keys: DataFrame) -> DataFrame:
+    """Every row of a table whose key over ``key_cols`` is in ``keys`` (columns k1,
+    k2), repeats included, with the table's own columns."""
+    k1, k2 = row_key(*columns(key_cols))
+    return lookup_join(rows.select(F.struct(*columns(rows.columns)).alias("__row"), k1.alias("k1"), k2.alias("k2")),
+                       saved(keys.select("k1", "k2").distinct()), ["k1", "k2"], "left_semi").select("__row.*")
+
+
+def one_row_each(rows: DataFrame, key_cols: Sequence[str], keys: DataFrame) -> DataFrame:
+    """One row for each key of ``keys`` (columns k1, k2), with the table's own
+    columns: of rows of equal key that with the smallest hash of all columns,
+    so the choice does not depend on their order."""
+    k1, k2 = row_key(*columns(key_cols))
+    w1, w2 = whole_row_key(rows)
+    return (rows.select(F.struct(*columns(rows.columns)).alias("__row"), k1.alias("k1"), k2.alias("k2"),
+                        F.struct(w1.alias("a"), w2.alias("b")).alias("__w"))
             .join(keys.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
+            .groupBy("k1", "k2").agg(F.min_by("__row", "__w").alias("__row"))  # repeats meet before the shuffle
             .select("__row.*"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, keep_rows, row_key, saved
+from .common import SPACE, one_row_each, row_key, saved
 from .kernels import misra_gries
 
 COUNTERS = 4096
@@ -42,7 +42,7 @@ def heavy_digests(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
     """One row per input row: its id, ``keep_id``, ``group_size``, ``kept``,
-    ``text_sha256``, and (k1, k2), the key of the row for ``keep_rows``.
+    ``text_sha256``, and (k1, k2), the key of its id and text.
 
     The row with most code points stays, then the smallest id."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -70,6 +70,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the table's own columns."""
-    return keep_rows(docs, id_col, text_col,
-                     exact_dedup(docs, id_col, text_col).filter("kept"))
+    """The rows that stay, with the table's own columns; of rows equal in id
+    and text one stays, whatever their other columns hold."""
+    return one_row_each(docs, [id_col, text_col], exact_dedup(docs, id_col, text_col).filter("kept"))

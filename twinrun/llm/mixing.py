@@ -10,7 +10,8 @@ DataFrame functions only.  The order of documents within a source is the
 md5 of their id, so reruns agree.
 
 Cases: null text has size 0; a null source is a source of its own, last;
-repeated rows are mixed one by one; documents without words are taken 0
+repeated rows are mixed one by one, each with its own source; very long texts
+are only counted; documents without words are taken 0
 times; an empty table gives an empty result; other columns are not read.
 """
 
@@ -21,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, lookup_join, row_key, running_totals, saved
+from ..functions.schema import columns
+from .common import WORD, lookup_join, row_key, running_totals, saved, whole_row_key
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -68,10 +70,12 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS,
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", weights: Sequence[int] = WEIGHTS,
-        max_repeats: int = MAX_REPEATS, seed: str = SEED, size: Column | None = None) -> DataFrame:
+        max_repeats: int = MAX_REPEATS, seed: str = SEED, size: Column | None = None,
+        key: tuple[Column, Column] | None = None) -> DataFrame:
     """One row per input row: id, ``size``, ``source_size``, ``target`` (its
-    source's), ``taken`` (size times repeats taken), ``copies``, (k1, k2)."""
-    k1, k2 = row_key(F.col(id_col), F.col(text_col))
+    source's), ``taken`` (size times repeats taken), ``copies``, and (k1, k2), the
+    row's ``key`` (of id and text), which also breaks ties."""
+    k1, k2 = key or row_key(F.col(id_col), F.col(text_col))
     if size is None:
         size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD))
     sized = saved(docs.select(
@@ -108,11 +112,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source") -> DataFrame:
     """The mix itself: each row as often as it is taken, own columns only.
-    Repeated rows are counted together, so each gets its copies once."""
-    took = (mix(docs, id_col, text_col, source_col).filter("copies > 0")
+    Only rows equal in all columns are counted together, and each of them is
+    the same row, so every row's own source and columns go with its copies."""
+    k1, k2 = whole_row_key(docs)
+    took = (mix(docs, id_col, text_col, source_col, key=(k1, k2)).filter("copies > 0")
             .groupBy("k1", "k2").agg(F.sum("copies").alias("copies")))
-    k1, k2 = row_key(F.col(id_col), F.col(text_col))
-    return (docs.select(F.struct(*docs.columns).alias("__row"), k1.alias("k1"), k2.alias("k2"))
+    return (docs.select(F.struct(*columns(docs.columns)).alias("__row"), k1.alias("k1"), k2.alias("k2"))
             .groupBy("k1", "k2").agg(F.first("__row").alias("__row"))
             .join(took, ["k1", "k2"])
             .select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__c"))

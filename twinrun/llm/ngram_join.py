@@ -54,7 +54,7 @@ from math import comb
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep_rows, row_key, saved
+from .common import WORD, one_row_each, row_key, saved
 from .components import connected_components
 from .kernels import (candidate_regions, pivot_distances, region_links, shingle_blobs,
                       shingle_sketches)
@@ -277,10 +277,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def near_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component (the smallest id), with the table's own
-    columns; rows with an empty set stay, repeated ones as one."""
+    columns.  Rows without words are copies of nothing: all stay."""
     found = saved(ngram_components(docs, id_col, text_col).select(F.col(id_col).alias("id"), "root", "k1", "k2"))
     first = F.min(F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("id"),
                            F.col("k1").alias("k1"), F.col("k2").alias("k2"))).alias("w")
-    keys = (found.filter("root is not null").groupBy("root").agg(first).select("w.k1", "w.k2")
-            .unionByName(found.filter("root is null").select("k1", "k2")))
-    return keep_rows(docs, id_col, text_col, keys)
+    keys = found.filter("root is not null").groupBy("root").agg(first).select("w.k1", "w.k2")
+    blank = ~F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)
+    return one_row_each(docs, [id_col, text_col], keys).unionByName(docs.filter(blank))

@@ -23,7 +23,8 @@ the order of floating point additions.
 
 Cases: null or empty text has no words and fails the base rules; a null
 stratum is a stratum of its own; repeated rows are judged one by one; a
-document labelled twice counts as good if any label says so; an empty table
+document labelled twice counts as good if any label says so; very long texts
+are judged whole, with their words as one array of a row; an empty table
 gives an empty result; other columns are not read.
 """
 
@@ -34,7 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, lookup_join, row_key, saved
+from .common import SPACE, WORD, lookup_join, row_key, rows_of, saved
 
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
@@ -65,9 +66,10 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     return F.when(n >= width, hashes)
 
 
-def base_features(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
+def base_features(docs: DataFrame, id_col: str, text_col: str, stratum_col: str,
+                  key: tuple[Column, Column] | None = None) -> DataFrame:
     """id, stratum, row key, word and line counts, and ``base_failed``."""
-    k1, k2 = row_key(F.col(id_col), F.col(text_col))
+    k1, k2 = key or row_key(F.col(id_col), F.col(text_col))
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.regexp_like(x, F.lit(WORD)))
     step = docs.select(
@@ -157,10 +159,11 @@ def cutoffs(features: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   stratum_col: str = "lang", label_col: str = "quality",
-                  risk: float = RISK, delta: float = DELTA) -> DataFrame:
+                  risk: float = RISK, delta: float = DELTA,
+                  key: tuple[Column, Column] | None = None) -> DataFrame:
     """One row per input row: id, the base features, ``base_failed``,
-    ``kept``, ``failed_rules`` and (k1, k2)."""
-    features = saved(base_features(docs, id_col, text_col, stratum_col))
+    ``kept``, ``failed_rules`` and (k1, k2), the row's ``key`` (of id and text)."""
+    features = saved(base_features(docs, id_col, text_col, stratum_col, key))
     cuts = saved(cutoffs(features, labels, id_col, label_col, risk, delta))
     s = scores()
     judged = lookup_join(
@@ -176,11 +179,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 def quality_kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  stratum_col: str = "lang") -> DataFrame:
-    """The documents that pass, with the table's own columns (repeated rows
-    become one)."""
-    from .common import keep_rows
-    verdict = quality_rules(docs, labels, id_col, text_col, stratum_col)
-    return keep_rows(docs, id_col, text_col, verdict.filter("kept"))
+    """The rows that pass, each as often as it is there, with the table's own
+    columns.  The verdict depends on id, text and stratum alone, so rows equal
+    in these share it, whatever their other columns hold."""
+    read = [id_col, text_col, stratum_col]
+    verdict = quality_rules(docs, labels, *read, key=row_key(*[F.col(c) for c in read]))
+    return rows_of(docs, read, verdict.filter("kept"))
 
 
 __all__: Sequence[str] = ("quality_rules", "quality_kept", "cutoffs", "base_features", "binomial_below")
