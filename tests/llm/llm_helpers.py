@@ -50,6 +50,4 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     from twinrun.llm.tokenizer import tokenizer_path
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())

@@ -1,6 +1,9 @@
 """Token files and packing, held against the tokenizer itself."""
 
+import os
+
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from brute import crc, pieces, tokens
 from hypothesis import given, settings
@@ -73,12 +76,42 @@ def test_pieces_carry_their_ids(spark, tokenizer):  # noqa: F811
     assert sum((r.tokens for r in rows), []) == tokens("x " * 5000, tokenizer, 1)
 
 
+SPECIAL = st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "a", " word", "'s", "é", "　", "1", "."]), max_size=30).map("".join)
+
+
 @pytest.mark.parametrize("remembered", [0, 3, 1000])
-@given(st.lists(st.text(alphabet=list("ab'é　\x85\x1c \n\t.<|>1日😀"), max_size=40), max_size=8))
+@given(st.lists(st.text(alphabet=list("ab'é　\x85\x1c \n\t.<|>1日😀"), max_size=40) | SPECIAL, max_size=8))
 @settings(max_examples=60, deadline=None)
-def test_encoder_equals_tokenizer(remembered, texts):
+def test_encoder_equals_untouched_tokenizer(remembered, texts):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
     e = Encoder(tokenizer_path(), remembered)
     for _ in range(2):
         off, ids = e.encode(pa.array(texts, pa.string()))
         assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == [
-            e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_special_string_is_its_own_id(tokenizer):  # noqa: F811
+    assert 50256 in tokens("a <|endoftext|> b", tokenizer, 2)
+    assert sum(50256 in tokens(t, tokenizer, 2) for _, t in DOCS) == 1
+
+
+def test_token_files_format(spark):
+    """Dictionary ids, delta-coded numbers, small row groups, column and offset indexes."""
+    rows = [(i, f"text {i} " + "some more words " * (i % 40)) for i in range(3000)]
+    path = write_tokens(documents(spark, rows), tokenizer_path())
+    root = path.removeprefix("file:")
+    files = [os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+    assert files
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            for c in range(group.num_columns):
+                chunk = group.column(c)
+                assert chunk.has_offset_index and chunk.has_column_index, chunk.path_in_schema
+                if chunk.path_in_schema.startswith("tokens"):
+                    assert {"PLAIN_DICTIONARY", "RLE_DICTIONARY"} & set(chunk.encodings)
+                elif chunk.path_in_schema != "part" and chunk.physical_type in ("INT32", "INT64"):  # part: one value a file
+                    assert "DELTA_BINARY_PACKED" in chunk.encodings, (chunk.path_in_schema, chunk.encodings)

@@ -79,14 +79,14 @@ class Encoder:
     spaces and its ids are those of the chunks in a row.  Distinct chunks are
     encoded once a step; a bounded table remembers earlier ones.  White space
     is taken widely: a space after any other byte is not a cut, which only
-    makes chunks longer.
+    makes chunks longer.  The file is used as it is: the string of a special
+    token, which holds no space, gives that token's id.
     """
 
     def __init__(self, path: str, remembered: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.byte_length = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # a character of a token stands for a byte
