@@ -134,3 +134,31 @@ def test_limited_table_function_is_refused(spark, hist, params):
                ORDER BY l_quantity DESC, l_partkey LIMIT 1""")
     with pytest.raises(LossyFunction, match="top_n_per"):
         replay(sql_function_version("twinrun_first_line", ["doc"]), hist, params)
+
+
+def _function(spark, name, body):
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(k BIGINT) RETURNS TABLE (doc BIGINT, x STRING) RETURN {body}")
+    return sql_function_version(name, ["doc"])
+
+
+@pytest.mark.parametrize("body", [
+    "SELECT l_orderkey, 'x' FROM twinrun_li WHERE l_orderkey = k OFFSET 1",
+    "SELECT a, b FROM (SELECT l_orderkey AS a, 'x' AS b FROM twinrun_li WHERE l_orderkey = k ORDER BY l_partkey LIMIT 2) q",
+    "WITH c AS (SELECT l_orderkey AS a FROM twinrun_li WHERE l_orderkey = k LIMIT 1) SELECT a, 'x' FROM c",
+    "SELECT l_orderkey, 'x' FROM twinrun_li WHERE l_orderkey = k AND l_partkey IN (SELECT p_partkey FROM twinrun_pt LIMIT 3)",
+])
+def test_limits_anywhere_are_refused(spark, hist, params, body):
+    hist["lineitem"].createOrReplaceTempView("twinrun_li")
+    hist["part"].createOrReplaceTempView("twinrun_pt")
+    with pytest.raises(LossyFunction):
+        replay(_function(spark, "twinrun_limited", body), hist, params)
+
+
+def test_words_that_look_like_limits_are_not(spark, hist, params):
+    """Literals, columns and tables named like plan nodes."""
+    hist["lineitem"].withColumnRenamed("l_partkey", "Tail").withColumnRenamed("l_suppkey", "Offset").createOrReplaceTempView("GlobalLimit")
+    fn = _function(spark, "twinrun_named", "SELECT l_orderkey, concat('Offset ', `Offset`, ' Tail ', `Tail`, ' LocalLimit') "
+                                           "FROM GlobalLimit WHERE l_orderkey = k")
+    out = replay(fn, hist, params)
+    assert out.count() == hist["lineitem"].join(params, F.col("l_orderkey") == F.col("doc")).count() > 0
+    spark.catalog.dropTempView("GlobalLimit")

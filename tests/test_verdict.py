@@ -160,3 +160,23 @@ def test_comparison_columns_and_stages(hist, params, sit):
     got = {r.column_name: r.keys_changed for r in c.column_changes().collect()}
     assert got["p_name"] == 0 and got["qty"] > 0
     assert {r.stage_name for r in c.stage_parity().collect()} == {"lines", "per_product"}
+
+
+def test_wide_verdict_runs_each_version_once(hist, params, sit):
+    """Wider situations are aggregated with the keys: three scans of lineitem
+    (two versions, the situations), as at key width."""
+    x, y = S.old_version()(hist, params), S.broken_version()(hist, params)
+    for s, on in ((sit, None), (sit.select("doc"), ["doc"])):
+        plan = verdict(x, y, s, ["doc", "prod"], on=on)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_quantity#") and plan.count("Join FullOuter") == plan.count("LeftAnti") == 0
+        assert sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) == 3
+
+
+def test_wide_situations_without_a_key(spark):
+    rows = lambda *r: spark.createDataFrame(list(r), "a long, b long, v long")
+    old, new = rows((1, 1, 5), (1, 2, 5), (2, 1, 5), (None, 1, 5)), rows((1, 1, 6), (1, 2, 5), (2, 1, 6), (None, 1, 6))
+    s = spark.createDataFrame([(1,), (1,), (9,), (None,)], "a long")
+    assert tuple(verdict(old, new, s, ["a", "b"], on=["a"]).first()) == (2, 2, 1, 0)
+    e = expected_summary(new, old, ["a", "b"], s, on=["a"])
+    assert tuple(e.first()) == (3, 2, 1)
+    assert tuple(expected_summary(new, old, ["a", "b"]).first()) == (4, 3, 0)

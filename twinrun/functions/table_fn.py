@@ -18,7 +18,6 @@ Three ways to write a version:
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .schema import SchemaMismatch, col, columns
 
+
 class LossyFunction(ValueError):
     """A SQL table function whose body would lose rows when called laterally."""
 
@@ -147,11 +147,26 @@ def _refuse_limit(spark, function_name: str, params: DataFrame) -> None:
     names = ", ".join(f"c{i}" for i in range(len(params.columns)))
     args = ", ".join(f"p.c{i}" for i in range(len(params.columns)))
     probe = spark.sql(f"SELECT f.* FROM VALUES ({nulls}) AS p({names}), LATERAL {function_name}({args}) f")
-    plan = probe._jdf.queryExecution().analyzed().toString()
-    if re.search(r"\b(GlobalLimit|LocalLimit|Tail|Offset)\b", plan):
+    found = sorted(LIMITS & set(_node_classes(probe._jdf.queryExecution().analyzed())))
+    if found:
         raise LossyFunction(
-            f"{function_name} holds a LIMIT; called laterally it would limit the whole join and "
-            "lose rows. Rank per parameter with top_n_per instead")
+            f"{function_name} holds a LIMIT or OFFSET ({', '.join(found)}); called laterally it would limit the "
+            "whole join and lose rows. Rank per parameter with top_n_per instead")
+
+
+#: classes of plan nodes that keep some rows of all
+LIMITS = {"GlobalLimit", "LocalLimit", "Tail", "Offset"}
+
+
+def _node_classes(plan):
+    """Class names of a logical plan's nodes, those of subqueries in its
+    expressions (the lateral call itself is one) included."""
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        yield node.getClass().getSimpleName()
+        for below in (node.children(), node.subqueries()):
+            todo += [below.apply(i) for i in range(below.size())]
 
 
 @dataclass(frozen=True)

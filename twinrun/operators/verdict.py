@@ -45,28 +45,66 @@ def verdict(old: DataFrame, new: DataFrame, sit: DataFrame, keys: Sequence[str],
     defect is a missing row, a fix that still does not make it shows here.
     When the situations are keyed like the results (``on`` equal to
     ``keys``), the whole verdict is one aggregation over
-    old ∪ new ∪ situations grouped by key, then a one-row count.  Limit the
+    old ∪ new ∪ situations grouped by key, then a one-row count; wider ones
+    add one aggregation per ``on``, without a join.  Limit the
     situations to the replayed parameters first (``in_replay``).
     """
-    kc = key_compare(old, new, keys, situations=sit, on=on)
-    changed = ~F.col(STATUS).isin("same", ABSENT)
-    ins = F.col("in_situation")
-    return kc.agg(
-        F.count_if(ins & changed).alias("intended"),
-        F.count_if(ins & ~changed).alias("unfixed"),
-        F.count_if(~ins & changed).alias("regressed"),
-        F.count_if(~ins & ~changed).alias("matched"),
-    )
+    counts = _status_counts(old, new, keys, sit, on)
+    changed = F.col("added") + F.col("removed") + F.col("changed")
+    same = F.col("same") + F.col(ABSENT)
+    return _totals(counts, {
+        "intended": (F.lit(True), changed), "unfixed": (F.lit(True), same),
+        "regressed": (F.lit(False), changed), "matched": (F.lit(False), same)})
+
+
+STATUSES = ("added", "removed", "changed", "same", ABSENT)
+
+
+def _status_counts(old: DataFrame, new: DataFrame, keys: Sequence[str], sit: DataFrame | None,
+                   on: Sequence[str] | None) -> DataFrame:
+    """``in_situation`` and how many keys have each status, in one or more rows
+    to be added up.
+
+    Situations as wide as the keys are part of ``key_compare``'s aggregation.
+    Wider ones are aggregated together with the keys' statuses, once per
+    ``on``: a wide situation that no key meets counts as ``absent``, both
+    versions run once, and a hot document sends one row per task."""
+    keys = list(keys)
+    on = list(on) if on is not None else (list(sit.columns) if sit is not None else keys)
+    count = {s: F.count_if(F.col(STATUS) == s).alias(s) for s in STATUSES}
+    if sit is None or set(on) == set(keys):
+        kc = key_compare(old, new, keys, situations=sit, on=on if sit is not None else None)
+        return kc.agg(*count.values()).withColumn("in_situation", F.lit(True)) if sit is None else (
+            kc.groupBy("in_situation").agg(*count.values()))
+    check_keys(sit, on, "situations")
+    if missing := [c for c in on if c not in keys]:
+        raise SchemaMismatch(f"situation columns {missing} are not among the keys {keys}")
+    kc = key_compare(old, new, keys).select(*columns(on), STATUS, F.lit(False).alias("in_situation"))
+    wide = sit.select(*columns(on), F.lit(ABSENT).alias(STATUS), F.lit(True).alias("in_situation"))
+    met = F.col("added") + F.col("removed") + F.col("changed") + F.col("same")
+    per_on = kc.unionByName(wide).groupBy(*columns(on)).agg(*count.values(), F.max("in_situation").alias("in_situation"))
+    return per_on.withColumn(ABSENT, F.when(met == 0, 1).otherwise(0)).select("in_situation", *STATUSES)
+
+
+def _totals(counts: DataFrame, parts: dict) -> DataFrame:
+    """One row: per name, the sum of a count over rows in or outside situations."""
+    return counts.agg(*[
+        F.coalesce(F.sum(F.when(F.col("in_situation") == inside, n)), F.lit(0)).cast("long").alias(name)
+        for name, (inside, n) in parts.items()])
+
+
+def _check_expected_columns(actual: DataFrame, expected: DataFrame, keys: Sequence[str]) -> None:
+    check_keys(expected, keys, "expected")
+    missing = [c for c in expected.columns if c not in actual.columns]
+    if missing:
+        raise SchemaMismatch(f"actual result lacks expected columns {missing}")
 
 
 def _against_expected(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
                       sit: DataFrame | None, on: Sequence[str] | None,
                       values: str | None = None) -> DataFrame:
     """``key_compare`` of expected against actual values, within the situations."""
-    check_keys(expected, keys, "expected")
-    missing = [c for c in expected.columns if c not in actual.columns]
-    if missing:
-        raise SchemaMismatch(f"actual result lacks expected columns {missing}")
+    _check_expected_columns(actual, expected, keys)
     kc = key_compare(expected, actual.select(*columns(expected.columns)), keys,
                      situations=sit, on=on, values=values)
     return kc if sit is None else kc.filter("in_situation")
@@ -103,10 +141,10 @@ def expected_summary(actual: DataFrame, expected: DataFrame, keys: Sequence[str]
     """One row: ``keys_checked`` (keys with an expected value),
     ``keys_wrong`` (keys :func:`check_expected` would report) and
     ``keys_uncovered`` (keys :func:`uncovered_keys` would)."""
-    kc = _against_expected(actual, expected, keys, sit, on)
-    is_one_of = lambda *s: F.count_if(F.col(STATUS).isin(*s))
-    return kc.agg(
-        is_one_of("same", "changed", "removed").alias("keys_checked"),
-        is_one_of("changed", "removed").alias("keys_wrong"),
-        is_one_of("added", ABSENT).alias("keys_uncovered"),
-    )
+    _check_expected_columns(actual, expected, keys)
+    counts = _status_counts(expected, actual.select(*columns(expected.columns)), keys, sit, on)
+    inside = F.lit(True)
+    return _totals(counts, {
+        "keys_checked": (inside, F.col("same") + F.col("changed") + F.col("removed")),
+        "keys_wrong": (inside, F.col("changed") + F.col("removed")),
+        "keys_uncovered": (inside, F.col("added") + F.col(ABSENT))})

@@ -28,6 +28,7 @@ PARAM = "doc"
 KEYS = ("doc", "prod")
 QTY = "decimal(18,2)"
 COST = "decimal(28,4)"
+SHIPPED_BEFORE = "1998-05-01"  # about the middle of history
 
 
 def params_of(tables: Tables, freeze: bool = True) -> DataFrame:
