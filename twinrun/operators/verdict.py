@@ -60,30 +60,39 @@ def verdict(old: DataFrame, new: DataFrame, sit: DataFrame, keys: Sequence[str],
 STATUSES = ("added", "removed", "changed", "same", ABSENT)
 
 
-def _status_counts(old: DataFrame, new: DataFrame, keys: Sequence[str], sit: DataFrame | None,
-                   on: Sequence[str] | None) -> DataFrame:
-    """``in_situation`` and how many keys have each status, in one or more rows
-    to be added up.
+def per_situation(old: DataFrame, new: DataFrame, keys: Sequence[str], sit: DataFrame,
+                  on: Sequence[str]) -> DataFrame:
+    """Per value of ``on`` (in the results or the situations): ``in_situation`` and
+    how many keys have each status.
 
     Situations as wide as the keys are part of ``key_compare``'s aggregation.
-    Wider ones are aggregated together with the keys' statuses, once per
-    ``on``: a wide situation that no key meets counts as ``absent``, both
-    versions run once, and a hot document sends one row per task."""
-    keys = list(keys)
-    on = list(on) if on is not None else (list(sit.columns) if sit is not None else keys)
-    count = {s: F.count_if(F.col(STATUS) == s).alias(s) for s in STATUSES}
-    if sit is None or set(on) == set(keys):
-        kc = key_compare(old, new, keys, situations=sit, on=on if sit is not None else None)
-        return kc.agg(*count.values()).withColumn("in_situation", F.lit(True)) if sit is None else (
-            kc.groupBy("in_situation").agg(*count.values()))
+    Wider ones are aggregated together with the keys' statuses: a wide
+    situation that no key meets counts as one ``absent``, both versions run
+    once, and a hot document sends one row per task."""
+    keys, on = list(keys), list(on)
+    if set(on) == set(keys):
+        kc = key_compare(old, new, keys, situations=sit, on=on)
+        return kc.select(*columns(on), "in_situation", *[
+            F.when(F.col(STATUS) == s, 1).otherwise(0).cast("long").alias(s) for s in STATUSES])
     check_keys(sit, on, "situations")
     if missing := [c for c in on if c not in keys]:
         raise SchemaMismatch(f"situation columns {missing} are not among the keys {keys}")
     kc = key_compare(old, new, keys).select(*columns(on), STATUS, F.lit(False).alias("in_situation"))
     wide = sit.select(*columns(on), F.lit(ABSENT).alias(STATUS), F.lit(True).alias("in_situation"))
     met = F.col("added") + F.col("removed") + F.col("changed") + F.col("same")
-    per_on = kc.unionByName(wide).groupBy(*columns(on)).agg(*count.values(), F.max("in_situation").alias("in_situation"))
-    return per_on.withColumn(ABSENT, F.when(met == 0, 1).otherwise(0)).select("in_situation", *STATUSES)
+    per_on = kc.unionByName(wide).groupBy(*columns(on)).agg(
+        *[F.count_if(F.col(STATUS) == s).alias(s) for s in STATUSES], F.max("in_situation").alias("in_situation"))
+    return per_on.withColumn(ABSENT, F.when(met == 0, 1).otherwise(0).cast("long"))
+
+
+def _status_counts(old: DataFrame, new: DataFrame, keys: Sequence[str], sit: DataFrame | None,
+                   on: Sequence[str] | None) -> DataFrame:
+    """``in_situation`` and counts of keys per status, in rows to be added up;
+    without situations every key counts as in one."""
+    if sit is None:
+        return key_compare(old, new, list(keys)).agg(
+            *[F.count_if(F.col(STATUS) == s).alias(s) for s in STATUSES]).withColumn("in_situation", F.lit(True))
+    return per_situation(old, new, keys, sit, on if on is not None else sit.columns)
 
 
 def _totals(counts: DataFrame, parts: dict) -> DataFrame:

@@ -15,10 +15,14 @@ from ..functions.ranking import top_n_per
 from ..functions.table_fn import (one_param, param_set, replay, sql_function_version,
                                   sql_version)
 from ..operators.diff import column_changes, diff_cells, diff_rows
+from ..operators.conditions import explain
+from ..operators.matching import match_rows
 from ..operators.reconcile import reconcile
+from ..operators.smallest import shrink
 from ..operators.situations import situations, split_diff, tag_diff
 from ..operators.stages import diff_stages
 from ..operators.verdict import check_expected, expected_summary, verdict
+from ..operators.width import situation_widths
 from ..session import configure, shared_path
 from ..sources.history import TABLES, history_counts, load_history
 from ..sources.pin import compare_to_pin, pin
@@ -316,6 +320,32 @@ def q_diff_rows_repeats(spark, sf_dir):
     return diff_rows(replay(S.listing(), t2, params), replay(S.listing(F.col("l_quantity") > 1), t2, params))
 
 
+def q_row_matching(spark, sf_dir):
+    """Planted edits of rows without a key, paired again."""
+    t, params = _setup(spark, sf_dir)
+    return match_rows(replay(S.details(False), t, params), replay(S.details(True), t, params))
+
+
+def q_smallest_history(spark, sf_dir):
+    """Per differing document, how few of its lines show the difference."""
+    t, params = _setup(spark, sf_dir)
+    cut = shrink(S.old_version(), S.new_version(), t, params, {"lineitem": "l_orderkey"})
+    kinds = cut.rows["lineitem"].groupBy(F.col("l_orderkey").alias(S.PARAM)).agg(
+        F.count_distinct("l_partkey").alias("products_left"))
+    return cut.summary.join(kinds, S.PARAM)
+
+
+def q_explain_unwanted(spark, sf_dir):
+    unwanted = q_diff_unwanted(spark, sf_dir)
+    return explain(S.line_attributes(_tables(spark, sf_dir), unwanted, "unwanted"), "unwanted", S.ATTRIBUTES)
+
+
+def q_situation_widths(spark, sf_dir):
+    t, params = _setup(spark, sf_dir)
+    a, b = replay_pair(S.old_version(), S.broken_version(), t, params)
+    return situation_widths(a, b, _sit(t), list(S.KEYS))
+
+
 QUERIES: dict[str, Query] = {
     "history_counts": q_history_counts,          # O1
     "param_set": q_param_set,                    # O2
@@ -358,4 +388,8 @@ QUERIES: dict[str, Query] = {
     "procedure_expected": q_procedure_expected,  # O5 + O12
     "diff_rows_nulls": q_diff_rows_nulls,        # O7 with nulls
     "diff_rows_repeats": q_diff_rows_repeats,    # O7 with repeated rows
+    "row_matching": q_row_matching,              # O7, rows without a key paired
+    "smallest_history": q_smallest_history,      # O11, least input that differs
+    "explain_unwanted": q_explain_unwanted,      # O13, conditions behind unwanted rows
+    "situation_widths": q_situation_widths,      # O9, what each width hides
 }

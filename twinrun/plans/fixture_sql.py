@@ -321,7 +321,84 @@ HISTORY_COUNTS = "\nUNION ALL\n".join(
 
 TABLE_FN_ONE = f"SELECT * FROM ({menu('new')}) m WHERE m.doc = 1"
 
+_LINES = "FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey"
+_DETAIL = ("o_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "CAST(l_quantity AS DECIMAL(18,2))")
+_EDITED = ("o_orderkey", "l_partkey", "CASE WHEN l_quantity = 2 THEN l_suppkey + 1000000 ELSE l_suppkey END",
+           "CASE WHEN l_quantity = 2 THEN 'X' ELSE l_returnflag END", "l_linestatus",
+           "CAST(CASE WHEN l_quantity = 1 THEN 101 ELSE l_quantity END AS DECIMAL(18,2))")
+_DETAIL_NAMES = ("doc", "prod", "supp", "flag", "status", "qty")
+
+
+def _matched(match: str, cells: str, old, new, where: str) -> str:
+    null = [f"NULL::{t}" for t in ("BIGINT", "BIGINT", "BIGINT", "VARCHAR", "VARCHAR", "DECIMAL(18,2)")]
+    cols = ", ".join(f"{a} AS {n}_old, {b} AS {n}_new" for a, b, n in zip(old or null, new or null, _DETAIL_NAMES))
+    return (f"SELECT '{match}' AS match, count(*) AS copies, {cells}::INTEGER AS cells_changed, true AS least, {cols} "
+            f"{_LINES} WHERE {where} GROUP BY ALL")
+
+
+# What was planted is known by line: the pairs need no search here.
+ROW_MATCHING = " UNION ALL ".join([
+    _matched("paired", "CASE WHEN l_quantity = 1 THEN 1 ELSE 2 END", _DETAIL, _EDITED, "l_quantity IN (1, 2)"),
+    _matched("removed", "NULL", _DETAIL, None, "l_quantity = 3 AND l_returnflag = 'R'"),
+    _matched("added", "NULL", None, _DETAIL, "l_quantity = 4 AND l_returnflag = 'N'")])
+
+# max and sum differ as soon as two lines of a document list one product
+SMALLEST_HISTORY = f"""
+SELECT o_orderkey AS doc, count(*) AS rows_before, 2::BIGINT AS rows_left, true AS minimal, 1::BIGINT AS products_left
+{_LINES} WHERE o_orderkey IN (SELECT doc FROM ({SITUATIONS}) s) GROUP BY o_orderkey"""
+
+
+def explain_unwanted(share: float = 0.05) -> str:
+    attributes = {
+        "quantity": "CAST(l_quantity AS INTEGER)", "returnflag": "l_returnflag", "linestatus": "l_linestatus",
+        "discount_pct": "CAST(round(l_discount * 100) AS INTEGER)", "tax_pct": "CAST(round(l_tax * 100) AS INTEGER)",
+        "linenumber": "l_linenumber", "ship_year": "year(l_shipdate)", "orderstatus": "o_orderstatus",
+        "orderpriority": "o_orderpriority"}
+    conditions = ", ".join(f"coalesce('{n} = ' || ({e}), '{n} is null')" for n, e in attributes.items())
+    unwanted = _split(False)
+    return f"""
+WITH u AS (SELECT DISTINCT doc, prod FROM ({unwanted}) x),
+l AS MATERIALIZED (SELECT [{conditions}] AS c, u.doc IS NOT NULL AS bad
+                   {_LINES} LEFT JOIN u ON u.doc = l.l_orderkey AND u.prod = l.l_partkey),
+n AS (SELECT count(*) AS n, count(*) FILTER (WHERE bad) AS b FROM l),
+f AS (
+  SELECT c[i] AS condition, 1::BIGINT AS n_attributes, count(*) AS n_rows, count(*) FILTER (WHERE bad) AS n_flagged
+  FROM l, range(1, {len(attributes) + 1}) t(i) GROUP BY ALL
+  UNION ALL
+  SELECT c[i] || ' and ' || c[j], 2, count(*), count(*) FILTER (WHERE bad)
+  FROM l, range(1, {len(attributes) + 1}) t(i), range(1, {len(attributes) + 1}) s(j) WHERE i < j GROUP BY ALL),
+r AS (
+  SELECT f.*, CASE WHEN b > n_flagged AND n.n > n_rows
+                   THEN n_flagged::DOUBLE * (n.n - n_rows)::DOUBLE / ((b - n_flagged)::DOUBLE * n_rows::DOUBLE) END AS risk_ratio,
+         b = n_flagged AS covers_all, n_rows = n.n AS everywhere
+  FROM f, n WHERE n_flagged >= ceil({share}::DOUBLE * b) AND n_flagged > 0)
+SELECT row_number() OVER (ORDER BY everywhere, covers_all DESC, risk_ratio DESC NULLS LAST,
+                          n_flagged::DOUBLE / n_rows::DOUBLE DESC, n_flagged DESC, n_attributes, condition) AS place,
+       condition, n_attributes, n_rows, n_flagged, risk_ratio, covers_all
+FROM r"""
+
+
+def situation_widths() -> str:
+    parts = []
+    for width in (("doc",), ("prod",), ("doc", "prod")):
+        cond = " AND ".join(f"s.{c} = k.{c}" for c in width)
+        parts.append(f"""
+SELECT '{", ".join(width)}' AS width, {len(width)}::BIGINT AS n_columns, count(*) FILTER (WHERE x) AS keys_exempt,
+       count(*) FILTER (WHERE changed AND ins) AS intended, count(*) FILTER (WHERE changed AND x AND NOT ins) AS hidden,
+       count(*) FILTER (WHERE changed AND NOT x) AS regressed
+FROM (SELECT changed, EXISTS (SELECT 1 FROM s WHERE {cond}) AS x,
+             EXISTS (SELECT 1 FROM s WHERE s.doc = k.doc AND s.prod = k.prod) AS ins FROM k) q""")
+    return f"""
+WITH va AS ({menu('old')}), vb AS ({menu('broken')}), s AS ({SITUATIONS}), k AS ({_changed_keys('va', 'vb')}),
+w AS ({" UNION ALL ".join(parts)})
+SELECT *, row_number() OVER (ORDER BY hidden, keys_exempt, n_columns, width) = 1 AS narrowest FROM w"""
+
+
 ORACLE: dict[str, str] = {
+    "row_matching": ROW_MATCHING,
+    "smallest_history": SMALLEST_HISTORY,
+    "explain_unwanted": explain_unwanted(),
+    "situation_widths": situation_widths(),
     "history_counts": HISTORY_COUNTS,
     "param_set": "SELECT DISTINCT o_orderkey AS doc FROM orders",
     "table_fn_one": TABLE_FN_ONE,

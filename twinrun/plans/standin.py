@@ -179,3 +179,43 @@ def listing(cond: Column | None = None):
     def fn(tables: Tables, params: DataFrame) -> DataFrame:
         return _lines(cond)(tables, params, None)
     return fn
+
+
+#: attributes of a line and its order that an unwanted difference may depend on
+ATTRIBUTES = ("quantity", "returnflag", "linestatus", "discount_pct", "tax_pct", "linenumber", "ship_year",
+              "orderstatus", "orderpriority")
+
+
+def line_attributes(tables: Tables, flagged: DataFrame, flag: str) -> DataFrame:
+    """Every line with its attributes; ``flag`` says whether its menu row is
+    among the keys ``flagged``."""
+    o = tables["orders"].select(F.col("o_orderkey").alias(PARAM), F.col("o_orderstatus").alias("orderstatus"),
+                                F.col("o_orderpriority").alias("orderpriority"))
+    percent = lambda c: F.round(F.col(c) * 100).cast("int")
+    lines = tables["lineitem"].select(
+        F.col("l_orderkey").alias(PARAM), F.col("l_partkey").alias("prod"), F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_returnflag").alias("returnflag"), F.col("l_linestatus").alias("linestatus"),
+        percent("l_discount").alias("discount_pct"), percent("l_tax").alias("tax_pct"),
+        F.col("l_linenumber").alias("linenumber"), F.year("l_shipdate").alias("ship_year"))
+    return (lines.join(o, PARAM).join(flagged.select(*KEYS).distinct().withColumn(flag, F.lit(True)), list(KEYS), "left")
+            .select(*ATTRIBUTES, F.coalesce(F.col(flag), F.lit(False)).alias(flag)))
+
+
+def details(edited: bool):
+    """A version without a key: a document's lines with supplier and flags.
+    ``edited`` plants changes: quantity 1 becomes 101; of quantity 2 supplier
+    and flag change; returned lines of quantity 3 are lost; lines of quantity
+    4 with flag N come twice."""
+    def fn(tables: Tables, params: DataFrame) -> DataFrame:
+        p, q = params.select(PARAM), F.col("l_quantity")
+        li = tables["lineitem"]
+        rows = li.join(p, li["l_orderkey"] == p[PARAM])
+        supp, flag, amount = F.col("l_suppkey"), F.col("l_returnflag"), q
+        if edited:
+            times = F.when((q == 3) & (flag == "R"), 0).when((q == 4) & (flag == "N"), 2).otherwise(1)
+            rows = rows.withColumn("__i", F.explode(F.array_repeat(F.lit(1), times)))
+            amount = F.when(q == 1, 101.0).otherwise(q)
+            supp, flag = F.when(q == 2, supp + 1_000_000).otherwise(supp), F.when(q == 2, "X").otherwise(flag)
+        return rows.select(p[PARAM], F.col("l_partkey").alias("prod"), supp.alias("supp"), flag.alias("flag"),
+                           F.col("l_linestatus").alias("status"), amount.cast(QTY).alias("qty"))
+    return fn
