@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from twinrun.llm import exact_dedup as E
 from twinrun.llm import quality as Q
 from twinrun.llm.chat import format_conversations, read_conversations
-from twinrun.llm.common import whole_row_key
+from twinrun.llm.common import row_key, whole_row_key
 from twinrun.llm.line_dedup import RunStore, dedup_lines, line_hashes
 from twinrun.llm.mixing import mix, mixed_rows, source_targets
 from twinrun.llm.ngram_join import near_dedup_rows
@@ -138,6 +138,23 @@ def test_dedup_stages_keep_one_of_twins_whatever_the_order(spark):
         assert len(rows) == 20
 
 
+def test_later_batches_lose_lines_on_arrival(spark):
+    """A line that the runs show often enough goes when its batch arrives, and
+    is not counted again; one that becomes frequent later goes at the end."""
+    docs = [(i, f"common line\nlate line\nown {i}" if i >= 12 else f"common line\nown {i}") for i in range(24)]
+    lines = line_hashes(documents(spark, docs))
+    ids = documents(spark, docs).select("doc_id", *[k.alias(n) for k, n in zip(row_key(F.col("doc_id"), F.col("text")), ("k1", "k2"))])
+    lines = lines.join(ids, ["k1", "k2"])
+    store, arrived = RunStore(spark), []
+    for low, high in ((0, 12), (12, 18), (18, 24)):
+        batch = lines.filter((F.col("doc_id") >= low) & (F.col("doc_id") < high) & F.col("counted")).drop("doc_id")
+        arrived.append((batch.count(), store.arrive(batch, 10).count()))
+    assert arrived == [(24, 24), (18, 12), (18, 12)]  # batches 2 and 3 lose the common line on arrival
+    assert store.runs().agg(F.max("n_docs")).first()[0] == 12
+    out = dedup_lines(documents(spark, docs), batches=4)
+    assert got(out, "doc_id", "n_dropped") == want((i, 2 if i >= 12 else 1) for i, _ in docs)
+
+
 # ------------------------------------------------------------ exact dedup
 
 def test_exact_dedup_edges(spark):

@@ -4,23 +4,30 @@ A store holds runs: tables of (line hash, number of documents), sorted by
 hash.  A batch of documents adds one run at level 0; when a level has
 ``fanout`` runs they are merged into one run of the next level, so a store
 of b batches holds O(log b) runs and each hash is rewritten O(log b) times.
-Lines are merge-anti-joined with the runs: a line survives if the runs do
-not show its hash in ``min_docs`` documents.
+Each batch is merge-anti-joined with the runs when it arrives: lines whose
+hash the runs already show in ``min_docs`` documents go at once and are not
+counted any more; the others are added as the batch's own run.  Since a line
+may become frequent only later, those that had arrived before are
+merge-anti-joined once more after the last batch.
 
 Line texts are never shuffled: the runs and the join see a 128-bit hash of
 the key, the document's row key and the line's number.
 
 Cases: a document is a distinct (id, text) row: repeated rows count once
 and all get the same result; null or empty text is one empty line; lines
-with an empty key always stay; an empty table gives an empty result; other
-columns are not read.
+with an empty key always stay; of a very long text only hashes and line
+numbers are shuffled, and its numbers meet in one row; an empty table gives
+an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_path
 from .common import SPACE_CHARS, ascii_lower, row_key, saved
 
 MIN_DOCS = 10
@@ -49,6 +56,13 @@ class RunStore:
         one = lines.select("h1", "h2", "k1", "k2").distinct()
         self._push(0, self._run(one.select("h1", "h2", F.lit(1).cast("long").alias("n_docs"))))
 
+    def arrive(self, lines: DataFrame, min_docs: int) -> DataFrame:
+        """A batch meets the runs: the lines that they do not show in ``min_docs``
+        documents are added as a run, and returned as a saved table."""
+        fresh = saved(self.anti_join(lines, min_docs))
+        self.add(fresh)
+        return fresh
+
     def _push(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
@@ -98,18 +112,26 @@ def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         F.xxhash64(F.lit("a"), "key").alias("h1"), F.xxhash64(F.lit("b"), "key").alias("h2"))
 
 
+def in_batches(lines: DataFrame, batches: int) -> DataFrame:
+    """The lines as a table with a folder for each batch, so that a batch reads
+    its own lines only; a document lies in one batch as a whole."""
+    spark, path = lines.sparkSession, shared_path(lines.sparkSession, "lines")
+    dealt = lines.withColumn("batch", F.pmod(F.col("k1"), F.lit(batches)).cast("int"))
+    dealt.write.partitionBy("batch").parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_docs: int = MIN_DOCS, min_chars: int = MIN_KEY_CHARS,
                 batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """Lines whose key occurs in at least ``min_docs`` documents leave every
     document.  One row per input row: id, ``text`` (what stays), ``n_lines``,
     ``n_dropped``."""
-    lines = saved(line_hashes(docs, id_col, text_col, min_chars))
-    batch = F.pmod(F.col("k1"), F.lit(batches))
+    lines = in_batches(line_hashes(docs, id_col, text_col, min_chars), batches)
     store = RunStore(docs.sparkSession, fanout)
-    for b in range(batches):
-        store.add(lines.filter(F.col("counted") & (batch == b)))
-    stays = (store.anti_join(lines.filter("counted"), min_docs).select("k1", "k2", "line_no")
+    fresh = [store.arrive(lines.filter((F.col("batch") == b) & F.col("counted")).drop("batch"), min_docs)
+             for b in range(batches)]
+    stays = (store.anti_join(reduce(DataFrame.unionByName, fresh), min_docs).select("k1", "k2", "line_no")
              .unionByName(lines.filter("not counted").select("k1", "k2", "line_no"))
              .groupBy("k1", "k2").agg(F.sort_array(F.collect_set("line_no")).alias("stays")))
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
