@@ -10,9 +10,11 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from twinrun import explain, match_rows, shrink, situation_widths
+from twinrun import (DependentRule, diff_by_digest, diff_rows, explain, match_rows, materialize, replay_pair, shrink,
+                     situation_widths, situations)
 from twinrun.functions.schema import SchemaMismatch
 from twinrun.operators.matching import least_cost_flow
+from twinrun.plans import standin as S
 
 # ------------------------------------------------------- rows without a key
 
@@ -265,3 +267,65 @@ def test_widths_of_situations_wider_than_the_keys(spark):
     assert [tuple(r) for r in got] == [("a", 1, 2, 2, 0, 1, True)]
     none = situation_widths(old, new, spark.createDataFrame([], "a long"), ["a", "b"]).collect()
     assert [tuple(r) for r in none] == [("a", 1, 0, 0, 0, 3, True)]
+
+
+# ------------------------------------------------------------------ digests
+
+def shuffled_bytes(spark, run):
+    """Bytes of shuffle written by the stages of ``run``."""
+    def total():
+        store = spark.sparkContext._jsc.sc().statusStore()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+    before = total()
+    run()
+    return total() - before
+
+
+def test_digests_give_the_rows_of_the_diff(spark):
+    rng = random.Random(9)
+    cell = lambda: rng.choice([None, 0, 1, 2])
+    rows = [(rng.randint(1, 40), cell(), cell(), {"k": cell()}) for _ in range(200)]
+    old = rows + rows[:30]
+    new = rows[3:] + rows[:20] + [(None, 1, None, None), (None, None, 1, None)]
+    schema = "p long, x int, y int, m map<string,int>"
+    a, b = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    flat = lambda df: sorted((repr(tuple(r)) for r in df.collect()))
+    for fanouts in ((2,), (4, 3, 2)):
+        assert flat(diff_by_digest(a, b, ["p"], fanouts)) == flat(diff_rows(a, b)) != []
+    assert diff_by_digest(a, a, ["p"]).isEmpty() and diff_by_digest(a.limit(0), a.limit(0), ["p"]).isEmpty()
+    assert diff_by_digest(a.limit(0), b, ["p"], (4,)).agg(F.sum("net")).first()[0] == len(new)
+
+
+def test_digests_shuffle_a_tenth_of_a_wide_result(spark):
+    wide = spark.range(20_000).select((F.col("id") % 4000).alias("p"), *[F.xxhash64("id", F.lit(i)).alias(f"c{i}") for i in range(99)])
+    a = materialize(wide)
+    b = materialize(wide.withColumn("c7", F.when(F.col("p") < 40, F.col("c7") + 1).otherwise(F.col("c7"))))  # 1 %
+    found = []
+    whole = shuffled_bytes(spark, lambda: found.append(diff_rows(a, b).count()))
+    less = shuffled_bytes(spark, lambda: found.append(diff_by_digest(a, b, ["p"]).count()))
+    assert found == [400, 400] and less < whole / 10
+
+
+# -------------------------------------------------------------------- rules
+
+def test_rules_over_results_are_refused(spark, hist, params):
+    rule = lambda t: t["lineitem"].filter("l_quantity = 1").select(F.col("l_orderkey").alias("doc"))
+    assert not situations(hist, rule).isEmpty()
+    assert not situations(hist, "SELECT l_orderkey AS doc FROM {lineitem} WHERE l_orderkey IN (SELECT o_orderkey FROM {orders})").isEmpty()
+    old, new = replay_pair(S.old_version(), S.broken_version(), hist, params)
+    diff = diff_rows(old, new)
+    saved = materialize(diff)
+    by_hand = spark.createDataFrame([(1,), (2,)], "doc long")
+    for bad in (diff, saved, old, materialize(new), diff.cache(), saved.filter("net > 0"), by_hand,
+                hist["orders"].select(F.col("o_orderkey").alias("doc")).join(diff.select("doc"), "doc", "left_semi")):
+        with pytest.raises(DependentRule):
+            situations(hist, lambda t, bad=bad: bad.select("doc"))
+    diff.unpersist()
+    saved.createOrReplaceTempView("twinrun_saved_diff")
+    with pytest.raises(DependentRule):
+        situations(hist, "SELECT l_orderkey AS doc FROM {lineitem} WHERE l_orderkey IN (SELECT doc FROM twinrun_saved_diff)")
+    assert situations(hist, lambda t: by_hand, also=[by_hand]).count() == 2
+    derived = {**hist, "lineitem": materialize(hist["lineitem"].filter("l_quantity < 5"))}
+    assert not situations(derived, rule).isEmpty()

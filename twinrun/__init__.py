@@ -11,11 +11,11 @@ Typical use::
     cmp.report(expected)   # intended / unfixed / regressed / matched
 """
 
-from .functions import (LossyFunction, SchemaMismatch, Stage, StagedVersion, call_one,
-                        check_same_schema, fresh_join, param_set, replay, sql_stage,
+from .functions import (DependentRule, LossyFunction, SchemaMismatch, Stage, StagedVersion, call_one,
+                        check_independent, check_same_schema, fresh_join, param_set, replay, sql_stage,
                         sql_version, top_n_per)
-from .operators import (Shrunk, check_expected, column_changes, diff_cells, diff_rows, diff_stages,
-                        differing, expected_summary, explain, in_replay, match_rows, reconcile,
+from .operators import (Shrunk, check_expected, column_changes, diff_by_digest, diff_cells, diff_rows,
+                        diff_stages, differing, expected_summary, explain, in_replay, match_rows, reconcile,
                         repeated, repeated_keys, shrink, situation_widths, situations, split_diff,
                         tag_diff, uncovered_keys, verdict)
 from .plans import Comparison, repeatability, replay_pair, run_procedure
@@ -29,7 +29,7 @@ __all__ = [
     "check_expected", "column_changes", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
     "in_replay", "reconcile", "repeated", "repeated_keys", "situations", "split_diff", "tag_diff",
     "uncovered_keys", "verdict",
-    "Shrunk", "differing", "explain", "match_rows", "shrink", "situation_widths",
+    "DependentRule", "Shrunk", "check_independent", "diff_by_digest", "differing", "explain", "match_rows", "shrink", "situation_widths",
     "Comparison", "repeatability", "replay_pair", "run_procedure",
     "configure", "ensure_checkpoint_dir", "get_session", "shared_path",
     "compare_to_pin", "discard", "history_counts", "load_history", "materialize", "pin",

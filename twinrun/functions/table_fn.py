@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import marked_result, plan_nodes
 from .schema import SchemaMismatch, col, columns
 
 
@@ -67,7 +68,7 @@ def replay(fn: Version, tables: Tables, params: DataFrame) -> DataFrame:
     if missing:
         raise SchemaMismatch(
             f"a version must return its parameter columns; missing {missing}")
-    return out
+    return marked_result(out)
 
 
 def one_param(source: DataFrame, **values) -> DataFrame:
@@ -147,7 +148,8 @@ def _refuse_limit(spark, function_name: str, params: DataFrame) -> None:
     names = ", ".join(f"c{i}" for i in range(len(params.columns)))
     args = ", ".join(f"p.c{i}" for i in range(len(params.columns)))
     probe = spark.sql(f"SELECT f.* FROM VALUES ({nulls}) AS p({names}), LATERAL {function_name}({args}) f")
-    found = sorted(LIMITS & set(_node_classes(probe._jdf.queryExecution().analyzed())))
+    # the lateral call itself is a subquery of the plan
+    found = sorted(LIMITS & {node.getClass().getSimpleName() for node in plan_nodes(probe)})
     if found:
         raise LossyFunction(
             f"{function_name} holds a LIMIT or OFFSET ({', '.join(found)}); called laterally it would limit the "
@@ -158,17 +160,6 @@ def _refuse_limit(spark, function_name: str, params: DataFrame) -> None:
 LIMITS = {"GlobalLimit", "LocalLimit", "Tail", "Offset"}
 
 
-def _node_classes(plan):
-    """Class names of a logical plan's nodes, those of subqueries in its
-    expressions (the lateral call itself is one) included."""
-    todo = [plan]
-    while todo:
-        node = todo.pop()
-        yield node.getClass().getSimpleName()
-        for below in (node.children(), node.subqueries()):
-            todo += [below.apply(i) for i in range(below.size())]
-
-
 @dataclass(frozen=True)
 class Stage:
     """One named step: ``fn(tables, params, previous) -> DataFrame``.

@@ -1,12 +1,13 @@
 """Comparison operators: diffs, situations, verdict, reconciliation, stages."""
 
+from .conditions import explain
 from .diff import (ABSENT, NET, STATUS, column_changes, diff_cells, diff_rows, key_compare,
                    repeated_keys)
-from .conditions import explain
+from .digest import diff_by_digest
 from .matching import match_rows
 from .reconcile import reconcile
-from .smallest import Shrunk, differing, shrink
 from .situations import WANTED, repeated, situations, split_diff, tag_diff
+from .smallest import Shrunk, differing, shrink
 from .stages import FIRST_STAGE, STAGE_NAME, diff_stages
 from .verdict import (CELLS, check_expected, expected_summary, in_replay, uncovered_keys,
                       verdict)
@@ -16,6 +17,6 @@ __all__ = [
     "ABSENT", "NET", "STATUS", "WANTED", "CELLS", "FIRST_STAGE", "STAGE_NAME",
     "column_changes", "diff_cells", "diff_rows", "key_compare", "repeated_keys",
     "reconcile", "repeated", "situations", "split_diff", "tag_diff",
-    "Shrunk", "differing", "explain", "match_rows", "shrink", "situation_widths",
+    "Shrunk", "diff_by_digest", "differing", "explain", "match_rows", "shrink", "situation_widths",
     "diff_stages", "check_expected", "expected_summary", "in_replay", "uncovered_keys", "verdict",
 ]

@@ -14,23 +14,28 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import check_independent
 from ..functions.schema import check_keys, col, columns
 
 WANTED = "wanted"
 
 
 def situations(tables: Mapping[str, DataFrame],
-               rule: Callable[[Mapping[str, DataFrame]], DataFrame] | str) -> DataFrame:
+               rule: Callable[[Mapping[str, DataFrame]], DataFrame] | str,
+               also: Sequence[DataFrame] = ()) -> DataFrame:
     """Distinct keys of the situations, from a rule over the history.
 
     ``rule`` is a callable ``rule(tables) -> DataFrame`` or SQL text with
-    ``{<table>}`` placeholders.
+    ``{<table>}`` placeholders.  A rule that reads a version's result or a diff,
+    saved or not, is refused (``DependentRule``), as is any other source than
+    ``tables`` and those named in ``also`` (a list of keys made by hand, say).
     """
     if isinstance(rule, str):
         spark = next(iter(tables.values())).sparkSession
         df = spark.sql(rule, **dict(tables))
     else:
         df = rule(tables)
+    check_independent(df, [*tables.values(), *also])
     return df.distinct()
 
 

@@ -11,11 +11,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lineage import DependentRule
 from ..functions.ranking import top_n_per
 from ..functions.table_fn import (one_param, param_set, replay, sql_function_version,
                                   sql_version)
 from ..operators.diff import column_changes, diff_cells, diff_rows
 from ..operators.conditions import explain
+from ..operators.digest import diff_by_digest
 from ..operators.matching import match_rows
 from ..operators.reconcile import reconcile
 from ..operators.smallest import shrink
@@ -25,7 +27,7 @@ from ..operators.verdict import check_expected, expected_summary, verdict
 from ..operators.width import situation_widths
 from ..session import configure, shared_path
 from ..sources.history import TABLES, history_counts, load_history
-from ..sources.pin import compare_to_pin, pin
+from ..sources.pin import compare_to_pin, materialize, pin
 from . import standin as S
 from .replay import Comparison, repeatability, replay_pair, run_procedure
 
@@ -346,6 +348,39 @@ def q_situation_widths(spark, sf_dir):
     return situation_widths(a, b, _sit(t), list(S.KEYS))
 
 
+def q_diff_by_digest(spark, sf_dir):
+    """A wide result, saved, of which few rows differ."""
+    t, params = _setup(spark, sf_dir)
+    a, b = (materialize(replay(S.wide_listing(e), t, params)) for e in (False, True))
+    total = reduce(lambda x, y: x + y, [F.col(f"c{i}") for i in range(S.WIDE)])
+    return diff_by_digest(a, b, [S.PARAM]).select("doc", "prod", "line", "qty", total.alias("total"), "net")
+
+
+def q_rule_independence(spark, sf_dir):
+    """Which rules may say where a difference is wanted: keys of those that
+    read the history alone; the others are refused."""
+    t, params = _setup(spark, sf_dir)
+    a, b = replay_pair(S.old_version(), S.broken_version(), t, params)
+    diff = diff_rows(a, b)
+    saved = materialize(diff)
+    rules = {
+        "repeated products": S.situation_rule,
+        "differing rows": lambda t: diff.select(*S.KEYS),
+        "saved differing rows": lambda t: saved.select(*S.KEYS),
+        "lines of differing documents": lambda t: t["lineitem"].select(
+            F.col("l_orderkey").alias("doc"), F.col("l_partkey").alias("prod")).join(saved.select("doc"), "doc", "left_semi"),
+        "rows of the new version": lambda t: b.select(*S.KEYS),
+    }
+    out = []
+    for name, rule in rules.items():
+        try:
+            keys = situations(t, rule).agg(F.count("*").alias("keys"))
+        except DependentRule:
+            keys = spark.range(1).select(F.lit(None).cast("long").alias("keys"))
+        out.append(keys.select(F.lit(name).alias("rule"), F.col("keys").isNotNull().alias("accepted"), "keys"))
+    return reduce(DataFrame.unionByName, out)
+
+
 QUERIES: dict[str, Query] = {
     "history_counts": q_history_counts,          # O1
     "param_set": q_param_set,                    # O2
@@ -392,4 +427,6 @@ QUERIES: dict[str, Query] = {
     "smallest_history": q_smallest_history,      # O11, least input that differs
     "explain_unwanted": q_explain_unwanted,      # O13, conditions behind unwanted rows
     "situation_widths": q_situation_widths,      # O9, what each width hides
+    "rule_independence": q_rule_independence,    # O8, rules over results are refused
+    "diff_by_digest": q_diff_by_digest,          # O7 on wide results, by a tree of digests
 }

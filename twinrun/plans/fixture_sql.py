@@ -394,7 +394,26 @@ w AS ({" UNION ALL ".join(parts)})
 SELECT *, row_number() OVER (ORDER BY hidden, keys_exempt, n_columns, width) = 1 AS narrowest FROM w"""
 
 
+def diff_by_digest(wide: int = 96) -> str:
+    total = " + ".join(f"(l_partkey * {i + 1} + l_suppkey) % 997" for i in range(wide))
+    side = lambda q, n: (f"SELECT o_orderkey AS doc, l_partkey AS prod, l_linenumber AS line, CAST({q} AS DECIMAL(18,2)) AS qty, "
+                         f"{total} AS total, {n} AS net {_LINES}")
+    return f"""
+SELECT doc, prod, line, qty, total, CAST(sum(net) AS BIGINT) AS net
+FROM ({side("l_quantity", -1)} UNION ALL {side("CASE WHEN l_quantity = 1 THEN 101 ELSE l_quantity END", 1)}) u
+GROUP BY ALL HAVING sum(net) <> 0"""
+
+
+RULE_INDEPENDENCE = f"""
+SELECT 'repeated products' AS rule, true AS accepted, count(*) AS keys FROM ({SITUATIONS}) s
+UNION ALL
+SELECT name, false, NULL FROM (VALUES ('differing rows'), ('saved differing rows'), ('lines of differing documents'),
+                                      ('rows of the new version')) v(name)"""
+
+
 ORACLE: dict[str, str] = {
+    "rule_independence": RULE_INDEPENDENCE,
+    "diff_by_digest": diff_by_digest(),
     "row_matching": ROW_MATCHING,
     "smallest_history": SMALLEST_HISTORY,
     "explain_unwanted": explain_unwanted(),

@@ -219,3 +219,20 @@ def details(edited: bool):
         return rows.select(p[PARAM], F.col("l_partkey").alias("prod"), supp.alias("supp"), flag.alias("flag"),
                            F.col("l_linestatus").alias("status"), amount.cast(QTY).alias("qty"))
     return fn
+
+
+WIDE = 96  # derived columns of a wide result
+
+
+def wide_listing(edited: bool):
+    """A version of 100 columns: a document's lines with values derived from
+    them.  ``edited`` changes the quantity of lines of quantity 1."""
+    def fn(tables: Tables, params: DataFrame) -> DataFrame:
+        p, q = params.select(PARAM), F.col("l_quantity")
+        li = tables["lineitem"]
+        rows = li.join(p, li["l_orderkey"] == p[PARAM])
+        derived = [((F.col("l_partkey") * (i + 1) + F.col("l_suppkey")) % 997).alias(f"c{i}") for i in range(WIDE)]
+        amount = F.when(q == 1, 101.0).otherwise(q) if edited else q
+        return rows.select(p[PARAM], F.col("l_partkey").alias("prod"), F.col("l_linenumber").alias("line"),
+                           amount.cast(QTY).alias("qty"), *derived)
+    return fn
