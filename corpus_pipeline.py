@@ -18,27 +18,48 @@ from twinrun.llm.tokenizer import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules: every such row, with its own columns.
+
+    Null, empty and short texts fail; repeated rows share their verdict and stay
+    as often as they are there; an empty table stays empty; without labels
+    only the base rules reject; very long texts are judged whole."""
     return quality_kept(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: that with the most code
+    points, then the smallest id.
+
+    Null counts as empty; a null id loses ties; of repeated rows one stays, by
+    content and not by order; an empty table stays empty; of very long texts
+    only digests are compared."""
     return dedup_rows(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: the smallest id.
+
+    Rows without words are copies of nothing and all stay; a null id loses ties;
+    of repeated rows one stays; an empty table stays empty; very long texts
+    are compared whole, as sets of hashes."""
     return near_dedup_rows(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: every document as often as it is taken."""
+    """The mix: every document as often as it is taken, with its own columns.
+
+    Null and empty texts have no words and are not taken; a null source is a
+    source; repeated rows are taken one by one; ties follow a hash of the id;
+    an empty table stays empty; very long texts are only counted."""
     return mixed_rows(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the mix's documents, by power of two."""
+    """The pieces of the mix's documents, by power of two.
+
+    Null and empty texts are the end id alone; repeats and rows of a null id
+    are documents of their own; an empty table has no pieces; a very long text
+    is cut into as many pieces as it needs."""
     return pack(docs, tokenizer_path(), digest=True)
 
 

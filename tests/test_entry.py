@@ -6,11 +6,17 @@ import shutil
 import subprocess
 import sys
 
+import pytest
+
 from conftest import ROOT
 from twinrun.plans.fixture_queries import QUERIES
 
 
-def test_entry_without_the_add_on(tmp_path):
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_entry_without_the_add_on(tmp_path, pipeline):
+    """Also with the pipeline's file left behind, which cannot be imported then."""
+    if pipeline and os.path.exists(os.path.join(ROOT, "corpus_pipeline.py")):
+        shutil.copy(os.path.join(ROOT, "corpus_pipeline.py"), tmp_path)
     shutil.copy(os.path.join(ROOT, "__spark_entry__.py"), tmp_path)
     shutil.copytree(os.path.join(ROOT, "twinrun"), tmp_path / "twinrun",
                     ignore=shutil.ignore_patterns("llm", "__pycache__"))

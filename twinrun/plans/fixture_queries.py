@@ -352,7 +352,7 @@ def q_diff_by_digest(spark, sf_dir):
     """A wide result, saved, of which few rows differ."""
     t, params = _setup(spark, sf_dir)
     a, b = (materialize(replay(S.wide_listing(e), t, params)) for e in (False, True))
-    total = reduce(lambda x, y: x + y, [F.col(f"c{i}") for i in range(S.WIDE)])
+    total = F.expr(" + ".join(f"c{i}" for i in range(S.WIDE)))
     return diff_by_digest(a, b, [S.PARAM]).select("doc", "prod", "line", "qty", total.alias("total"), "net")
 
 
