@@ -12,7 +12,8 @@ breaks are written as ``\\\\`` and ``\\n``; both are undone on reading.  The
 loss mask is run-length coded: lengths and flags that cover the formatted
 text in order.  Expressions of Spark only, each linear in the conversation.
 
-Cases: null text is empty, a null role is empty; turns sort by number (null
+Cases: very long texts are formatted whole, and a conversation is one row,
+however long; null text is empty, a null role is empty; turns sort by number (null
 first), then role, then text, so ties and repeated rows have a fixed order
 and repeats stay; rows with a null conversation id form one conversation;
 an empty table gives an empty result; other columns are not read.

@@ -8,7 +8,7 @@ where they are read and never shuffled.  All other digests go through an
 ordinary shuffle: none of them can hold many rows.  The summaries only
 decide which way a digest takes, never the result.
 
-Cases: null text counts as empty; rows with a null id lose ties to rows
+Cases: null text counts as empty; of very long texts only the digest goes on; rows with a null id lose ties to rows
 with one; of repeated rows (same id, same text) exactly one is kept; an
 empty table gives an empty result; other columns are not read.
 """

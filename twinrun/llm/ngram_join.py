@@ -40,7 +40,8 @@ shingles are nearer than 1 to each other, so regions start from shared ones:
 Words are what ASCII white space separates, A-Z lower-cased.  Two documents
 link when 100 * intersection >= 75 * union.
 
-Cases: null, empty or blank text has an empty set and links with nothing,
+Cases: a very long text is a set of hashes, read whole and compared whole;
+null, empty or blank text has an empty set and links with nothing,
 not even with other such rows; fewer words than a shingle make one shingle;
 repeated rows share class and result; a component's id is the smallest
 non-null id in it, null if all are null; an empty table gives an empty

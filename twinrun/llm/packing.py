@@ -10,7 +10,8 @@ gaps; a batch of a bucket has sequences of one length.
 Tokens are written once.  The numbers need only counts: each task's pieces
 per length (12 per task, broadcast) and each document's rank in its task.
 
-Cases: null or empty text has only the end id; repeated rows are packed one
+Cases: null or empty text has only the end id; a very long text is a step of
+its own and is cut into as many pieces as it needs; repeated rows are packed one
 by one; an empty table gives an empty result; other columns are not read.
 """
 

@@ -6,7 +6,8 @@ column.  Ids are dictionary-coded, the numbers beside them delta-coded
 (data pages of version 2); row groups and pages are small enough that the
 page index skips to a few documents, and metadata is read without the ids.
 
-Cases: null or empty text has only the end id; rows of equal id come in the
+Cases: null or empty text has only the end id; a very long text is a step of
+its own and one list; rows of equal id come in the
 order of their text's hash, repeated rows one after the other; a null id
 comes first; an empty table gives an empty result; other columns are not read.
 """

@@ -9,7 +9,7 @@ is not its address stops the query.
 Of records with equal payloads the one with the smallest page id is
 ``response``, the others are ``revisit`` records that refer to it.
 
-Cases: a null payload is empty; a null page id comes last and is written as
+Cases: a very long payload is one row, written whole; a null payload is empty; a null page id comes last and is written as
 an empty field; of repeated rows (same id, url and payload) one is the
 response and the others revisit it; an empty table gives an empty archive;
 other columns are not read.
