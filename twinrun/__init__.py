@@ -11,17 +11,17 @@ Typical use::
     cmp.report(expected)   # intended / unfixed / regressed / matched
 """
 
-from .functions import (DependentRule, LossyFunction, SchemaMismatch, Stage, StagedVersion, call_one,
+from .functions import (DependentRule, LossyFunction, SchemaMismatch, Stage, StagedVersion, asof_join, call_one,
                         check_independent, check_same_schema, fresh_join, param_set, replay, sql_stage,
                         sql_version, top_n_per)
-from .operators import (Shrunk, check_expected, column_changes, diff_by_digest, diff_cells, diff_rows,
+from .operators import (Origins, Shrunk, bounded, check_expected, column_changes, diff_by_digest, diff_cells, diff_rows,
                         diff_stages, differing, expected_summary, explain, in_replay, match_rows, reconcile,
-                        repeated, repeated_keys, shrink, situation_widths, situations, split_diff,
+                        repeated, repeated_keys, shrink, situation_widths, situations, source_rows, split_diff,
                         tag_diff, uncovered_keys, verdict)
 from .plans import Comparison, repeatability, replay_pair, run_procedure
 from .session import configure, ensure_checkpoint_dir, get_session, shared_path
-from .sources import (compare_to_pin, discard, history_counts, load_history,
-                      materialize, pin, read_pin, snapshot_history)
+from .sources import (compare_to_bucketed_pin, compare_to_pin, discard, history_counts, load_history,
+                      materialize, pin, pin_bucketed, read_pin, snapshot_history)
 
 __all__ = [
     "LossyFunction", "SchemaMismatch", "Stage", "StagedVersion", "call_one", "check_same_schema",
@@ -30,6 +30,7 @@ __all__ = [
     "in_replay", "reconcile", "repeated", "repeated_keys", "situations", "split_diff", "tag_diff",
     "uncovered_keys", "verdict",
     "DependentRule", "Shrunk", "check_independent", "diff_by_digest", "differing", "explain", "match_rows", "shrink", "situation_widths",
+    "Origins", "asof_join", "bounded", "compare_to_bucketed_pin", "pin_bucketed", "source_rows",
     "Comparison", "repeatability", "replay_pair", "run_procedure",
     "configure", "ensure_checkpoint_dir", "get_session", "shared_path",
     "compare_to_pin", "discard", "history_counts", "load_history", "materialize", "pin",

@@ -1,5 +1,6 @@
 """Contracts and column helpers: schema checks, table-function versions."""
 
+from .asof import asof_join
 from .joins import fresh_join
 from .lineage import DependentRule, check_independent
 from .ranking import top_n_per
@@ -13,6 +14,6 @@ __all__ = [
     "SchemaMismatch", "check_columns", "check_keys", "check_same_schema",
     "comparable", "comparable_columns",
     "Stage", "StagedVersion", "Version", "as_version", "call_one",
-    "param_set", "replay", "sql_stage", "sql_version", "top_n_per", "fresh_join",
+    "param_set", "replay", "sql_stage", "sql_version", "top_n_per", "fresh_join", "asof_join",
     "LossyFunction",
 ]

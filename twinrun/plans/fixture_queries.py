@@ -11,14 +11,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.asof import asof_join
 from ..functions.lineage import DependentRule
 from ..functions.ranking import top_n_per
 from ..functions.table_fn import (one_param, param_set, replay, sql_function_version,
                                   sql_version)
+from ..operators.bounded import bounded
 from ..operators.diff import column_changes, diff_cells, diff_rows
 from ..operators.conditions import explain
 from ..operators.digest import diff_by_digest
 from ..operators.matching import match_rows
+from ..operators.origins import source_rows
 from ..operators.reconcile import reconcile
 from ..operators.smallest import shrink
 from ..operators.situations import situations, split_diff, tag_diff
@@ -27,7 +30,7 @@ from ..operators.verdict import check_expected, expected_summary, verdict
 from ..operators.width import situation_widths
 from ..session import configure, shared_path
 from ..sources.history import TABLES, history_counts, load_history
-from ..sources.pin import compare_to_pin, materialize, pin
+from ..sources.pin import compare_to_bucketed_pin, compare_to_pin, materialize, pin, pin_bucketed
 from . import standin as S
 from .replay import Comparison, repeatability, replay_pair, run_procedure
 
@@ -211,6 +214,12 @@ def q_pin_compare(spark, sf_dir):
     return compare_to_pin(replay(S.new_version(), t, params), path)
 
 
+def q_pin_bucketed(spark, sf_dir):
+    t, params = _setup(spark, sf_dir)
+    path = pin_bucketed(replay(S.old_version(), t, params), shared_path(spark, "pins", "bucketed"), buckets=16, by=S.KEYS)
+    return compare_to_bucketed_pin(replay(S.broken_version(), t, params), path)
+
+
 def q_expected_check(spark, sf_dir):
     t, params = _setup(spark, sf_dir)
     act = replay(S.broken_version(), t, params)
@@ -381,6 +390,34 @@ def q_rule_independence(spark, sf_dir):
     return reduce(DataFrame.unionByName, out)
 
 
+def q_source_rows(spark, sf_dir):
+    """The lines behind every differing menu row, and which version used them."""
+    t, params = _setup(spark, sf_dir)
+    got = source_rows(S.old_version(), S.broken_version(), t, params, list(S.KEYS), "lineitem", "l_orderkey")
+    return got.rows.select(*S.KEYS, F.col("row.l_linenumber").alias("line"), F.col("row.l_suppkey").alias("supp"),
+                           F.col("row.l_quantity").cast(S.QTY).alias("qty"), "in_old", "in_new", "exact")
+
+
+def q_bounded_history(spark, sf_dir):
+    """How much of history must be replayed to bound the regressions, by priority."""
+    t, params = _setup(spark, sf_dir)
+    strata = t["orders"].select(F.col("o_orderkey").alias(S.PARAM), F.col("o_orderpriority").alias("priority"))
+    parts = [bounded(S.old_version(), S.VERSIONS[v](), t, params, _sit(t), S.KEYS, strata, S.MOST, S.ERROR)
+             .withColumn("version", F.lit(v)) for v in ("new", "broken")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_valid_version(spark, sf_dir):
+    """Per line, the customer's order that was the latest when it was shipped."""
+    t = _tables(spark, sf_dir, ("orders", "lineitem"))
+    o = t["orders"].select("o_orderkey", F.col("o_custkey").alias("cust"), F.col("o_orderdate").alias("valid_from"))
+    lines = t["lineitem"].join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias(S.PARAM), F.col("l_linenumber").alias("line"), "cust", F.col("l_shipdate").alias("shipped"))
+    got = asof_join(lines, o.withColumnRenamed("o_orderkey", "valid_doc"), ["cust"], "shipped", "valid_from")
+    return got.select(S.PARAM, "line", "cust", F.col("shipped").cast("date").alias("shipped"), "valid_doc",
+                      F.col("valid_from").cast("date").alias("valid_from"))
+
+
 QUERIES: dict[str, Query] = {
     "history_counts": q_history_counts,          # O1
     "param_set": q_param_set,                    # O2
@@ -406,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "verdict_broken_wide": _verdict("old", "broken", wide=True),  # O10 at document width
     "verdict_sql_fix": q_verdict_sql_fix,        # O10, DataFrame old against SQL new
     "pin_compare": q_pin_compare,                # O11
+    "pin_bucketed": q_pin_bucketed,              # O11, a pin read without an exchange
     "expected_check": q_expected_check,          # O12
     "expected_summary": q_expected_summary,      # O12
     "diff_cells": q_diff_cells,                  # O13
@@ -429,4 +467,7 @@ QUERIES: dict[str, Query] = {
     "situation_widths": q_situation_widths,      # O9, what each width hides
     "rule_independence": q_rule_independence,    # O8, rules over results are refused
     "diff_by_digest": q_diff_by_digest,          # O7 on wide results, by a tree of digests
+    "source_rows": q_source_rows,                # O7 + O13, the history rows behind a differing row
+    "bounded_history": q_bounded_history,        # O10 on a part of history, with a bound
+    "valid_version": q_valid_version,            # O4, versions found by time (inferred need)
 }

@@ -9,8 +9,10 @@ precision 38).
 
 from __future__ import annotations
 
+import math
+
 from ..sources.history import TABLES
-from .standin import SHIPPED_BEFORE
+from .standin import ERROR, MOST, SHIPPED_BEFORE
 
 # Stand-in versions: (aggregate, extra line filter).
 VERSIONS = {
@@ -411,7 +413,58 @@ SELECT name, false, NULL FROM (VALUES ('differing rows'), ('saved differing rows
                                       ('rows of the new version')) v(name)"""
 
 
+def source_rows() -> str:
+    return f"""
+WITH va AS ({menu('old')}), vb AS ({menu('broken')}), k AS ({_changed_keys('va', 'vb')})
+SELECT k.doc, k.prod, l_linenumber AS line, l_suppkey AS supp, CAST(l_quantity AS DECIMAL(18,2)) AS qty,
+       true AS in_old, l_quantity > 1 AS in_new, true AS exact
+FROM k JOIN lineitem l ON l.l_orderkey = k.doc AND l.l_partkey = k.prod WHERE changed"""
+
+
+def _bounded(version: str, strata: int = 5) -> str:
+    """All looks of every stratum at once, then the first that decides."""
+    enough = math.ceil(math.log(ERROR / (2 * strata)) / math.log(1 - MOST))
+    term = ("exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) "
+            f"+ i * ln({MOST}::DOUBLE) + (n - i) * ln(1 - {MOST}::DOUBLE))")
+    return f"""
+SELECT '{version}' AS version, priority, any_value(documents) AS documents, min(j) + 1 AS looks, arg_min(n, j) AS replayed,
+       arg_min(b, j) AS regressed, arg_min(answer, j) AS answer
+FROM (
+  SELECT *, CASE WHEN n >= documents THEN 'counted'
+                 WHEN b < n * {MOST}::DOUBLE AND list_sum([{term} for i in range(0, b + 1)]) <= e THEN 'bounded'
+                 WHEN b > n * {MOST}::DOUBLE AND list_sum([{term} for i in range(b, n + 1)]) <= e THEN 'exceeded' END AS answer
+  FROM (
+    SELECT priority, documents, j, {ERROR}::DOUBLE / ({strata} * pow(2, j + 1)) AS e,
+           count(*) FILTER (WHERE place < upto) AS n, count(*) FILTER (WHERE place < upto AND bad) AS b
+    FROM (SELECT *, least(4294967296, first * pow(2, j)) AS upto
+          FROM (SELECT o_orderpriority AS priority, count(*) AS documents,
+                       {enough}::BIGINT * 5 * 1073741824 // count(*) + 1 AS first FROM orders GROUP BY ALL) g, range(0, 33) r(j)) looks
+    JOIN (SELECT o_orderpriority AS priority, ('0x' || substr(md5('0:' || o_orderkey), 1, 8))::BIGINT AS place,
+                 o_orderkey IN (SELECT doc FROM k WHERE changed
+                                AND NOT EXISTS (SELECT 1 FROM s WHERE s.doc = k.doc AND s.prod = k.prod)) AS bad
+          FROM orders) d USING (priority)
+    GROUP BY ALL) c) a
+WHERE answer IS NOT NULL GROUP BY priority"""
+
+
+def bounded_history() -> str:
+    return " UNION ALL ".join(f"""
+SELECT * FROM (
+  WITH va AS ({menu('old')}), vb AS ({menu(v)}), s AS ({SITUATIONS}), k AS MATERIALIZED ({_changed_keys('va', 'vb')})
+  {_bounded(v)})""" for v in ("new", "broken"))
+
+
+VALID_VERSION = f"""
+SELECT l.doc, line, l.cust, shipped::DATE AS shipped, valid_doc, valid_from::DATE AS valid_from
+FROM (SELECT l_orderkey AS doc, l_linenumber AS line, o_custkey AS cust, l_shipdate AS shipped {_LINES}) l
+ASOF LEFT JOIN (SELECT o_custkey AS cust, o_orderdate AS valid_from, max(o_orderkey) AS valid_doc
+                FROM orders GROUP BY ALL) v ON l.cust = v.cust AND l.shipped >= v.valid_from"""
+
+
 ORACLE: dict[str, str] = {
+    "source_rows": source_rows(),
+    "bounded_history": bounded_history(),
+    "valid_version": VALID_VERSION,
     "rule_independence": RULE_INDEPENDENCE,
     "diff_by_digest": diff_by_digest(),
     "row_matching": ROW_MATCHING,
@@ -448,6 +501,7 @@ FROM ({menu('old')}) m""",
     "verdict_broken_wide": verdict("old", "broken", wide=True),
     "verdict_sql_fix": verdict("old", "new"),
     "pin_compare": diff_rows("old", "new"),
+    "pin_bucketed": diff_rows("old", "broken"),
     "expected_check": EXPECTED_CHECK,
     "expected_summary": EXPECTED_SUMMARY,
     "diff_cells": DIFF_CELLS,

@@ -28,6 +28,7 @@ PARAM = "doc"
 KEYS = ("doc", "prod")
 QTY = "decimal(18,2)"
 COST = "decimal(28,4)"
+MOST, ERROR = 0.01, 0.05  # rate of regressed documents to bound, chance of a wrong answer
 SHIPPED_BEFORE = "1998-05-01"  # about the middle of history
 
 

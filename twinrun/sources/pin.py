@@ -6,14 +6,25 @@ a fixed reference that a later Spark application (after the fix, after a
 refactoring) can diff against without re-running the old version.  The
 pin also cuts lineage: reading it back needs no recomputation after the
 loss of an executor.
+
+A pin that is compared again and again can be laid out for it:
+``pin_bucketed`` saves every distinct row once with its number of copies, in
+buckets of a hash of its columns.  The comparison then brings the new
+result to those buckets and reads the pin where it lies: no exchange on
+the pin's side, however large it is.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.diff import diff_rows
+from ..functions.schema import SchemaMismatch, check_columns, check_keys, check_same_schema, col, columns
+from ..operators.diff import NET, diff_rows
 from ..session import ensure_checkpoint_dir, shared_path
 
 
@@ -33,6 +44,91 @@ def compare_to_pin(df: DataFrame, path: str) -> DataFrame:
     return diff_rows(read_pin(df.sparkSession, path), df)
 
 
+#: types whose equal values always have equal hashes
+BUCKET_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.StringType, T.BooleanType,
+                T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+COPIES = "__copies"
+
+
+def _bucketed_table(rows: DataFrame, path: str, by: Sequence[str], buckets: int) -> None:
+    """Write ``rows`` as one sorted file a bucket.  The catalog entry is only
+    a means of writing buckets and goes again; the files stay."""
+    name = f"twinrun_pin_{uuid.uuid4().hex}"
+    (rows.repartition(buckets, *columns(by)).write.format("parquet").option("path", path)
+     .bucketBy(buckets, list(by)).sortBy(list(by)).saveAsTable(name))
+    rows.sparkSession.sql(f"DROP TABLE {name}")
+
+
+def _read_buckets(spark: SparkSession, path: str, by: Sequence[str], buckets: int) -> DataFrame:
+    quoted = lambda names: ", ".join("`" + n.replace("`", "``") + "`" for n in names)
+    schema = spark.read.parquet(path).schema
+    fields = ", ".join(f"{quoted([f.name])} {f.dataType.simpleString()}" for f in schema.fields)
+    name = f"twinrun_pin_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({quoted(by)}) "
+              f"SORTED BY ({quoted(by)}) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    df = spark.table(name)
+    df.schema  # resolved while the entry is there
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
+def pin_bucketed(df: DataFrame, path: str, buckets: int, by: Sequence[str] | None = None) -> str:
+    """Write ``df`` to the new folder ``path`` as distinct rows with their copies,
+    in ``buckets`` buckets by the columns ``by``; return the path.
+
+    ``by`` defaults to all columns of a type whose equal values hash equally
+    (no floating point or nested ones).  Rows equal on ``by`` share a bucket, so
+    name columns that spread the rows.  Take as many buckets as the result has
+    times 128 MB.  Nulls share their bucket with their like; an empty result makes
+    an empty pin."""
+    check_columns(df)
+    names = df.columns
+    if COPIES in names:
+        raise SchemaMismatch(f"result already has a column named {COPIES!r}")
+    if bad := [f.name for f in df.schema.fields if not _parquet_can_store(f.dataType) or _holds_map(f.dataType)]:
+        raise SchemaMismatch(f"columns {bad} cannot be pinned in buckets; use pin")
+    fits = [f.name for f in df.schema.fields if isinstance(f.dataType, BUCKET_TYPES)]
+    by = fits if by is None else list(by)
+    check_keys(df, by)
+    if unfit := [c for c in by if c not in fits]:
+        raise SchemaMismatch(f"columns {unfit} have a type that cannot make buckets")
+    spark, path = df.sparkSession, path.rstrip("/")
+    if buckets < 1:
+        raise ValueError("a pin needs at least one bucket")
+    rows = df.groupBy(*columns(names)).agg(F.count("*").alias(COPIES))
+    _bucketed_table(rows, f"{path}/rows", by, buckets)
+    layout = spark.createDataFrame([(by, buckets)], "columns array<string>, buckets int")
+    layout.coalesce(1).write.mode("errorifexists").parquet(f"{path}/layout")
+    return path
+
+
+def compare_to_bucketed_pin(df: DataFrame, path: str, net_col: str = NET, fold: bool = False) -> DataFrame:
+    """``compare_to_pin`` for a pin of ``pin_bucketed``: the same rows, without an
+    exchange on the pin's side.
+
+    ``fold`` counts ``df``'s repeated rows before they go to their buckets, at the
+    price of a second exchange of ``df``; for results in which one whole row may
+    hold a large share of all."""
+    spark, path, names = df.sparkSession, path.rstrip("/"), df.columns
+    layout = spark.read.schema("columns array<string>, buckets int").parquet(f"{path}/layout").first()
+    pinned = _read_buckets(spark, f"{path}/rows", layout["columns"], layout["buckets"])
+    check_same_schema(pinned.drop(COPIES), df)
+    if net_col in names:
+        raise SchemaMismatch(f"result already has a column named {net_col!r}")
+    one = F.lit(1).cast("long").alias(net_col)
+    new = df.groupBy(*columns(names)).agg(F.count("*").alias(net_col)) if fold else df.select(*columns(names), one)
+    # the new side comes first: Spark takes a union's partitioning from it
+    u = (new.repartition(layout["buckets"], *columns(layout["columns"]))
+         .unionByName(pinned.select(*columns(names), (-F.col(COPIES)).alias(net_col))))
+    return u.groupBy(*columns(names)).agg(F.sum(col(net_col)).alias(net_col)).filter(col(net_col) != 0)
+
+
+def _holds_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.StructType):
+        return any(_holds_map(f.dataType) for f in dt.fields)
+    return isinstance(dt, T.MapType) or isinstance(dt, T.ArrayType) and _holds_map(dt.elementType)
+
+
 def discard(spark: SparkSession, path: str) -> bool:
     """Delete a saved table through Spark's own file system layer.  Only
     paths under the shared folder's ``twinrun`` folder are accepted."""
