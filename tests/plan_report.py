@@ -2,6 +2,7 @@
 registered query, as planned locally and with broadcasts disabled.
 
     python tests/plan_report.py [sf_dir] > PLANS.md
+    python tests/plan_report.py sf_dir name ...    # rows of some queries only
 
 With broadcasts off, every join is a sort-merge join on shuffled inputs:
 the shape the plans take when no side fits in memory (the 100 TB case).
@@ -63,6 +64,8 @@ def main(argv):
     from twinrun.session import get_session
     spark = get_session()
     qs = entry.queries()
+    if argv[2:]:
+        qs = {n: qs[n] for n in argv[2:]}
     rows, details = [], {}
     for mode in ("local", "large"):
         big = mode == "large"
@@ -74,6 +77,10 @@ def main(argv):
             if name in DETAIL and big:
                 details[name] = skeleton(plan)
     cols = list(rows[0][2])
+    if argv[2:]:
+        for name, mode, c in sorted(rows, key=lambda r: (list(qs).index(r[0]), r[1])):
+            print(f"| {name} | {mode} | " + " | ".join(str(c[k]) for k in cols) + " |")
+        return
     print("# PLANS\n")
     print(f"Final adaptive plans of every registered query at `{sf_dir}` on local[8],")
     print("generated by `python tests/plan_report.py`.  *local*: as planned here, small")
