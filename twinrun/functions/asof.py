@@ -46,8 +46,7 @@ def asof_join(left: DataFrame, versions: DataFrame, by: Sequence[str], time: str
     for a, b in [*zip(by, by), (time, valid_from)]:
         if lt[a] != vt[b]:
             raise SchemaMismatch(f"{a} is {lt[a]} but {b} is {vt[b]}")
-    spark = left.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def present(names: Sequence[str]):
         out = F.lit(True)
@@ -70,9 +69,8 @@ def asof_join(left: DataFrame, versions: DataFrame, by: Sequence[str], time: str
     mark = F.when(F.col("__v").isNotNull(), F.struct("__key", "__v"))
     filled = ranged.withColumn("__seen", F.last(mark, ignorenulls=True).over(here)).filter(F.col("__l").isNotNull())
     # one row a partition: the last version in it, then the last of all before
-    ends = ranged.filter(F.col("__v").isNotNull()).groupBy("__part").agg(F.max(F.struct("__key", "__v")).alias("__end"))
-    parts = spark.range(partitions).select(F.col("id").cast("int").alias("__part")).join(ends, "__part", "left")
-    before = parts.select("__part", F.max("__end").over(
+    ends = ranged.groupBy("__part").agg(F.max(mark).alias("__end"))
+    before = ends.select("__part", F.max("__end").over(
         Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)).alias("__before"))
     got = filled.join(F.broadcast(before), "__part", "left").withColumn("__best", F.coalesce("__seen", "__before"))
     version = F.when(F.col("__best.__key") == F.col("__key"), F.col("__best.__v"))
