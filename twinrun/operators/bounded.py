@@ -99,6 +99,7 @@ def bounded(old: Version, new: Version, tables: Tables, params: DataFrame, situa
     held = materialize(fresh_join(params, strata.select(name, *columns(groups)).distinct(), [name], "left")
                        .withColumn("__at", place(name, seed)))
     sizes = held.groupBy(*columns(groups)).agg(F.count("*").alias("documents"))
+    situations = materialize(situations)  # made from the whole history: once, not at every look
     rows = sizes.limit(MAX_STRATA + 1).collect()
     if len(rows) > MAX_STRATA:
         raise SchemaMismatch(f"more than {MAX_STRATA} strata")
