@@ -1,15 +1,17 @@
 """The n-gram Jaccard join, held against all pairs."""
 
 import random
+from collections import Counter
 from math import comb
 
+import numpy as np
 import pytest
 from brute import near_components
 from llm_helpers import DOCS, REPEATED, SF, documents, got, want
 
 from twinrun.llm import ngram_join
 from twinrun.llm.components import connected_components
-from twinrun.llm.kernels import region_links, shingle_blobs
+from twinrun.llm.kernels import region_links, shingle_blobs, voronoi_links
 from twinrun.llm.ngram_join import near_dedup_rows, ngram_components
 from twinrun.llm.queries import op8_ngram_join
 
@@ -115,3 +117,63 @@ def test_shared_values_follow_the_percent():
         share, least = percent / 100, ngram_join.least_shared(percent)
         fewer = sum(comb(96, i) * share**i * (1 - share)**(96 - i) for i in range(least))
         assert fewer <= 1e-12 or least == 1
+
+
+def parts_of(n, links):
+    parts = list(range(n))
+    for a, b in links:
+        parts = [parts[a] if p == parts[b] else p for p in parts]
+    return {frozenset(i for i in range(n) if parts[i] == p) for p in parts}
+
+
+@pytest.mark.parametrize("percent", [30, 60, 75, 90])
+def test_cells_in_a_task_connect_as_all_links_do(percent):
+    """Also where some rows ask nothing, be they of one component or of several."""
+    rng, seen = random.Random(percent), Counter()
+    for turn in range(120):
+        sets = []
+        for _ in range(rng.randint(1, 9)):
+            base = rng.sample(range(400), rng.randint(1, 60))
+            for _ in range(rng.choice([1, 2, 3, 20])):
+                drop = rng.randint(0, len(base) // 3)
+                sets.append(np.array(sorted({*rng.sample(base, len(base) - drop), *rng.sample(range(400), drop)}), np.uint64))
+        n = len(sets)
+        rng.shuffle(sets)
+        asks = np.array([turn % 3 == 0 or rng.random() < 0.7 for _ in range(n)])
+        roots = np.arange(n)
+        if turn % 3 == 1:
+            roots[~asks] = -1
+        plain = [set(x.tolist()) for x in sets]
+        every = {(a, b) for a in range(n) for b in range(n)
+                 if 100 * len(plain[a] & plain[b]) >= percent * len(plain[a] | plain[b])}
+        true = [(a, b) for a, b in every if asks[a] or asks[b]]
+        same = [(a, b) for a in range(n) for b in range(a) if roots[a] == roots[b]]
+        found, done = voronoi_links(sets, roots, asks, percent, block=7)
+        assert parts_of(n, found + same) == parts_of(n, true + same)
+        assert set(found) <= every
+        seen += done
+    assert seen["pivots"] and seen["visits"] and seen["cells"] and seen["matrices"]
+
+
+def test_pivots_decide_the_given_table(spark, monkeypatch):
+    """At sf0.01 every link comes from a pivot's distances; no region is left
+    to a matrix of intersections."""
+    seen, plain = [], ngram_join.in_groups
+
+    def kept(rows, key):
+        if "shingles" in rows.columns:
+            seen.extend(rows.select(key, "rid", "root", "asks", "shingles").collect())
+        return plain(rows, key)
+
+    monkeypatch.setattr(ngram_join, "in_groups", kept)
+    out = ngram_components(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    linked = out.groupBy("component_id").count().filter("count > 1").count()
+    regions, done, links = {}, Counter(), 0
+    for r in seen:
+        regions.setdefault(r[0], []).append(r)
+    for rows in regions.values():
+        found, how = voronoi_links([np.frombuffer(r.shingles, np.uint64) for r in rows], np.array([r.root for r in rows]),
+                                   np.array([r.asks for r in rows]), 75)
+        links, done = links + len(found), done + how
+    assert linked and links
+    assert done["pivots"] >= done["cells"] >= len(regions) and not done["matrices"]

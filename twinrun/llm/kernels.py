@@ -9,6 +9,7 @@ import os
 import sys
 import types
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -454,16 +455,130 @@ def candidate_regions(batches: Iterator[pa.RecordBatch], least: int, percent: in
                 [pa.array(np.array(parts, np.uint64).view(np.int64)), pa.array(np.concatenate(out))], ["part", "rid"])
 
 
+def shared_with(pivot: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Size of the intersection of ``pivot`` with each of the sets that are
+    laid end to end in ``flat``."""
+    at = np.searchsorted(pivot, flat)
+    at[at == len(pivot)] = 0
+    upto = np.concatenate([[0], np.cumsum(pivot[at] == flat)])
+    return upto[ends[1:]] - upto[ends[:-1]]
+
+
+def matrix_links(sets: list[np.ndarray], rows: np.ndarray, asks: np.ndarray, percent: int, block: int) -> Iterator[tuple[int, int]]:
+    """All links of ``rows`` in which a row asks, by intersections of two
+    blocks of rows at a time, so that no matrix is larger than that."""
+    parts = [rows[i:i + block] for i in range(0, len(rows), block)]
+    for i, one in enumerate(parts):
+        for j, other in enumerate(parts[i:]):
+            both = one if j == 0 else np.concatenate([one, other])
+            if not asks[both].any():
+                continue
+            size, shared = np.array([len(sets[r]) for r in both]), intersections([sets[r] for r in both])
+            linked = (100 * shared >= percent * (np.add.outer(size, size) - shared)) & np.logical_or.outer(asks[both], asks[both])
+            for a, b in spanning_links(linked, np.arange(len(both))):
+                yield int(both[a]), int(both[b])
+
+
+def voronoi_links(sets: list[np.ndarray], roots: np.ndarray, asks: np.ndarray, percent: int,
+                  pivots: int = 8, small: int = 8, block: int = 512) -> tuple[list[tuple[int, int]], Counter]:
+    """(Links that connect the rows as all links in which a row asks do, where
+    rows of equal root are connected already; what was done to find them).
+
+    A cell takes pivots, each the farthest from those before it, and the exact
+    distance of every row to them.  What is near enough to a pivot is linked
+    to it.  Rows of one component need no links among each other, so those of
+    the cell's largest one stop asking, or, where some rows asked nothing to
+    begin with, those of their component, if they are of one.  The others go on
+    in the Voronoi cells of the pivots, and where the triangle inequality lets
+    a row that asks have a link into another cell, it visits that one too.
+    A cell that this does not divide is small and takes the next pivot, or is
+    settled by all its intersections."""
+    reach, eps = 1 - percent / 100, 1e-9
+    size = np.array([len(x) for x in sets])
+    _, parent = np.unique(roots, return_inverse=True)
+    parent = parent.copy()  # the component of each row
+    links, done = [], Counter()
+
+    def link(a: int, b: int) -> None:
+        if parent[a] != parent[b]:
+            links.append((a, b))
+            parent[parent == parent[b]] = parent[a]
+
+    def asking(rows: np.ndarray, asks: np.ndarray) -> np.ndarray:
+        silent = np.unique(parent[rows[~asks[rows]]])
+        if len(silent) > 1:  # rows of either may have links only with the other
+            return asks
+        largest = silent[0] if len(silent) else np.bincount(parent[rows]).argmax()
+        return asks & (parent != largest)
+
+    todo = [(np.arange(len(sets)), asks)]
+    while todo:
+        rows, asks = todo.pop()
+        asks = asking(rows, asks)
+        if len(rows) < 2 or not asks[rows].any():
+            continue
+        done["cells"] += 1
+        ends = np.concatenate([[0], np.cumsum(size[rows])])
+        flat = np.concatenate([sets[r] for r in rows])
+        chosen, near = [], np.zeros((0, len(rows)))
+        while len(chosen) < min(pivots, 1 + len(rows) // 16):
+            left = asks[rows].copy()
+            left[chosen] = False
+            if not left.any():
+                break
+            may = np.flatnonzero(left)
+            i = may[np.argsort(size[rows[may]], kind="stable")[len(may) // 2]] if not chosen else may[near.min(0)[may].argmax()]
+            shared = shared_with(sets[rows[i]], flat, ends)
+            either = size[rows] + size[rows[i]] - shared
+            for j in np.flatnonzero(100 * shared >= percent * either):
+                link(int(rows[i]), int(rows[j]))
+            near = np.vstack([near, 1 - shared / either])
+            chosen.append(int(i))
+            asks = asking(rows, asks)
+        done["pivots"] += len(chosen)
+        rest = np.ones(len(rows), bool)
+        rest[chosen] = False  # pivots are settled
+        rows, near = rows[rest], near[:, rest]
+        asked = asks[rows]
+        if not asked.any():
+            continue
+        home, at = near.argmin(0), near.min(0)
+        inner = at <= 2 * reach + eps
+        parts = []
+        for q in range(len(near) + 1):  # the last is the outer cell
+            if q < len(near):
+                own = inner & (home == q)
+                visit = asked & ~own & (near[q] <= np.where(inner, at + 2 * reach, 3 * reach) + eps)
+                d = near[q]
+            else:
+                own, visit, d = ~inner, asked & inner & (at > reach - eps), None
+            who = asked & (own | visit)
+            if not own.any() or not who.any():
+                continue
+            if d is not None:  # rows too far from all that ask stay behind
+                own &= asked | (d >= d[who].min() - reach - eps) & (d <= d[who].max() + reach + eps)
+            parts.append(np.flatnonzero(own | visit))
+            done["visits"] += int(visit.sum())
+        effort = sum(len(p) * int(asked[p].sum()) for p in parts)
+        if 2 * effort <= len(rows) * int(asked.sum()):
+            todo += [(rows[p], asks) for p in parts]
+        elif len(rows) <= small:
+            todo.append((rows, asks))
+        else:
+            done["matrices"] += 1
+            for a, b in matrix_links(sets, rows, asks, percent, block):
+                link(a, b)
+    return links, done
+
+
 def region_links(batches: Iterator[pa.RecordBatch], key: str, percent: int) -> Iterator[pa.RecordBatch]:
     """For regions (``key``; rows ``rid``, ``root``, ``asks``, ``shingles``):
     links (a, b) that connect, beside what has equal root, their rows as all
-    links of rows that ask would.  Exact, by all intersections at once."""
+    links of rows that ask would.  Exact, by pivots and their cells."""
     for t in groups(batches, key):
         rid, asks = t.column("rid").to_numpy(), t.column("asks").to_numpy(zero_copy_only=False)
         sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
-        size, both = np.array([len(x) for x in sets]), intersections(sets)
-        linked = (100 * both >= percent * (np.add.outer(size, size) - both)) & np.logical_or.outer(asks, asks)
-        links = spanning_links(linked, t.column("root").to_numpy())
+        links, _ = voronoi_links(sets, t.column("root").to_numpy(), asks, percent)
         if links:
             yield pa.RecordBatch.from_arrays([pa.array([int(rid[a]) for a, _ in links], pa.int64()),
                                               pa.array([int(rid[b]) for _, b in links], pa.int64())], ["a", "b"])

@@ -14,7 +14,8 @@ shingles are nearer than 1 to each other, so regions start from shared ones:
 3. The classes that have such a value form a group, and its class of
    smallest hash is the group's pivot.  A pivot's region is all its groups.
    Regions of small groups are cut into the connected parts of what sizes
-   and sketches leave possible, then each joined exactly in one task.
+   and sketches leave possible, then each joined exactly in one task, by
+   step 4's pivots, cells and windows in memory (``kernels.voronoi_links``).
 4. Larger groups are cells, split in rounds.  Each round takes ``PIVOTS``
    pivots per cell and the exact distance of every member to them.  Members
    within reach of a pivot are linked to it, and the links' components tell
@@ -31,7 +32,8 @@ shingles are nearer than 1 to each other, so regions start from shared ones:
    stay behind, as do pivots, which are settled, and cells where none asks.
    A cell that its windows do not divide (its parts would have more pairs to
    compare) stays whole, with fewer that ask.
-   Cells of at most ``REGION`` rows are joined in one task.  In what is larger
+   Cells of at most ``REGION`` rows are joined in one task, which goes on
+   with pivots and cells of its own.  In what is larger
    after ``ROUNDS`` rounds, or once a round does not halve what is left to
    compare, those that ask are held against all, in blocks.
 5. Links are gathered as spanning links only, and their connected components
