@@ -27,7 +27,7 @@ BASE = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "labels", "pages", "conversations"):
+    for t in ("documents", "labels", "pages", "conversations", "benchmark"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
