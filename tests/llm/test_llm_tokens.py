@@ -1,6 +1,7 @@
 """Token files and packing, held against the tokenizer itself."""
 
 import os
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_helpers import DOCS, REPEATED, SF, documents, got, tokenizer, want  # noqa: F401
 
+from twinrun.llm import kernels, token_files
 from twinrun.llm.kernels import Encoder
 from twinrun.llm.packing import pack
 from twinrun.llm.queries import op4_packing, op5_token_files
@@ -51,6 +53,19 @@ def test_token_files_are_in_order_and_empty_table_works(spark):
     assert token_index(spark, write_tokens(documents(spark, []), tokenizer_path())).count() == 0
 
 
+def test_token_files_encode_many_texts_at_once(monkeypatch, tokenizer):  # noqa: F811
+    """A step hashes the table of earlier chunks anew: token files take more text in one."""
+    monkeypatch.setattr(kernels, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    monkeypatch.setattr(kernels, "worker_encoder", lambda path: Encoder(path))
+    texts = [f"w{i} " + "one two " * 125_000 for i in range(5)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": texts})
+    few, many = (list(kernels.encode_rows(iter([batch]), tokenizer_path(), 2, *size))
+                 for size in ((token_files.STEP_BYTES,), ()))
+    assert len(few) == 1 < len(many)
+    assert pa.Table.from_batches(few).combine_chunks() == pa.Table.from_batches(many).combine_chunks()
+    assert few[0].column("tokens")[0].as_py() == tokens(texts[0], tokenizer, 2)
+
+
 def check_pieces(out, docs, tokenizer):  # noqa: F811
     cols = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
     assert got(out, *cols) == want((d, *p) for d, t in docs for p in pieces(t, tokenizer))

@@ -25,6 +25,9 @@ END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2000
+#: bytes of text that are encoded at once: each step looks its chunks up in a table of earlier
+#: ones that is hashed anew, so larger steps do that less often
+STEP_BYTES = 6 << 20
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -36,9 +39,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                        F.xxhash64(text_col).alias("tie"))
     ordered = (rows.repartitionByRange(partitions(spark), "doc_id", "tie")
                .sortWithinPartitions("doc_id", "tie").drop("tie"))
-    (ordered.mapInArrow(lambda b: encode_rows(b, tokenizer, end_id),
+    (ordered.mapInArrow(lambda b: encode_rows(b, tokenizer, end_id, STEP_BYTES),
                         "doc_id long, part int, pos long, tokens array<int>, n_tokens long")
-     .write.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
+     .write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1")
+     .option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.block.size", str(ROW_GROUP_BYTES)).option("parquet.page.size", str(PAGE_BYTES))
      .option("parquet.page.row.count.limit", str(PAGE_ROWS))
      .option("parquet.enable.dictionary", "true")
