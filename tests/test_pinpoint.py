@@ -6,12 +6,14 @@ import random
 from collections import Counter
 from functools import cache
 from itertools import combinations
+from pathlib import Path
 
 import pytest
+from conftest import SF
 from pyspark.sql import functions as F
 
-from twinrun import (DependentRule, diff_by_digest, diff_rows, explain, match_rows, materialize, replay_pair, shrink,
-                     situation_widths, situations)
+from twinrun import (DependentRule, diff_by_digest, diff_rows, ensure_checkpoint_dir, explain, in_parts, match_rows,
+                     materialize, replay_pair, shrink, situation_widths, situations)
 from twinrun.functions.schema import SchemaMismatch
 from twinrun.operators.matching import least_cost_flow
 from twinrun.plans import standin as S
@@ -319,6 +321,66 @@ def test_digests_shuffle_a_tenth_of_a_wide_result(spark):
     assert found == [400, 400] and less < whole / 10
 
 
+def saved_bytes(spark):
+    """Bytes of what lies in the shared folder, and the folders of ``scratch``."""
+    files = [f for f in Path(ensure_checkpoint_dir(spark).removeprefix("file:"), "twinrun").rglob("*") if f.is_file()]
+    return sum(f.stat().st_size for f in files), [f for f in files if "/scratch-" in str(f)]
+
+
+def test_wide_results_are_saved_and_compared_in_parts(spark, monkeypatch):
+    """The same rows, and at no time more on disk than a part's results."""
+    from twinrun.operators import digest
+    from twinrun.plans import fixture_queries as Q
+    def run(**limits):
+        sizes, begun = [], saved_bytes(spark)[0]
+
+        def watch(df, *a, **k):
+            out = materialize(df, *a, **k)
+            sizes.append(saved_bytes(spark)[0] - begun)
+            return out
+
+        monkeypatch.setattr(Q, "materialize", watch)
+        monkeypatch.setattr(digest, "materialize", watch)
+        monkeypatch.setattr(Q, "in_parts", lambda *a: in_parts(*a, **limits))
+        out = Q.q_diff_by_digest(spark, SF["0.001"])
+        left = saved_bytes(spark)
+        return sorted(map(tuple, out.collect()), key=repr), max(sizes), left[0] - begun, left[1]
+
+    whole, most, _, _ = run(most=1)
+    parts, held, left, scratched = run(most=6, part_rows=1000)
+    assert parts == whole != []
+    assert held < most / 2 and left < most / 3 and not scratched
+
+
+def test_parts_hold_every_value_once(spark):
+    params = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (None, None), (2, None)] + [(i, "x") for i in range(40)], "p long, q string")
+    sizes = []
+
+    def run(part):
+        saved = materialize(part)
+        sizes.append(saved.count())
+        return saved
+
+    out = in_parts(params, 45, run, part_rows=10)
+    assert len(sizes) == 5 and max(sizes) < 45 and sum(sizes) == 45
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, params.collect()))
+    assert in_parts(params.limit(0), 0, run).isEmpty() and not saved_bytes(spark)[1]
+    with pytest.raises(ZeroDivisionError):
+        in_parts(params, 45, lambda part: 1 / (materialize(part).count() * 0))
+    assert not saved_bytes(spark)[1]  # deleted after a failure as well
+
+
+def test_saved_results_leave_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+    before, name = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name, None)
+    saved = materialize(spark.range(1000).groupBy((F.col("id") % 700).alias("k")).count())
+    assert not files() - before and spark.conf.get(name, None) == setting
+    assert saved.count() == 700
+
+
 # -------------------------------------------------------------------- rules
 
 def test_rules_over_results_are_refused(spark, hist, params):

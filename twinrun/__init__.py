@@ -12,7 +12,7 @@ Typical use::
 """
 
 from .functions import (DependentRule, LossyFunction, SchemaMismatch, Stage, StagedVersion, asof_join, call_one,
-                        check_independent, check_same_schema, fresh_join, param_set, replay, sql_stage,
+                        check_independent, check_same_schema, fresh_join, in_parts, param_set, replay, sql_stage,
                         sql_version, top_n_per)
 from .operators import (Origins, Shrunk, bounded, check_expected, column_changes, diff_by_digest, diff_cells, diff_rows,
                         diff_stages, differing, expected_summary, explain, in_replay, match_rows, reconcile,
@@ -21,11 +21,11 @@ from .operators import (Origins, Shrunk, bounded, check_expected, column_changes
 from .plans import Comparison, repeatability, replay_pair, run_procedure
 from .session import configure, ensure_checkpoint_dir, get_session, shared_path
 from .sources import (compare_to_bucketed_pin, compare_to_pin, discard, history_counts, load_history,
-                      materialize, pin, pin_bucketed, read_pin, snapshot_history)
+                      materialize, pin, pin_bucketed, read_pin, scratch, snapshot_history)
 
 __all__ = [
     "LossyFunction", "SchemaMismatch", "Stage", "StagedVersion", "call_one", "check_same_schema",
-    "fresh_join", "param_set", "replay", "sql_stage", "sql_version", "top_n_per",
+    "fresh_join", "in_parts", "param_set", "replay", "sql_stage", "sql_version", "top_n_per",
     "check_expected", "column_changes", "diff_cells", "diff_rows", "diff_stages", "expected_summary",
     "in_replay", "reconcile", "repeated", "repeated_keys", "situations", "split_diff", "tag_diff",
     "uncovered_keys", "verdict",
@@ -34,5 +34,5 @@ __all__ = [
     "Comparison", "repeatability", "replay_pair", "run_procedure",
     "configure", "ensure_checkpoint_dir", "get_session", "shared_path",
     "compare_to_pin", "discard", "history_counts", "load_history", "materialize", "pin",
-    "read_pin", "snapshot_history",
+    "read_pin", "scratch", "snapshot_history",
 ]
